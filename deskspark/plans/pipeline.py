@@ -1,0 +1,175 @@
+"""Load entities in dependency order, each published whole or not at all."""
+
+from __future__ import annotations
+
+import logging
+import threading
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import asdict, dataclass
+from datetime import datetime
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+from deskspark.functions.clock import utc_now
+from deskspark.operators import checks
+from deskspark.operators.resolve import link, resolve
+from deskspark.operators.upsert import ACTION, BOOKKEEPING, COUNT, merge
+from deskspark.plans.entities import ENTITIES, load_levels
+from deskspark.plans.spec import EntitySpec
+from deskspark.session import broadcastable
+from deskspark.sources.store import TableStore
+
+log = logging.getLogger(__name__)
+
+FAIL = "fail"
+QUARANTINE = "quarantine"
+
+REPORT_SCHEMA = (
+    "entity string, status string, rows_read long, rejected long, quarantined long, "
+    "inserted long, updated long, kept long"
+)
+
+
+@dataclass
+class LoadReport:
+    entity: str
+    status: str = "loaded"
+    rows_read: int | None = None
+    rejected: int | None = None
+    quarantined: int | None = None
+    inserted: int | None = None
+    updated: int | None = None
+    kept: int | None = None
+
+
+class LoadFailed(RuntimeError):
+    """Some entities failed; `reports` says which, `errors` says why."""
+
+    def __init__(self, errors: dict[str, Exception], reports: list[LoadReport]):
+        super().__init__("; ".join(f"{n}: {e}" for n, e in errors.items()))
+        self.errors, self.reports = errors, reports
+
+
+class Loader:
+    """Loads from `source` (name -> DataFrame) into `store`, all with one run time."""
+
+    def __init__(self, spark: SparkSession, source: Mapping[str, DataFrame], store: TableStore,
+                 run_ts: datetime | None = None, on_violation: str = FAIL,
+                 specs: Mapping[str, EntitySpec] = ENTITIES):
+        if on_violation not in (FAIL, QUARANTINE):
+            raise ValueError(f"on_violation must be {FAIL!r} or {QUARANTINE!r}")
+        self.spark, self.source, self.store, self.specs = spark, source, store, specs
+        self.run_ts = run_ts or utc_now()
+        self.on_violation = on_violation
+        self._lock = threading.Lock()
+        self._parents: dict[str, tuple[DataFrame, DataFrame | None]] = {}
+
+    def current(self, name: str) -> DataFrame:
+        return self.store.current(name, self.specs[name].target_schema)
+
+    def load(self, name: str, version: str | None = None) -> LoadReport:
+        """Read, resolve, check, merge, write, then publish. Anything raised before the last
+        step leaves the published version as it was."""
+        spec = self.specs[name]
+        rows = self.source[name]
+        report = LoadReport(name, rows_read=rows.count())
+        log.info("%s: %d rows read", name, report.rows_read)
+        parents = {lk.parent: self._parent(lk.parent) for lk in spec.lookups}
+        ids = {p: table for p, (table, _) in parents.items()}
+        links = {p: pair for p, (_, pair) in parents.items() if pair is not None}
+        resolved = resolve(rows, spec, self.source, ids, self.specs, links)
+
+        report.quarantined = 0
+        if spec.domain:
+            report.quarantined = self._check_domain(rows, resolved, spec)
+            resolved = checks.within_domain(resolved, spec)
+
+        stage = None
+        if spec.surrogate and not broadcastable(rows):
+            stage = lambda df: self.store.stage(name, df)
+        merged = merge(self.current(name), resolved, spec, self.run_ts, stage)
+        seen = Observation()
+        count = lambda action: F.count(F.when(F.col(ACTION) == action, 1))
+        merged = merged.observe(
+            seen, count("insert").alias("inserted"), count("update").alias("updated"),
+            count("keep").alias("kept"), F.coalesce(F.sum(COUNT), F.lit(0)).alias("merged"),
+        )
+        version = self.store.write(name, merged.drop(*BOOKKEEPING), version)
+        facts = seen.get
+        report.inserted, report.updated, report.kept = (facts.get(k, 0) for k in ("inserted", "updated", "kept"))
+        report.rejected = report.rows_read - report.quarantined - facts.get("merged", 0)
+        self.store.publish(name, version, **{k: v for k, v in asdict(report).items() if k != "entity"})
+        with self._lock:
+            self._parents.pop(name, None)
+        log.info("%s: %s", name, report)
+        return report
+
+    def run_all(self) -> list[LoadReport]:
+        """Level by level; the entities of a level run side by side. An entity whose parent did
+        not load is skipped. Raises at the end if anything failed."""
+        reports: dict[str, LoadReport] = {}
+        errors: dict[str, Exception] = {}
+        for level in load_levels(dict(self.specs)):
+            ready = []
+            for name in level:
+                lost = {lk.parent for lk in self.specs[name].lookups} & {
+                    n for n, r in reports.items() if r.status != "loaded"
+                }
+                if lost:
+                    reports[name] = LoadReport(name, status="skipped")
+                else:
+                    ready.append(name)
+            with ThreadPoolExecutor(max_workers=max(1, len(ready))) as pool:
+                running = {name: pool.submit(self.load, name) for name in ready}
+                for name, future in running.items():
+                    try:
+                        reports[name] = future.result()
+                    except Exception as error:
+                        log.error("%s: %s", name, error)
+                        errors[name] = error
+                        reports[name] = LoadReport(name, status="failed")
+        ordered = [reports[n] for level in load_levels(dict(self.specs)) for n in level]
+        if errors:
+            raise LoadFailed(errors, ordered)
+        return ordered
+
+    def _check_domain(self, rows: DataFrame, resolved: DataFrame, spec: EntitySpec) -> int:
+        """Every resolved row is checked, also one that a later row of its key would overwrite.
+        A look at the one column of the source settles the usual case without any join."""
+        if checks.domain_violations(rows, spec).isEmpty():
+            return 0
+        bad = checks.domain_violations(resolved, spec)
+        if self.on_violation == FAIL:
+            found = bad.count()
+            if found:
+                raise checks.DomainViolation(f"{spec.name}: {found} rows outside {sorted(spec.domain)}")
+            return 0
+        name = f"{spec.name}_quarantine"
+        seen = Observation()
+        version = self.store.write(name, bad.observe(seen, F.count(F.lit(1)).alias("n")))
+        self.store.publish(name, version)
+        return seen.get.get("n", 0)
+
+    def _parent(self, name: str) -> tuple[DataFrame, DataFrame | None]:
+        """A parent's current table, checked once per run for ambiguous keys, and, where it is too
+        large to broadcast, its source-to-target ids, written once and shared by its children."""
+        with self._lock:
+            if name not in self._parents:
+                spec, table = self.specs[name], self.current(name)
+                checks.require_unambiguous(table, spec)
+                small = broadcastable(self.source[name].select(spec.surrogate, spec.key)) and broadcastable(
+                    table.select(spec.key, spec.surrogate)
+                )
+                pair = None
+                if not small:
+                    pair = link(self.source[name], table, spec).select("_sid", "_tid")
+                    pair = self.store.stage(f"link_{name}", pair)
+                self._parents[name] = (table, pair)
+            return self._parents[name]
+
+
+def report_frame(spark: SparkSession, reports: list[LoadReport]) -> DataFrame:
+    """One row per entity."""
+    return spark.createDataFrame([tuple(asdict(r).values()) for r in reports], REPORT_SCHEMA)
