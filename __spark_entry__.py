@@ -15,7 +15,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from deskspark.operators import checks, metrics  # noqa: E402
 from deskspark.operators import resolve as rs  # noqa: E402
 from deskspark.operators.surrogate import new_key_ids  # noqa: E402
-from deskspark.operators.upsert import ACTION, BOOKKEEPING, COUNT, fold, merge, new_keys  # noqa: E402
+from deskspark.operators.upsert import ACTION, BOOKKEEPING, COUNT, fold, lacks_keys, merge, new_keys  # noqa: E402
 from deskspark.plans.entities import ENTITIES  # noqa: E402
 from deskspark.plans.pipeline import Loader, report_frame  # noqa: E402
 from deskspark.session import broadcastable, new_workspace  # noqa: E402
@@ -48,7 +48,7 @@ def _merged(spark: SparkSession, sf: str, name: str) -> DataFrame:
     spec = ENTITIES[name]
     rows = standin.source(spark, sf)[name]
     return merge(standin.target(spark, sf)[name], _resolved(spark, sf, name), spec, RUN_TS,
-                 _stage(spark, name, rows) if spec.surrogate else None)
+                 _stage(spark, name, rows) if spec.surrogate else None, lacks_keys(rows, spec))
 
 
 def _loaded(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -102,7 +102,9 @@ def upsert_null_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 def upsert_rerun(spark: SparkSession, sf: str) -> DataFrame:
     first = _loaded(spark, sf, "solicitante")
-    second = merge(first, _resolved(spark, sf, "solicitante"), ENTITIES["solicitante"], SECOND_RUN_TS)
+    rows = _resolved(spark, sf, "solicitante")
+    spec = ENTITIES["solicitante"]
+    second = merge(first, rows, spec, SECOND_RUN_TS, null_keys=lacks_keys(rows, spec))
     return second.drop(*BOOKKEEPING)
 
 
@@ -168,12 +170,12 @@ def publish_swap(spark: SparkSession, sf: str) -> DataFrame:
 def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """Customers arriving as a file stream, upserted as requesters."""
     spec = ENTITIES["solicitante"]
-    source = standin.source(spark, sf)
     store = _seeded_store(spark, sf, "cliente_organizacao", spec.name)
-    schema = standin.base_table(spark, sf, "customer").schema
-    arrivals = spark.readStream.schema(schema).parquet(f"{sf}/customer*.parquet")
-    rows = arrivals.select(*(F.expr(e.replace("@NTZ", "TIMESTAMP_NTZ")) for e in standin.SOURCE[spec.name][2]))
-    query = load_arrivals(rows, spec.name, source, store, new_workspace(spark, "stream"), RUN_TS)
+    arrivals = spark.readStream.schema(standin.BASE_SCHEMAS["customer"]).parquet(f"{sf}/customer*.parquet")
+    query = load_arrivals(
+        standin.derive(standin.SOURCE, spec.name, arrivals), spec.name, lambda session: standin.source(session, sf),
+        store, new_workspace(spark, "stream"), RUN_TS,
+    )
     query.awaitTermination()
     return store.current(spec.name, spec.target_schema)
 

@@ -4,16 +4,13 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 
 def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
-def stamp(run_ts: datetime) -> Column:
-    """`run_ts` as a timestamp without zone, whatever the session zone is."""
+def stamp(run_ts: datetime) -> str:
+    """`run_ts` as an SQL literal without zone, whatever the session zone is."""
     if run_ts.tzinfo is not None:
         run_ts = run_ts.astimezone(timezone.utc).replace(tzinfo=None)
-    return F.lit(run_ts.isoformat(sep=" ", timespec="microseconds")).cast("timestamp_ntz")
+    return f"TIMESTAMP_NTZ '{run_ts.isoformat(sep=' ', timespec='microseconds')}'"

@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 BINARY = "binary"
 CASE_INSENSITIVE = "case_insensitive"
 
 
-def match_key(key: Column, match: str = BINARY) -> Column:
-    """The form of `key` that is compared: as it is, or without case and trailing blanks."""
+def match_key(key: str, match: str = BINARY) -> str:
+    """The SQL form of `key` that is compared: as it is, or without case and trailing blanks."""
     if match == BINARY:
         return key
     if match == CASE_INSENSITIVE:
-        return F.lower(F.rtrim(key))
+        return f"lower(rtrim({key}))"
     raise ValueError(f"unknown key comparison {match!r}")

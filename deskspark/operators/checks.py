@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from deskspark.functions.keys import match_key
 from deskspark.plans.spec import EntitySpec
@@ -19,10 +16,12 @@ class AmbiguousLookup(ValueError):
     """A natural key stands for more than one target row."""
 
 
-def violation(spec: EntitySpec) -> Column:
-    """True for a row with a value outside a domain; NULL is accepted."""
-    tests = [F.col(c).isNotNull() & ~F.col(c).isin(*values) for c, values in spec.domain.items()]
-    return reduce(lambda a, b: a | b, tests, F.lit(False))
+def violation(spec: EntitySpec) -> str:
+    """True for a row with a value outside a domain, never NULL; a NULL value is accepted."""
+    tests = [
+        f"({c} IS NOT NULL AND {c} NOT IN ({', '.join(repr(v) for v in values)}))" for c, values in spec.domain.items()
+    ]
+    return " OR ".join(tests) or "false"
 
 
 def domain_violations(rows: DataFrame, spec: EntitySpec) -> DataFrame:
@@ -30,14 +29,16 @@ def domain_violations(rows: DataFrame, spec: EntitySpec) -> DataFrame:
 
 
 def within_domain(rows: DataFrame, spec: EntitySpec) -> DataFrame:
-    return rows.filter(~violation(spec)) if spec.domain else rows
+    return rows.filter(f"NOT ({violation(spec)})")
 
 
 def ambiguous_keys(target: DataFrame, spec: EntitySpec) -> DataFrame:
     """(key, n) for non-NULL natural keys held by more than one target row."""
-    key = match_key(F.col(spec.key), spec.match).alias(spec.key)
-    counts = target.filter(F.col(spec.key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return counts.filter(F.col("n") > 1)
+    return target.sparkSession.sql(
+        f"""SELECT {match_key(spec.key, spec.match)} AS {spec.key}, count(1) AS n FROM {{target}}
+            WHERE {spec.key} IS NOT NULL GROUP BY 1 HAVING n > 1""",
+        target=target,
+    )
 
 
 def require_unambiguous(target: DataFrame, spec: EntitySpec) -> None:

@@ -4,54 +4,62 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from deskspark.functions.keys import match_key
 from deskspark.plans.entities import ENTITIES
-from deskspark.plans.spec import EntitySpec, Lookup
+from deskspark.plans.spec import EntitySpec
 from deskspark.session import broadcastable
 
 Tables = Mapping[str, DataFrame]
+Specs = Mapping[str, EntitySpec]
 
 
-def source_codes(parent: DataFrame, spec: EntitySpec) -> DataFrame:
-    """(_sid, _code) of a parent in the source."""
-    return parent.select(F.col(spec.surrogate).alias("_sid"), F.col(spec.key).alias("_code"))
+def _join(lookup_how: str, table: str, condition: str) -> str:
+    return f"{lookup_how.upper()} JOIN {table} ON {condition}"
 
 
-def target_ids(parent: DataFrame, spec: EntitySpec) -> DataFrame:
-    """(_mk, _tid) of a parent in the target."""
-    return parent.select(match_key(F.col(spec.key), spec.match).alias("_mk"), F.col(spec.surrogate).alias("_tid"))
+def _columns(names, prefix: str = "f") -> list[str]:
+    return [f"{prefix}.{n}" for n in names]
 
 
 def link(source_parent: DataFrame, target_parent: DataFrame, spec: EntitySpec, how: str = "inner") -> DataFrame:
-    """(_sid, _code, _tid): which target id stands for which source id."""
-    src, tgt = source_codes(source_parent, spec), target_ids(target_parent, spec)
-    return src.join(tgt, match_key(src["_code"], spec.match) == tgt["_mk"], how).drop("_mk")
+    """(sid, tid): which target id stands for which source id."""
+    source_key, target_key = (match_key(f"{side}.{spec.key}", spec.match) for side in "st")
+    return source_parent.sparkSession.sql(
+        f"SELECT s.{spec.surrogate} AS sid, t.{spec.surrogate} AS tid FROM {{source}} s "
+        + _join(how, "{target} t", f"{source_key} = {target_key}"),
+        source=source_parent, target=target_parent,
+    )
 
 
-def extract(rows: DataFrame, spec: EntitySpec, source: Tables, specs: Mapping[str, EntitySpec] = ENTITIES) -> DataFrame:
+def extract(rows: DataFrame, spec: EntitySpec, source: Tables, specs: Specs = ENTITIES) -> DataFrame:
     """Replace the source's foreign ids by natural keys; a missing required parent drops the row."""
-    for lk in spec.lookups:
-        parent = source_codes(source[lk.parent], specs[lk.parent]).withColumnRenamed("_code", lk.code)
-        rows = rows.join(parent, rows[lk.column] == parent["_sid"], lk.how).drop("_sid")
-    return rows.select(*spec.extract_columns)
+    tables, joins, codes = {"rows": rows}, [], []
+    for i, lk in enumerate(spec.lookups):
+        parent = specs[lk.parent]
+        tables[f"s{i}"] = source[lk.parent].select(parent.surrogate, parent.key)
+        joins.append(_join(lk.how, f"{{s{i}}} s{i}", f"f.{lk.column} = s{i}.{parent.surrogate}"))
+        codes.append(f"s{i}.{parent.key} AS {lk.code}")
+    columns = _columns(spec.attributes) + codes + _columns(spec.audit)
+    return rows.sparkSession.sql(f"SELECT {', '.join(columns)} FROM {{rows}} f {' '.join(joins)}", **tables)
 
 
-def resolve_codes(extracted: DataFrame, spec: EntitySpec, target: Tables,
-                  specs: Mapping[str, EntitySpec] = ENTITIES) -> DataFrame:
+def resolve_codes(extracted: DataFrame, spec: EntitySpec, target: Tables, specs: Specs = ENTITIES) -> DataFrame:
     """Replace natural keys by the target's ids, for rows that arrive already extracted."""
-    rows = extracted
-    for lk in spec.lookups:
+    tables, joins, ids = {"rows": extracted}, [], []
+    for i, lk in enumerate(spec.lookups):
         parent = specs[lk.parent]
-        ids = target_ids(target[lk.parent], parent).withColumnRenamed("_tid", lk.column)
-        rows = rows.join(ids, match_key(rows[lk.code], parent.match) == ids["_mk"], lk.how).drop("_mk", lk.code)
-    return rows.select(*spec.insert_columns)
+        tables[f"t{i}"] = target[lk.parent].select(parent.surrogate, parent.key)
+        code, key = match_key(f"f.{lk.code}", parent.match), match_key(f"t{i}.{parent.key}", parent.match)
+        joins.append(_join(lk.how, f"{{t{i}}} t{i}", f"{code} = {key}"))
+        ids.append(f"t{i}.{parent.surrogate} AS {lk.column}")
+    columns = _columns(spec.attributes) + ids + _columns(spec.audit)
+    return extracted.sparkSession.sql(f"SELECT {', '.join(columns)} FROM {{rows}} f {' '.join(joins)}", **tables)
 
 
-def resolve(rows: DataFrame, spec: EntitySpec, source: Tables, target: Tables,
-            specs: Mapping[str, EntitySpec] = ENTITIES, links: Tables | None = None) -> DataFrame:
+def resolve(rows: DataFrame, spec: EntitySpec, source: Tables, target: Tables, specs: Specs = ENTITIES,
+            links: Tables | None = None) -> DataFrame:
     """Both steps at once.
 
     A parent whose two sides fit a broadcast is joined step by step, which shuffles nothing.
@@ -59,41 +67,38 @@ def resolve(rows: DataFrame, spec: EntitySpec, source: Tables, target: Tables,
     rows are shuffled once for that parent instead of twice. `links` may hold such pairs
     written beforehand. Both ways give the same rows.
     """
-    for lk in spec.lookups:
+    tables, joins, ids = {"rows": rows}, [], []
+    for i, lk in enumerate(spec.lookups):
         parent = specs[lk.parent]
-        if links and lk.parent in links:
-            rows = _attach_pair(rows, lk, links[lk.parent])
-            continue
-        src, tgt = source_codes(source[lk.parent], parent), target_ids(target[lk.parent], parent)
-        if broadcastable(src) and broadcastable(tgt):
-            rows = rows.join(src, rows[lk.column] == src["_sid"], lk.how).drop(lk.column, "_sid")
-            rows = rows.join(tgt, match_key(rows["_code"], parent.match) == tgt["_mk"], lk.how)
-            rows = rows.drop("_code", "_mk").withColumnRenamed("_tid", lk.column)
-        else:
-            rows = _attach_pair(rows, lk, link(source[lk.parent], target[lk.parent], parent))
-    return rows.select(*spec.insert_columns)
-
-
-def _attach_pair(rows: DataFrame, lk: Lookup, pair: DataFrame) -> DataFrame:
-    pair = pair.select("_sid", "_tid")
-    joined = rows.join(pair, rows[lk.column] == pair["_sid"], lk.how)
-    return joined.drop(lk.column, "_sid").withColumnRenamed("_tid", lk.column)
-
-
-def rejects(rows: DataFrame, spec: EntitySpec, source: Tables, target: Tables,
-            specs: Mapping[str, EntitySpec] = ENTITIES) -> DataFrame:
+        pair = links.get(lk.parent) if links else None
+        if pair is None:
+            s = source[lk.parent].select(parent.surrogate, parent.key)
+            t = target[lk.parent].select(parent.surrogate, parent.key)
+            if broadcastable(s) and broadcastable(t):
+                tables[f"s{i}"], tables[f"t{i}"] = s, t
+                code, key = (match_key(f"{side}{i}.{parent.key}", parent.match) for side in "st")
+                joins.append(_join(lk.how, f"{{s{i}}} s{i}", f"f.{lk.column} = s{i}.{parent.surrogate}"))
+                joins.append(_join(lk.how, f"{{t{i}}} t{i}", f"{code} = {key}"))
+                ids.append(f"t{i}.{parent.surrogate} AS {lk.column}")
+                continue
+            pair = link(s, t, parent)
+        tables[f"p{i}"] = pair
+        joins.append(_join(lk.how, f"{{p{i}}} p{i}", f"f.{lk.column} = p{i}.sid"))
+        ids.append(f"p{i}.tid AS {lk.column}")
+    columns = _columns(spec.attributes) + ids + _columns(spec.audit)
+    return rows.sparkSession.sql(f"SELECT {', '.join(columns)} FROM {{rows}} f {' '.join(joins)}", **tables)
+
+
+def rejects(rows: DataFrame, spec: EntitySpec, source: Tables, target: Tables, specs: Specs = ENTITIES) -> DataFrame:
     """The rows that `resolve` drops, each with the required parents it lacks and on which side."""
-    reasons: list[Column] = []
+    tables, joins, reasons = {"rows": rows}, [], []
     for i, lk in enumerate(k for k in spec.lookups if k.required):
-        parent = specs[lk.parent]
-        pair = link(source[lk.parent], target[lk.parent], parent, "left").select(
-            F.col("_sid").alias(f"_sid{i}"), F.col("_tid").alias(f"_tid{i}")
-        )
-        rows = rows.join(pair, rows[lk.column] == pair[f"_sid{i}"], "left")
-        reasons.append(
-            F.when(F.col(f"_sid{i}").isNull(), F.lit(f"{lk.column}:source"))
-            .when(F.col(f"_tid{i}").isNull(), F.lit(f"{lk.column}:target"))
-        )
-    reason = F.concat_ws(",", *reasons) if reasons else F.lit("")
-    rows = rows.withColumn("reason", reason).filter(F.col("reason") != "")
-    return rows.select(*spec.insert_columns, "reason")
+        tables[f"p{i}"] = link(source[lk.parent], target[lk.parent], specs[lk.parent], "left")
+        joins.append(_join("left", f"{{p{i}}} p{i}", f"f.{lk.column} = p{i}.sid"))
+        reasons.append(f"CASE WHEN p{i}.sid IS NULL THEN '{lk.column}:source' "
+                       f"WHEN p{i}.tid IS NULL THEN '{lk.column}:target' END")
+    columns = ", ".join(_columns(spec.insert_columns))
+    return rows.sparkSession.sql(
+        f"SELECT * FROM (SELECT {columns}, concat_ws(',', {', '.join(reasons) or 'NULL'}) AS reason "
+        f"FROM {{rows}} f {' '.join(joins)}) WHERE reason <> ''", **tables,
+    )

@@ -8,34 +8,36 @@ whose size is fixed, goes through one task or a broadcast.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 DIGITS = 3
 COPIES_PER_CHUNK = 65536
 
 
-def bucket_of(key: Column, digits: int = DIGITS) -> Column:
-    return F.substring(F.md5(key.cast("string")), 1, digits)
-
-
 def place_keys(keys: DataFrame, key: str, digits: int = DIGITS) -> DataFrame:
-    """(key, bucket, last): 1, 2, … within each bucket. Keys are distinct and not NULL."""
-    bucketed = keys.select(key, bucket_of(F.col(key), digits).alias("bucket"))
-    place = F.row_number().over(Window.partitionBy("bucket").orderBy(key)).cast("long")
-    return bucketed.select(key, "bucket", place.alias("last"))
+    """(key, bucket, last): 1, 2, … within each bucket. Keys are distinct and not NULL.
+
+    The bucket is declared never NULL so that the join and the count read one shuffle.
+    """
+    return keys.sparkSession.sql(
+        f"""SELECT {key}, bucket,
+                   CAST(row_number() OVER (PARTITION BY bucket ORDER BY {key}) AS BIGINT) AS last
+            FROM (SELECT {key}, coalesce(substr(md5(CAST({key} AS STRING)), 1, {digits}), '') AS bucket FROM {{keys}})""",
+        keys=keys,
+    )
 
 
 def place_copies(rows: DataFrame, digits: int = DIGITS) -> DataFrame:
-    """(the row, _copies, bucket, last): equal rows counted, with the running count per bucket.
+    """(the row, copies_, bucket, last): equal rows counted, with the running count per bucket.
     The count combines before the shuffle, so no task receives all copies of a row."""
-    columns = rows.columns
-    groups = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
-    groups = groups.withColumn(
-        "bucket", F.concat(F.lit("z"), bucket_of(F.to_json(F.struct(*columns)), digits))
+    columns = ", ".join(rows.columns)
+    return rows.sparkSession.sql(
+        f"""SELECT *, sum(copies_) OVER (PARTITION BY bucket ORDER BY {columns}
+                                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last
+            FROM (SELECT *, concat('z', coalesce(substr(md5(to_json(struct({columns}))), 1, {digits}), '')) AS bucket
+                  FROM (SELECT {columns}, count(1) AS copies_ FROM {{rows}} GROUP BY {columns}))""",
+        rows=rows,
     )
-    upto = Window.partitionBy("bucket").orderBy(*columns).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return groups.withColumn("last", F.sum("_copies").over(upto))
 
 
 def bucket_starts(target: DataFrame, surrogate: str, *placed: DataFrame) -> DataFrame:
@@ -44,31 +46,39 @@ def bucket_starts(target: DataFrame, surrogate: str, *placed: DataFrame) -> Data
     A bucket's count is its highest place, read off the shuffle that the places were given on.
     At most 16**DIGITS rows per placed table, so one task adds them up.
     """
-    top = F.coalesce(F.max(surrogate), F.lit(0)).cast("long")
-    sizes = target.agg(top.alias("n")).select(F.lit("").alias("bucket"), "n")
-    for table in placed:
-        sizes = sizes.unionByName(table.groupBy("bucket").agg(F.max("last").alias("n")))
-    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    return sizes.select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long").alias("start"))
+    tables = {f"p{i}": table for i, table in enumerate(placed)}
+    sizes = [f"SELECT bucket, max(last) AS n FROM {{{name}}} GROUP BY bucket" for name in tables]
+    top = f"SELECT '' AS bucket, coalesce(CAST(max({surrogate}) AS BIGINT), 0) AS n FROM {{target}}"
+    return target.sparkSession.sql(
+        f"""SELECT bucket, coalesce(sum(n) OVER (ORDER BY bucket
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+            FROM ({' UNION ALL '.join([top, *sizes])})""",
+        target=target, **tables,
+    )
 
 
 def key_ids(placed: DataFrame, starts: DataFrame, key: str, surrogate: str) -> DataFrame:
     """(key, surrogate) for placed keys."""
-    numbered = placed.join(F.broadcast(starts), "bucket")
-    return numbered.select(key, (F.col("start") + F.col("last")).alias(surrogate))
+    return placed.sparkSession.sql(
+        f"""SELECT /*+ BROADCAST(s) */ p.{key}, s.start + p.last AS {surrogate}
+            FROM {{placed}} p JOIN {{starts}} s ON p.bucket = s.bucket""",
+        placed=placed, starts=starts,
+    )
 
 
 def copy_ids(placed: DataFrame, starts: DataFrame, columns: list[str], surrogate: str) -> DataFrame:
     """Placed copies written out again, each with its id, in chunks that any task may take."""
-    first = F.col("start") + F.col("last") - F.col("_copies") + 1
-    numbered = placed.join(F.broadcast(starts), "bucket").withColumn("_first", first)
-    last_chunk = F.floor((F.col("_copies") - 1) / COPIES_PER_CHUNK)
-    chunks = numbered.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)))
-    chunks = chunks.repartition("_first", "_chunk")
-    low = F.col("_chunk") * COPIES_PER_CHUNK
-    high = F.least(low + COPIES_PER_CHUNK, F.col("_copies")) - 1
-    copies = chunks.withColumn("_copy", F.explode(F.sequence(low, high)))
-    return copies.select((F.col("_first") + F.col("_copy")).alias(surrogate), *columns)
+    names = ", ".join(columns)
+    return placed.sparkSession.sql(
+        f"""SELECT first_ + copy_ AS {surrogate}, {names}
+            FROM (SELECT /*+ REPARTITION(first_, chunk_) */ *
+                  FROM (SELECT *, explode(sequence(0L, (copies_ - 1) DIV {COPIES_PER_CHUNK})) AS chunk_
+                        FROM (SELECT /*+ BROADCAST(s) */ p.*, s.start + p.last - p.copies_ + 1 AS first_
+                              FROM {{placed}} p JOIN {{starts}} s ON p.bucket = s.bucket)))
+            LATERAL VIEW explode(sequence(chunk_ * {COPIES_PER_CHUNK},
+                                          least((chunk_ + 1) * {COPIES_PER_CHUNK}, copies_) - 1)) AS copy_""",
+        placed=placed, starts=starts,
+    )
 
 
 def new_key_ids(keys: DataFrame, key: str, target: DataFrame, surrogate: str, digits: int = DIGITS) -> DataFrame:

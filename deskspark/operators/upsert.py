@@ -11,7 +11,6 @@ from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from deskspark.functions.clock import stamp
 from deskspark.functions.keys import BINARY, match_key
@@ -31,81 +30,89 @@ def fold(rows: DataFrame, spec: EntitySpec) -> DataFrame:
     The aggregates combine before the shuffle, so a key that holds a large share of all rows
     sends one row per input task.
     """
-    keyed = rows.filter(F.col(spec.key).isNotNull()).withColumn("_k", match_key(F.col(spec.key), spec.match))
-    first = []
-    if spec.stamped:
-        first.append("dt_inclusao")
-    if spec.match != BINARY:
-        first.append(spec.key)
     order = spec.order_columns
-    aggregates = [F.max(F.struct(*order)).alias("_last"), F.count(F.lit(1)).alias(COUNT)]
+    first = (["dt_inclusao"] if spec.stamped else []) + ([spec.key] if spec.match != BINARY else [])
+    aggregates = [f"max(struct({', '.join(order)})) AS _last", f"count(1) AS {COUNT}"]
     if first:
         seq = order[: order.index(spec.key)] if spec.stamped else ()
-        aggregates.append(F.min(F.struct(*dict.fromkeys((*seq, *first)))).alias("_first"))
-    folded = keyed.groupBy("_k").agg(*aggregates)
-    return folded.select("_k", *(F.col(f"_{'first' if c in first else 'last'}.{c}").alias(c)
-                                 for c in spec.insert_columns), COUNT)
+        aggregates.append(f"min(struct({', '.join(dict.fromkeys((*seq, *first)))})) AS _first")
+    columns = [f"{'_first' if c in first else '_last'}.{c} AS {c}" for c in spec.insert_columns]
+    return rows.sparkSession.sql(
+        f"""SELECT _k, {', '.join(columns)}, {COUNT}
+            FROM (SELECT {match_key(spec.key, spec.match)} AS _k, {', '.join(aggregates)}
+                  FROM {{rows}} WHERE {spec.key} IS NOT NULL GROUP BY 1)""",
+        rows=rows,
+    )
 
 
 def new_keys(folded: DataFrame, target: DataFrame, spec: EntitySpec) -> DataFrame:
     """(_k): folded keys the target lacks."""
-    held = target.select(match_key(F.col(spec.key), spec.match).alias("_k"))
-    return folded.select("_k").join(held, "_k", "left_anti")
+    key = match_key(f"t.{spec.key}", spec.match)
+    return folded.sparkSession.sql(
+        f"SELECT f._k FROM {{folded}} f LEFT ANTI JOIN {{target}} t ON f._k = {key}", folded=folded, target=target
+    )
+
+
+def lacks_keys(rows: DataFrame, spec: EntitySpec) -> bool:
+    """Whether any row has no key. Reads one column, and of a Parquet file only parts with NULLs."""
+    return not rows.filter(f"{spec.key} IS NULL").isEmpty()
 
 
 def merge(target: DataFrame, rows: DataFrame, spec: EntitySpec, run_ts: datetime,
-          stage: Stage | None = None) -> DataFrame:
+          stage: Stage | None = None, null_keys: bool = True) -> DataFrame:
     """The whole target after the run, with `_action` and the count of rows behind each row.
 
     `rows` are resolved rows (`spec.insert_columns`). `stage` may write the folded rows out and
-    read them back, as they are read twice where ids have to be given.
+    read them back, as they are read twice where ids have to be given. Where the caller has
+    seen that no row lacks its key, `null_keys=False` leaves that part of the plan out.
     """
     folded = fold(rows, spec)
-    fresh = rows.filter(F.col(spec.key).isNull()).select(*spec.insert_columns)
+    fresh = rows.filter(f"{spec.key} IS NULL").select(*spec.insert_columns)
+    tables = {"target": target}
+    new_id = id_join = ""
     if spec.surrogate:
         if stage:
             folded = stage(folded)
-        keyed, unkeyed = place_keys(new_keys(folded, target, spec), "_k"), place_copies(fresh)
-        starts = bucket_starts(target, spec.surrogate, keyed, unkeyed)
-        folded = folded.join(key_ids(keyed, starts, "_k", spec.surrogate), "_k", "left")
-        fresh = copy_ids(unkeyed, starts, list(spec.insert_columns), spec.surrogate)
-
-    kept = target.filter(F.col(spec.key).isNull()).select(
-        *spec.target_columns, F.lit("keep").alias(ACTION), F.lit(0).cast("long").alias(COUNT)
-    )
-    inserted = fresh.select(
-        *spec.target_columns, F.lit("insert").alias(ACTION), F.lit(1).cast("long").alias(COUNT)
+        keyed = place_keys(new_keys(folded, target, spec), "_k")
+        placed = [keyed]
+        if null_keys:
+            placed.append(place_copies(fresh))
+        starts = bucket_starts(target, spec.surrogate, *placed)
+        tables["ids"] = key_ids(keyed, starts, "_k", spec.surrogate)
+        if null_keys:
+            fresh = copy_ids(placed[1], starts, list(spec.insert_columns), spec.surrogate)
+        new_id = f", i.{spec.surrogate}"
+        id_join = "LEFT JOIN {ids} i ON f._k = i._k"
+    tables["folded"] = folded
+    columns = ", ".join(spec.target_columns)
+    inserts = ""
+    if null_keys:
+        tables["fresh"] = fresh
+        inserts = f"UNION ALL SELECT {columns}, 'insert', 1L FROM {{fresh}}"
+    return target.sparkSession.sql(
+        f"""SELECT {', '.join(_merged_columns(spec, run_ts))},
+                   CASE WHEN s._s AND t._t THEN 'update' WHEN s._s THEN 'insert' ELSE 'keep' END AS {ACTION},
+                   coalesce(s.{COUNT}, 0L) AS {COUNT}
+            FROM (SELECT *, {match_key(spec.key, spec.match)} AS _k, true AS _t FROM {{target}}
+                  WHERE {spec.key} IS NOT NULL) t
+            FULL OUTER JOIN (SELECT f.*, true AS _s{new_id} FROM {{folded}} f {id_join}) s ON t._k = s._k
+            UNION ALL SELECT {columns}, 'keep', 0L FROM {{target}} WHERE {spec.key} IS NULL
+            {inserts}""",
+        **tables,
     )
-    return _merge_keyed(target, folded, spec, run_ts).unionByName(kept).unionByName(inserted)
 
 
-def _merge_keyed(target: DataFrame, folded: DataFrame, spec: EntitySpec, run_ts: datetime) -> DataFrame:
-    """Full outer join on the key. Marker columns, not key columns, tell the sides apart."""
-    old = target.filter(F.col(spec.key).isNotNull()).select(
-        match_key(F.col(spec.key), spec.match).alias("_tk"),
-        F.lit(True).alias("_t"),
-        *(F.col(c).alias(f"t_{c}") for c in spec.target_columns),
-    )
-    new = folded.select(
-        F.col("_k").alias("_sk"), F.lit(True).alias("_s"), COUNT,
-        *(F.col(c).alias(f"s_{c}") for c in spec.target_columns),
-    )
-    both = old.join(new, F.col("_tk") == F.col("_sk"), "full_outer")
-    in_source, in_target = F.col("_s").isNotNull(), F.col("_t").isNotNull()
+def _merged_columns(spec: EntitySpec, run_ts: datetime) -> list[str]:
+    """Marker columns, not key columns, tell the two sides of the outer join apart."""
     updated = set(spec.update_columns)
     columns = []
     for c in spec.target_columns:
-        s, t = F.col(f"s_{c}"), F.col(f"t_{c}")
         if c in updated:
-            value = F.when(in_source, s).otherwise(t)
+            value = f"CASE WHEN s._s THEN s.{c} ELSE t.{c} END"
         elif c == "dt_atualizacao":
-            value = (
-                F.when(in_source & (in_target | (F.col(COUNT) > 1)), stamp(run_ts))
-                .when(in_source, s)
-                .otherwise(t)
-            )
+            value = (f"CASE WHEN s._s AND (t._t OR s.{COUNT} > 1) THEN {stamp(run_ts)} "
+                     f"WHEN s._s THEN s.{c} ELSE t.{c} END")
         else:
-            value = F.when(in_target, t).otherwise(s)
-        columns.append(value.alias(c))
-    action = F.when(in_source & in_target, "update").when(in_source, "insert").otherwise("keep")
-    return both.select(*columns, action.alias(ACTION), F.coalesce(COUNT, F.lit(0).cast("long")).alias(COUNT))
+            value = f"CASE WHEN t._t THEN t.{c} ELSE s.{c} END"
+        columns.append(f"{value} AS {c}")
+    return columns

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from deskspark.functions.clock import utc_now
 from deskspark.operators import checks
 from deskspark.operators.resolve import link, resolve
-from deskspark.operators.upsert import ACTION, BOOKKEEPING, COUNT, merge
+from deskspark.operators.upsert import ACTION, BOOKKEEPING, COUNT, lacks_keys, merge
 from deskspark.plans.entities import ENTITIES, load_levels
 from deskspark.plans.spec import EntitySpec
 from deskspark.session import broadcastable
@@ -63,8 +63,7 @@ class Loader:
         self.spark, self.source, self.store, self.specs = spark, source, store, specs
         self.run_ts = run_ts or utc_now()
         self.on_violation = on_violation
-        self._lock = threading.Lock()
-        self._parents: dict[str, tuple[DataFrame, DataFrame | None]] = {}
+        self._once = _OncePerKey()
 
     def current(self, name: str) -> DataFrame:
         return self.store.current(name, self.specs[name].target_schema)
@@ -73,13 +72,14 @@ class Loader:
         """Read, resolve, check, merge, write, then publish. Anything raised before the last
         step leaves the published version as it was."""
         spec = self.specs[name]
-        rows = self.source[name]
+        rows = self._rows(name)
         report = LoadReport(name, rows_read=rows.count())
         log.info("%s: %d rows read", name, report.rows_read)
         parents = {lk.parent: self._parent(lk.parent) for lk in spec.lookups}
         ids = {p: table for p, (table, _) in parents.items()}
         links = {p: pair for p, (_, pair) in parents.items() if pair is not None}
-        resolved = resolve(rows, spec, self.source, ids, self.specs, links)
+        sources = {p: self._rows(p) for p in parents if p not in links}
+        resolved = resolve(rows, spec, sources, ids, self.specs, links)
 
         report.quarantined = 0
         if spec.domain:
@@ -89,7 +89,7 @@ class Loader:
         stage = None
         if spec.surrogate and not broadcastable(rows):
             stage = lambda df: self.store.stage(name, df)
-        merged = merge(self.current(name), resolved, spec, self.run_ts, stage)
+        merged = merge(self.current(name), resolved, spec, self.run_ts, stage, lacks_keys(rows, spec))
         seen = Observation()
         count = lambda action: F.count(F.when(F.col(ACTION) == action, 1))
         merged = merged.observe(
@@ -101,8 +101,7 @@ class Loader:
         report.inserted, report.updated, report.kept = (facts.get(k, 0) for k in ("inserted", "updated", "kept"))
         report.rejected = report.rows_read - report.quarantined - facts.get("merged", 0)
         self.store.publish(name, version, **{k: v for k, v in asdict(report).items() if k != "entity"})
-        with self._lock:
-            self._parents.pop(name, None)
+        self._once.forget(("parent", name))
         log.info("%s: %s", name, report)
         return report
 
@@ -152,22 +151,45 @@ class Loader:
         self.store.publish(name, version)
         return seen.get.get("n", 0)
 
+    def _rows(self, name: str) -> DataFrame:
+        """A source table. One that may change while it is read, such as a database table, is
+        written out first, so that the whole run sees the same rows and reads them once."""
+        if not getattr(self.source, "live", False):
+            return self.source[name]
+        return self._once.get(("rows", name), lambda: self.store.stage(f"source_{name}", self.source[name]))
+
     def _parent(self, name: str) -> tuple[DataFrame, DataFrame | None]:
         """A parent's current table, checked once per run for ambiguous keys, and, where it is too
         large to broadcast, its source-to-target ids, written once and shared by its children."""
+
+        def prepare() -> tuple[DataFrame, DataFrame | None]:
+            spec, rows, table = self.specs[name], self._rows(name), self.current(name)
+            checks.require_unambiguous(table, spec)
+            if all(broadcastable(side.select(spec.surrogate, spec.key)) for side in (rows, table)):
+                return table, None
+            return table, self.store.stage(f"link_{name}", link(rows, table, spec))
+
+        return self._once.get(("parent", name), prepare)
+
+
+class _OncePerKey:
+    """Results computed once per key, also when several threads ask at the same time."""
+
+    def __init__(self):
+        self._lock = threading.Lock()
+        self._locks: dict = {}
+        self._results: dict = {}
+
+    def get(self, key, compute):
         with self._lock:
-            if name not in self._parents:
-                spec, table = self.specs[name], self.current(name)
-                checks.require_unambiguous(table, spec)
-                small = broadcastable(self.source[name].select(spec.surrogate, spec.key)) and broadcastable(
-                    table.select(spec.key, spec.surrogate)
-                )
-                pair = None
-                if not small:
-                    pair = link(self.source[name], table, spec).select("_sid", "_tid")
-                    pair = self.store.stage(f"link_{name}", pair)
-                self._parents[name] = (table, pair)
-            return self._parents[name]
+            lock = self._locks.setdefault(key, threading.Lock())
+        with lock:
+            if key not in self._results:
+                self._results[key] = compute()
+            return self._results[key]
+
+    def forget(self, key) -> None:
+        self._results.pop(key, None)
 
 
 def report_frame(spark: SparkSession, reports: list[LoadReport]) -> DataFrame:

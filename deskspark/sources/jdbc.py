@@ -72,6 +72,8 @@ def write_table(df: DataFrame, spec: EntitySpec, options: Mapping[str, str], sch
 class JdbcSource(Mapping):
     """name -> DataFrame over the tables of one database schema."""
 
+    live = True
+
     def __init__(self, spark: SparkSession, schema: str, options: Mapping[str, str] | None = None,
                  slices: int = 64, specs: Mapping[str, EntitySpec] = ENTITIES):
         self.spark, self.schema, self.slices, self.specs = spark, schema, slices, specs

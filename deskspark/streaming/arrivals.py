@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from deskspark.functions.clock import utc_now
@@ -19,7 +19,8 @@ def batch_version(batch_id: int) -> str:
     return f"batch-{batch_id:012d}"
 
 
-def load_arrivals(stream: DataFrame, name: str, source: Mapping[str, DataFrame], store: TableStore,
+def load_arrivals(stream: DataFrame, name: str, source: Callable[[SparkSession], Mapping[str, DataFrame]],
+                  store: TableStore,
                   checkpoint: str, run_ts: datetime | Callable[[], datetime] = utc_now,
                   on_violation: str = FAIL, specs: Mapping[str, EntitySpec] = ENTITIES,
                   trigger: Mapping | None = None) -> StreamingQuery:
@@ -27,7 +28,7 @@ def load_arrivals(stream: DataFrame, name: str, source: Mapping[str, DataFrame],
 
     The version is named after the batch, so a batch that is replayed after its publish is
     recognised and left alone, and one that failed before it is written again from the start.
-    `source` supplies the parents.
+    `source` supplies the parents within the session that Spark hands to the batch.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
@@ -36,8 +37,10 @@ def load_arrivals(stream: DataFrame, name: str, source: Mapping[str, DataFrame],
         if pointer and pointer["version"] == version:
             return
         now = run_ts() if callable(run_ts) else run_ts
-        tables = {**{lk.parent: source[lk.parent] for lk in specs[name].lookups}, name: batch}
-        Loader(batch.sparkSession, tables, store, now, on_violation, specs).load(name, version)
+        session = batch.sparkSession
+        parents = source(session)
+        tables = {**{lk.parent: parents[lk.parent] for lk in specs[name].lookups}, name: batch}
+        Loader(session, tables, TableStore(session, store.root), now, on_violation, specs).load(name, version)
 
     writer = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()

@@ -12,10 +12,21 @@ from collections.abc import Iterator, Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 RUN_TS = datetime(2024, 2, 1)
 
+BASE_SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
 
 def _ts(text: str) -> str:
     return f"CAST('{text}' AS @NTZ)"
@@ -200,12 +211,7 @@ class Standins(Mapping):
         self.spark, self.sf_dir, self.tables = spark, sf_dir, tables
 
     def __getitem__(self, name: str) -> DataFrame:
-        base, keys, columns = self.tables[name]
-        df = base_table(self.spark, self.sf_dir, base)
-        exprs = [F.expr(c.replace("@NTZ", "TIMESTAMP_NTZ")) for c in columns]
-        if not keys:
-            return df.select(*exprs)
-        return df.groupBy(*keys).agg(*exprs).drop(*keys)
+        return derive(self.tables, name, base_table(self.spark, self.sf_dir, self.tables[name][0]))
 
     def __iter__(self) -> Iterator[str]:
         return iter(self.tables)
@@ -215,7 +221,14 @@ class Standins(Mapping):
 
 
 def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(BASE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+def derive(tables: Mapping[str, tuple], name: str, base: DataFrame) -> DataFrame:
+    _, keys, columns = tables[name]
+    group = f"GROUP BY {', '.join(keys)}" if keys else ""
+    sql = f"SELECT {', '.join(columns)} FROM {{base}} {group}".replace("@NTZ", "TIMESTAMP_NTZ")
+    return base.sparkSession.sql(sql, base=base)
 
 
 def source(spark: SparkSession, sf_dir: str) -> Standins:
