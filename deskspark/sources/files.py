@@ -10,10 +10,11 @@ from pyspark.sql import types as T
 from deskspark.plans.entities import ENTITIES
 from deskspark.plans.spec import EntitySpec
 
-# NULL and the empty string must stay apart in CSV.
+# NULL, the empty string and blanks must stay apart in CSV.
 CSV_OPTIONS = {
-    "header": "true", "nullValue": "\\N", "emptyValue": "", "multiLine": "true", "escape": '"',
-    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "mode": "FAILFAST",
+    "header": "true", "nullValue": "\\N", "multiLine": "true", "escape": '"', "mode": "FAILFAST",
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
 ROWS_PER_CSV_FILE = 1_000_000
 

@@ -24,6 +24,12 @@ def connect(sf: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+SPARK_TYPES = {
+    "BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "BOOLEAN": "boolean", "DOUBLE": "double",
+    "TIMESTAMP": "timestamp_ntz", "DATE": "date",
+}
+
+
 def _plain(value):
     if isinstance(value, float):
         return "nan" if math.isnan(value) else round(value, 6)
@@ -43,6 +49,9 @@ def compare(spark, con, sf: str, name: str) -> tuple[bool, str]:
     sql = entry.oracle_sql().get(name)
     if sql is None:
         return True, f"{len(got[1])} rows, no SQL, {seconds:.1f}s"
+    types = {r[0]: SPARK_TYPES.get(r[1], r[1]) for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    if types != {f.name: f.dataType.simpleString() for f in df.schema}:
+        return False, f"types {sorted(types.items())} vs {sorted((f.name, f.dataType.simpleString()) for f in df.schema)}"
     cursor = con.execute(sql)
     want = rows_of([d[0] for d in cursor.description], cursor.fetchall())
     if got == want:

@@ -1,0 +1,208 @@
+from __future__ import annotations
+
+from datetime import datetime
+
+import pytest
+
+from conftest import OLD, RUN_TS, audit, canon, frame, records
+from deskspark.operators.checks import DomainViolation
+from deskspark.plans.entities import ENTITIES, load_levels
+from deskspark.plans.pipeline import QUARANTINE, Loader, LoadFailed, report_frame
+from deskspark.sources.store import TableStore
+from deskspark.streaming.arrivals import batch_version, load_arrivals
+
+CNPJ = "00012345000199"
+
+
+def desk(spark):
+    """A small service desk with the edge cases of each kind."""
+    rows = {
+        "csat": [{"Id": 1, "Column1": "a", "Column2": "b"}],
+        "sla": [{"id_sla": 1, "cd_sla": "S1", "nm_sla": "gold", "qt_meta_minutos": 60, **audit()}],
+        "categoria": [{"id_categoria": 1, "cd_categoria": "C1", **audit()}],
+        "cliente_organizacao": [
+            {"id_cliente_organizacao": 1, "cd_cliente_organizacao": "O1", "nr_cnpj": CNPJ, **audit()}],
+        "fila": [{"id_fila": 1, "cd_fila": "Q1", **audit()}, {"id_fila": 2, "cd_fila": "Q2", **audit()}],
+        "solicitante": [
+            {"id_solicitante": 1, "cd_solicitante": "P1", "id_cliente_organizacao": 1, **audit()},
+            {"id_solicitante": 2, "cd_solicitante": "P2", "id_cliente_organizacao": 9, **audit()},
+            {"id_solicitante": 3, "cd_solicitante": "P3", "id_cliente_organizacao": None, **audit()}],
+        "analista": [
+            {"id_analista": 1, "cd_analista": "A1", "id_fila_atual": 2, **audit()},
+            {"id_analista": 2, "cd_analista": "A2", "id_fila_atual": None, **audit()}],
+        "chamado": [
+            {"id_chamado": 1, "nr_chamado": "T1", "ds_status_chamado": "OPEN", "id_analista_atual": 1,
+             "id_reporter": 1, "id_categoria": 1, "id_cliente_organizacao": 1, "id_fila_atual": 7, **audit()},
+            {"id_chamado": 2, "nr_chamado": "T2", "id_reporter": 2, "id_cliente_organizacao": 1, **audit()}],
+        "chamado_status_historico": [
+            {"id_chamado": 1, "ds_status_chamado": "OPEN", "id_fila": 2, **audit(record="H1")},
+            {"id_chamado": 1, "ds_status_chamado": None, **audit(record="H2")},
+            {"id_chamado": 2, "ds_status_chamado": "OPEN", **audit(record="H3")},
+            {"id_chamado": 1, "ds_status_chamado": "CLOSED", **audit(record=None)}],
+        "csat_avaliacao": [{"id_chamado": 1, "id_analista": 2, "nr_score": 5, **audit(record="E1")}],
+        "chamado_sla": [{"id_chamado": 1, "id_sla": 1, "fl_breach": True, "qt_tempo_restante_minutos": -5,
+                         **audit(record="K1")}],
+    }
+    return {name: frame(spark, ENTITIES[name].source_schema, r) for name, r in rows.items()}
+
+
+def loader(spark, tmp_path, source, **options):
+    return Loader(spark, source, TableStore(spark, str(tmp_path)), options.pop("run_ts", RUN_TS), **options)
+
+
+def test_levels():
+    assert load_levels() == [
+        ["categoria", "cliente_organizacao", "csat", "fila", "sla"], ["analista", "solicitante"], ["chamado"],
+        ["chamado_sla", "chamado_status_historico", "csat_avaliacao"],
+    ]
+
+
+def test_first_and_second_run(spark, tmp_path):
+    run = loader(spark, tmp_path, desk(spark))
+    reports = {r.entity: r for r in run.run_all()}
+    counts = {n: (r.rows_read, r.rejected, r.inserted, r.updated, r.kept) for n, r in reports.items()}
+    assert counts["solicitante"] == (3, 2, 1, 0, 0)
+    assert counts["chamado"] == (2, 1, 1, 0, 0)
+    assert counts["chamado_status_historico"] == (4, 1, 3, 0, 0)
+    ticket = run.current("chamado").first()
+    queue = {r.cd_fila: r.id_fila for r in run.current("fila").collect()}
+    assert (ticket.id_fila_atual, ticket.id_chamado) == (None, 1)
+    assert ticket.id_reporter == run.current("solicitante").first().id_solicitante
+    assert run.current("cliente_organizacao").first().nr_cnpj == CNPJ
+    assert {r.cd_analista: r.id_fila_atual for r in run.current("analista").collect()} == {"A1": queue["Q2"], "A2": None}
+    before = {n: records(run.current(n)) for n in ENTITIES}
+    frame_ = report_frame(spark, list(reports.values()))
+    assert frame_.count() == 11 and frame_.filter("status = 'loaded'").count() == 11
+
+    later = datetime(2024, 3, 1)
+    again = loader(spark, tmp_path, desk(spark), run_ts=later)
+    reports = {r.entity: r for r in again.run_all()}
+    assert (reports["chamado_status_historico"].inserted, reports["chamado_status_historico"].updated) == (1, 2)
+    for name, spec in ENTITIES.items():
+        still = [c for c in spec.target_columns if c != "dt_atualizacao"]
+        old, new = before[name], records(again.current(name))
+        if name == "chamado_status_historico":
+            assert len(new) == len(old) + 1
+            old, new = ([r for r in rows if r["cd_registro_origem"]] for rows in (old, new))
+        assert canon(old, still) == canon(new, still)
+        if spec.stamped:
+            assert {r["dt_atualizacao"] for r in new} == {later}
+
+
+def test_second_run_repairs_an_optional_lookup(spark, tmp_path):
+    source = desk(spark)
+    late = {**source, "fila": source["fila"].filter("cd_fila = 'Q1'")}
+    first = loader(spark, tmp_path, {**late, "analista": source["analista"]})
+    first.run_all()
+    assert {r.cd_analista: r.id_fila_atual for r in first.current("analista").collect()}["A1"] is None
+    second = loader(spark, tmp_path, source)
+    second.run_all()
+    assert {r.cd_analista: r.id_fila_atual for r in second.current("analista").collect()}["A1"] == 2
+
+
+def test_a_status_outside_the_domain_fails_the_load(spark, tmp_path):
+    source = desk(spark)
+    bad = frame(spark, ENTITIES["chamado_status_historico"].source_schema, [
+        {"id_chamado": 1, "ds_status_chamado": "REOPENED", **audit("2023-01-01", "2023-01-01", record="H1")},
+        {"id_chamado": 1, "ds_status_chamado": "OPEN", **audit(record="H1")}])
+    run = loader(spark, tmp_path, {**source, "chamado_status_historico": bad})
+    with pytest.raises(LoadFailed) as failure:
+        run.run_all()
+    assert isinstance(failure.value.errors["chamado_status_historico"], DomainViolation)
+    assert {r.entity for r in failure.value.reports if r.status == "failed"} == {"chamado_status_historico"}
+    assert run.current("chamado_status_historico").count() == 0
+    assert run.current("chamado_sla").count() == 1
+
+
+def test_a_bad_status_of_a_dropped_row_does_not_matter(spark, tmp_path):
+    bad = frame(spark, ENTITIES["chamado_status_historico"].source_schema, [
+        {"id_chamado": 99, "ds_status_chamado": "REOPENED", **audit(record="H1")}])
+    run = loader(spark, tmp_path, {**desk(spark), "chamado_status_historico": bad})
+    assert {r.entity: r.rejected for r in run.run_all()}["chamado_status_historico"] == 1
+
+
+def test_quarantine(spark, tmp_path):
+    source = desk(spark)
+    bad = source["chamado_status_historico"].union(frame(spark, ENTITIES["chamado_status_historico"].source_schema, [
+        {"id_chamado": 1, "ds_status_chamado": "REOPENED", **audit(record="H9")}]))
+    run = loader(spark, tmp_path, {**source, "chamado_status_historico": bad}, on_violation=QUARANTINE)
+    report = {r.entity: r for r in run.run_all()}["chamado_status_historico"]
+    assert (report.rows_read, report.rejected, report.quarantined, report.inserted) == (5, 1, 1, 3)
+    spec = ENTITIES["chamado_status_historico"]
+    aside = run.store.current("chamado_status_historico_quarantine", spec.target_schema)
+    assert [r.cd_registro_origem for r in aside.collect()] == ["H9"]
+
+
+def test_a_failed_parent_stops_its_children(spark, tmp_path):
+    source = desk(spark)
+    source["fila"] = source["fila"].selectExpr(
+        *(c if c != "id_fila" else "CAST(raise_error('lost') AS BIGINT) AS id_fila" for c in source["fila"].columns),
+    ).withColumnRenamed("cd_fila", "cd_other")
+    run = loader(spark, tmp_path, source)
+    with pytest.raises(LoadFailed) as failure:
+        run.run_all()
+    status = {r.entity: r.status for r in failure.value.reports}
+    assert status["fila"] == "failed"
+    assert all(status[n] == "skipped" for n in ("analista", "chamado", "chamado_sla", "csat_avaliacao"))
+    assert status["solicitante"] == status["sla"] == "loaded"
+
+
+def test_empty_source(spark, tmp_path):
+    empty = {n: frame(spark, s.source_schema, []) for n, s in ENTITIES.items()}
+    run = loader(spark, tmp_path, empty)
+    assert all((r.rows_read, r.inserted, r.kept) == (0, 0, 0) for r in run.run_all())
+    run.store.publish("sla", run.store.write("sla", frame(spark, ENTITIES["sla"].target_schema,
+                                                          [{"id_sla": 5, "cd_sla": "S", **OLD}])))
+    assert run.load("sla").kept == 1
+
+
+class Live(dict):
+    live = True
+
+
+def test_live_and_large_tables_give_the_same(spark, tmp_path):
+    """Tables staged first, parents looked up through written pairs."""
+    plain = loader(spark, tmp_path / "plain", desk(spark))
+    plain.run_all()
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = loader(spark, tmp_path / "large", Live(desk(spark)))
+        large.run_all()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    for name, spec in ENTITIES.items():
+        assert canon(records(large.current(name)), spec.target_columns) == canon(
+            records(plain.current(name)), spec.target_columns)
+
+
+def test_stream_of_arrivals(spark, tmp_path):
+    source = desk(spark)
+    store = TableStore(spark, str(tmp_path / "store"))
+    Loader(spark, source, store, RUN_TS).load("cliente_organizacao")
+    spec = ENTITIES["solicitante"]
+    arrivals = str(tmp_path / "arrivals")
+    orgs = str(tmp_path / "orgs")
+    source["cliente_organizacao"].write.parquet(orgs)
+
+    def parents(session):
+        return {"cliente_organizacao": session.read.schema(ENTITIES["cliente_organizacao"].source_schema).parquet(orgs)}
+
+    def arrive(**values):
+        row = {"id_solicitante": 1, "cd_solicitante": "P1", "id_cliente_organizacao": 1, **audit(), **values}
+        frame(spark, spec.source_schema, [row]).coalesce(1).write.mode("append").parquet(arrivals)
+
+    def drain():
+        stream = spark.readStream.schema(spec.source_schema).option("maxFilesPerTrigger", 1).parquet(arrivals)
+        query = load_arrivals(stream, spec.name, parents, store, str(tmp_path / "checkpoint"), RUN_TS)
+        query.awaitTermination()
+
+    arrive(nm_solicitante="first")
+    drain()
+    arrive(nm_solicitante="second")
+    arrive(cd_solicitante="P2", nm_solicitante="other")
+    drain()
+    got = {r.cd_solicitante: (r.id_solicitante, r.nm_solicitante, r.dt_atualizacao)
+           for r in store.current(spec.name, spec.target_schema).collect()}
+    assert got == {"P1": (1, "second", RUN_TS), "P2": (2, "other", datetime(2023, 12, 31))}
+    assert store.pointer(spec.name)["version"] == batch_version(2)
