@@ -44,15 +44,17 @@ def _stage(spark: SparkSession, name: str, rows: DataFrame):
     return lambda df: store.stage(name, df)
 
 
-def _merged(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    spec = ENTITIES[name]
-    rows = standin.source(spark, sf)[name]
-    return merge(standin.target(spark, sf)[name], _resolved(spark, sf, name), spec, RUN_TS,
-                 _stage(spark, name, rows) if spec.surrogate else None, lacks_keys(rows, spec))
+def _merged(spark: SparkSession, sf: str, name: str, numbered: bool = True) -> DataFrame:
+    """The load of `name`; `numbered=False` spares giving ids where nothing reads them."""
+    spec = ENTITIES[name] if numbered else ENTITIES[name].with_options(surrogate=None)
+    rows, target = standin.source(spark, sf)[name], standin.target(spark, sf)[name]
+    return merge(target, _resolved(spark, sf, name), spec, RUN_TS,
+                 _stage(spark, name, rows) if spec.surrogate else None,
+                 lacks_keys(rows, spec), lacks_keys(target, spec))
 
 
-def _loaded(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return _merged(spark, sf, name).drop(*BOOKKEEPING)
+def _loaded(spark: SparkSession, sf: str, name: str, numbered: bool = True) -> DataFrame:
+    return _merged(spark, sf, name, numbered).drop(*BOOKKEEPING)
 
 
 def _load(name: str) -> Query:
@@ -72,7 +74,7 @@ def _resolve(name: str) -> Query:
 
 
 def upsert_actions(spark: SparkSession, sf: str) -> DataFrame:
-    return _merged(spark, sf, "chamado").select("nr_chamado", F.col(ACTION).alias("acao"))
+    return _merged(spark, sf, "chamado", numbered=False).select("nr_chamado", F.col(ACTION).alias("acao"))
 
 
 def upsert_audit(spark: SparkSession, sf: str) -> DataFrame:
@@ -101,11 +103,12 @@ def upsert_null_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def upsert_rerun(spark: SparkSession, sf: str) -> DataFrame:
-    first = _loaded(spark, sf, "solicitante")
-    rows = _resolved(spark, sf, "solicitante")
-    spec = ENTITIES["solicitante"]
-    second = merge(first, rows, spec, SECOND_RUN_TS, null_keys=lacks_keys(rows, spec))
-    return second.drop(*BOOKKEEPING)
+    """The same source loaded twice; the second run reads what the first one published."""
+    store = _seeded_store(spark, sf, "cliente_organizacao", "solicitante")
+    source = standin.source(spark, sf)
+    for run_ts in (RUN_TS, SECOND_RUN_TS):
+        Loader(spark, source, store, run_ts).load("solicitante")
+    return store.current("solicitante", ENTITIES["solicitante"].target_schema)
 
 
 def resolve_rejects(spark: SparkSession, sf: str) -> DataFrame:
@@ -167,6 +170,15 @@ def publish_swap(spark: SparkSession, sf: str) -> DataFrame:
     return loader.current("analista")
 
 
+def bucketed_rerun(spark: SparkSession, sf: str) -> DataFrame:
+    """Two loads of the ticket table kept in buckets; the second shuffles only its source."""
+    store = _seeded_store(spark, sf, *(lk.parent for lk in ENTITIES["chamado"].lookups), "chamado")
+    source = standin.source(spark, sf)
+    for run_ts in (RUN_TS, SECOND_RUN_TS):
+        Loader(spark, source, store, run_ts, bucketed=["chamado"]).load("chamado")
+    return store.current("chamado", ENTITIES["chamado"].target_schema)
+
+
 def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """Customers arriving as a file stream, upserted as requesters."""
     spec = ENTITIES["solicitante"]
@@ -191,15 +203,15 @@ def history_as_of(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def open_tickets(spark: SparkSession, sf: str) -> DataFrame:
-    return metrics.open_tickets(_loaded(spark, sf, "chamado"), standin.target(spark, sf)["fila"])
+    return metrics.open_tickets(_loaded(spark, sf, "chamado", numbered=False), standin.target(spark, sf)["fila"])
 
 
 def closed_tickets(spark: SparkSession, sf: str) -> DataFrame:
-    return metrics.closed_tickets(_loaded(spark, sf, "chamado"))
+    return metrics.closed_tickets(_loaded(spark, sf, "chamado", numbered=False))
 
 
 def ticket_overview(spark: SparkSession, sf: str) -> DataFrame:
-    return metrics.ticket_overview(_loaded(spark, sf, "chamado"))
+    return metrics.ticket_overview(_loaded(spark, sf, "chamado", numbered=False))
 
 
 def sla_breach(spark: SparkSession, sf: str) -> DataFrame:
@@ -217,7 +229,7 @@ def time_in_status(spark: SparkSession, sf: str) -> DataFrame:
 _OTHERS: tuple[Query, ...] = (
     upsert_actions, upsert_audit, upsert_surrogate_ids, upsert_duplicate_keys, upsert_null_keys, upsert_rerun,
     resolve_rejects, resolve_repair, check_status_domain, check_lookup_unique, run_report, publish_swap,
-    stream_upsert, history_as_of, open_tickets, closed_tickets, ticket_overview, sla_breach, csat_by_analyst,
+    bucketed_rerun, stream_upsert, history_as_of, open_tickets, closed_tickets, ticket_overview, sla_breach, csat_by_analyst,
     time_in_status,
 )
 

@@ -59,12 +59,13 @@ def lacks_keys(rows: DataFrame, spec: EntitySpec) -> bool:
 
 
 def merge(target: DataFrame, rows: DataFrame, spec: EntitySpec, run_ts: datetime,
-          stage: Stage | None = None, null_keys: bool = True) -> DataFrame:
+          stage: Stage | None = None, null_keys: bool = True, target_null_keys: bool = True) -> DataFrame:
     """The whole target after the run, with `_action` and the count of rows behind each row.
 
     `rows` are resolved rows (`spec.insert_columns`). `stage` may write the folded rows out and
     read them back, as they are read twice where ids have to be given. Where the caller has
-    seen that no row lacks its key, `null_keys=False` leaves that part of the plan out.
+    seen that no row lacks its key, `null_keys=False` (for the rows) and `target_null_keys=False`
+    leave that part of the plan out.
     """
     folded = fold(rows, spec)
     fresh = rows.filter(f"{spec.key} IS NULL").select(*spec.insert_columns)
@@ -85,10 +86,12 @@ def merge(target: DataFrame, rows: DataFrame, spec: EntitySpec, run_ts: datetime
         id_join = "LEFT JOIN {ids} i ON f._k = i._k"
     tables["folded"] = folded
     columns = ", ".join(spec.target_columns)
-    inserts = ""
+    unkeyed = ""
+    if target_null_keys:
+        unkeyed += f" UNION ALL SELECT {columns}, 'keep', 0L FROM {{target}} WHERE {spec.key} IS NULL"
     if null_keys:
         tables["fresh"] = fresh
-        inserts = f"UNION ALL SELECT {columns}, 'insert', 1L FROM {{fresh}}"
+        unkeyed += f" UNION ALL SELECT {columns}, 'insert', 1L FROM {{fresh}}"
     return target.sparkSession.sql(
         f"""SELECT {', '.join(_merged_columns(spec, run_ts))},
                    CASE WHEN s._s AND t._t THEN 'update' WHEN s._s THEN 'insert' ELSE 'keep' END AS {ACTION},
@@ -96,8 +99,7 @@ def merge(target: DataFrame, rows: DataFrame, spec: EntitySpec, run_ts: datetime
             FROM (SELECT *, {match_key(spec.key, spec.match)} AS _k, true AS _t FROM {{target}}
                   WHERE {spec.key} IS NOT NULL) t
             FULL OUTER JOIN (SELECT f.*, true AS _s{new_id} FROM {{folded}} f {id_join}) s ON t._k = s._k
-            UNION ALL SELECT {columns}, 'keep', 0L FROM {{target}} WHERE {spec.key} IS NULL
-            {inserts}""",
+            {unkeyed}""",
         **tables,
     )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 import threading
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
 from datetime import datetime
@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from deskspark.functions.clock import utc_now
+from deskspark.functions.keys import BINARY
 from deskspark.operators import checks
 from deskspark.operators.resolve import link, resolve
 from deskspark.operators.upsert import ACTION, BOOKKEEPING, COUNT, lacks_keys, merge
@@ -53,16 +54,23 @@ class LoadFailed(RuntimeError):
 
 
 class Loader:
-    """Loads from `source` (name -> DataFrame) into `store`, all with one run time."""
+    """Loads from `source` (name -> DataFrame) into `store`, all with one run time.
+
+    The tables named in `bucketed` are kept bucketed by their key, in as many buckets as the session
+    has shuffle partitions, so that the next run's merge shuffles the source once and the target
+    not at all. A table with NULL keys stays plain, as all of them would fall into one bucket; so
+    does one whose keys are not compared as they stand.
+    """
 
     def __init__(self, spark: SparkSession, source: Mapping[str, DataFrame], store: TableStore,
                  run_ts: datetime | None = None, on_violation: str = FAIL,
-                 specs: Mapping[str, EntitySpec] = ENTITIES):
+                 specs: Mapping[str, EntitySpec] = ENTITIES, bucketed: Collection[str] = ()):
         if on_violation not in (FAIL, QUARANTINE):
             raise ValueError(f"on_violation must be {FAIL!r} or {QUARANTINE!r}")
         self.spark, self.source, self.store, self.specs = spark, source, store, specs
         self.run_ts = run_ts or utc_now()
         self.on_violation = on_violation
+        self.bucketed = frozenset(bucketed)
         self._once = _OncePerKey()
 
     def current(self, name: str) -> DataFrame:
@@ -89,18 +97,25 @@ class Loader:
         stage = None
         if spec.surrogate and not broadcastable(rows):
             stage = lambda df: self.store.stage(name, df)
-        merged = merge(self.current(name), resolved, spec, self.run_ts, stage, lacks_keys(rows, spec))
+        target, null_keys = self.current(name), lacks_keys(rows, spec)
+        layout = {}
+        if name in self.bucketed and spec.match == BINARY and not (null_keys or lacks_keys(target, spec)):
+            layout = {"buckets": int(self.spark.conf.get("spark.sql.shuffle.partitions")), "key": spec.key}
+        merged = merge(target, resolved, spec, self.run_ts, stage, null_keys, not layout)
         seen = Observation()
         count = lambda action: F.count(F.when(F.col(ACTION) == action, 1))
         merged = merged.observe(
             seen, count("insert").alias("inserted"), count("update").alias("updated"),
             count("keep").alias("kept"), F.coalesce(F.sum(COUNT), F.lit(0)).alias("merged"),
         )
-        version = self.store.write(name, merged.drop(*BOOKKEEPING), version)
+        merged = merged.drop(*BOOKKEEPING)
+        if layout and (self.store.pointer(name) or {}).get("buckets") != layout["buckets"]:
+            merged = merged.repartition(layout["buckets"], spec.key)
+        version = self.store.write(name, merged, version, **layout)
         facts = seen.get
         report.inserted, report.updated, report.kept = (facts.get(k, 0) for k in ("inserted", "updated", "kept"))
         report.rejected = report.rows_read - report.quarantined - facts.get("merged", 0)
-        self.store.publish(name, version, **{k: v for k, v in asdict(report).items() if k != "entity"})
+        self.store.publish(name, version, **layout, **{k: v for k, v in asdict(report).items() if k != "entity"})
         self._once.forget(("parent", name))
         log.info("%s: %s", name, report)
         return report

@@ -2,10 +2,14 @@
 
 A reader resolves the pointer first, so it sees the old version or the new one, never a mixture.
 One writer per table is assumed. Folders of earlier versions stay until somebody removes them.
+
+A version may be bucketed by its key. It is then read as a table over its folder, which tells
+Spark the layout, and a join on the key shuffles only the other side.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 
@@ -24,18 +28,30 @@ class TableStore:
         entry = self.pointer(name)
         if entry is None:
             return self.spark.createDataFrame([], schema)
-        return self.version(name, entry["version"], schema)
-
-    def version(self, name: str, version: str, schema: T.StructType) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(self._folder(name, version))
+        folder = self._folder(name, entry["version"])
+        if not entry.get("buckets"):
+            return self.spark.read.schema(schema).parquet(folder)
+        table, key = self._table(folder), entry["key"]
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
+            f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {entry['buckets']} BUCKETS LOCATION '{folder}'"
+        )
+        return self.spark.table(table).select(*schema.names)
 
-    def write(self, name: str, df: DataFrame, version: str | None = None) -> str:
+    def write(self, name: str, df: DataFrame, version: str | None = None,
+              buckets: int | None = None, key: str | None = None) -> str:
         """Write a version nobody sees yet. A half-written folder of the same name is replaced."""
         version = version or uuid.uuid4().hex[:12]
         entry = self.pointer(name)
         if entry and entry["version"] == version:
             raise ValueError(f"{name}: version {version} is already published")
-        df.write.mode("overwrite").parquet(self._folder(name, version))
+        folder = self._folder(name, version)
+        writer = df.write.mode("overwrite").format("parquet")
+        if buckets:
+            writer.option("path", folder).bucketBy(buckets, key).sortBy(key).saveAsTable(self._table(folder))
+        else:
+            writer.save(folder)
         return version
 
     def publish(self, name: str, version: str, **facts) -> None:
@@ -72,6 +88,9 @@ class TableStore:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def _table(self, folder: str) -> str:
+        return f"deskspark_{hashlib.md5(folder.encode()).hexdigest()}"
+
     def _folder(self, name: str, version: str) -> str:
         return f"{self.root}/{name}/v={version}"
 

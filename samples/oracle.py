@@ -264,11 +264,19 @@ def upsert_null_keys() -> str:
         FROM out_chamado_status_historico WHERE cd_registro_origem IS NULL""")
 
 
-def upsert_rerun() -> str:
+def _rerun(name: str) -> str:
     """The second run stamps every row that stands in the source and changes nothing else."""
-    return _with({**_input_ctes("solicitante"), **_merge_ctes("solicitante")}, f"""
+    return _with({**_input_ctes(name), **_merge_ctes(name)}, f"""
         SELECT * EXCLUDE (act) REPLACE (CASE WHEN act = 'keep' THEN dt_atualizacao ELSE {SECOND_RUN} END
-               AS dt_atualizacao) FROM out_solicitante""")
+               AS dt_atualizacao) FROM out_{name}""")
+
+
+def upsert_rerun() -> str:
+    return _rerun("solicitante")
+
+
+def bucketed_rerun() -> str:
+    return _rerun("chamado")
 
 
 def resolve_rejects() -> str:

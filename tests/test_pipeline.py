@@ -6,6 +6,7 @@ import pytest
 
 from conftest import OLD, RUN_TS, audit, canon, frame, records
 from deskspark.operators.checks import DomainViolation
+from deskspark.operators.upsert import merge
 from deskspark.plans.entities import ENTITIES, load_levels
 from deskspark.plans.pipeline import QUARANTINE, Loader, LoadFailed, report_frame
 from deskspark.sources.store import TableStore
@@ -206,3 +207,33 @@ def test_stream_of_arrivals(spark, tmp_path):
            for r in store.current(spec.name, spec.target_schema).collect()}
     assert got == {"P1": (1, "second", RUN_TS), "P2": (2, "other", datetime(2023, 12, 31))}
     assert store.pointer(spec.name)["version"] == batch_version(2)
+
+
+def test_buckets_spare_the_target_a_shuffle(spark, tmp_path):
+    source = desk(spark)
+    plain = loader(spark, tmp_path / "plain", source)
+    plain.run_all()
+    run = loader(spark, tmp_path / "buckets", source, bucketed=ENTITIES)
+    run.run_all()
+    for again in (True, False):
+        for name, spec in ENTITIES.items():
+            assert canon(records(run.current(name)), spec.target_columns) == canon(
+                records(plain.current(name)), spec.target_columns)
+        assert run.store.pointer("chamado")["buckets"] == 4
+        assert "buckets" not in run.store.pointer("chamado_status_historico")
+        if again:
+            plain.run_all()
+            run.run_all()
+    spec = ENTITIES["csat_avaliacao"]
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = []
+        for store in (plain, run):
+            rows = plain.current(spec.name).select(*spec.insert_columns)
+            merged = merge(store.current(spec.name), rows, spec, RUN_TS, null_keys=False, target_null_keys=False)
+            plans.append(merged._jdf.queryExecution().executedPlan().toString())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert all("FullOuter" in p for p in plans)
+    assert [p.count("Exchange hashpartitioning") for p in plans] == [2, 1]
