@@ -18,7 +18,7 @@ from deskspark.operators.surrogate import new_key_ids  # noqa: E402
 from deskspark.operators.upsert import ACTION, BOOKKEEPING, COUNT, fold, lacks_keys, merge, new_keys  # noqa: E402
 from deskspark.plans.entities import ENTITIES  # noqa: E402
 from deskspark.plans.pipeline import Loader, report_frame  # noqa: E402
-from deskspark.session import broadcastable, new_workspace  # noqa: E402
+from deskspark.session import new_workspace  # noqa: E402
 from deskspark.sources.history import History  # noqa: E402
 from deskspark.sources.store import TableStore  # noqa: E402
 from deskspark.streaming.arrivals import load_arrivals  # noqa: E402
@@ -36,21 +36,14 @@ def _resolved(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return rs.resolve(source[name], ENTITIES[name], source, target)
 
 
-def _stage(spark: SparkSession, name: str, rows: DataFrame):
-    """Write the folded rows out only where reading them twice would cost more."""
-    if broadcastable(rows):
-        return None
-    store = TableStore(spark, new_workspace(spark, "stage"))
-    return lambda df: store.stage(name, df)
-
-
 def _merged(spark: SparkSession, sf: str, name: str, numbered: bool = True) -> DataFrame:
     """The load of `name`; `numbered=False` spares giving ids where nothing reads them."""
     spec = ENTITIES[name] if numbered else ENTITIES[name].with_options(surrogate=None)
-    rows, target = standin.source(spark, sf)[name], standin.target(spark, sf)[name]
-    return merge(target, _resolved(spark, sf, name), spec, RUN_TS,
-                 _stage(spark, name, rows) if spec.surrogate else None,
-                 lacks_keys(rows, spec), lacks_keys(target, spec))
+    source, target = standin.source(spark, sf), standin.target(spark, sf)
+    rows, old = source[name], target[name]
+    keys = rs.survivors(rows, spec, source, target) if spec.surrogate else None
+    return merge(old, rs.resolve(rows, spec, source, target), spec, RUN_TS, keys,
+                 lacks_keys(rows, spec), lacks_keys(old, spec))
 
 
 def _loaded(spark: SparkSession, sf: str, name: str, numbered: bool = True) -> DataFrame:
@@ -85,7 +78,7 @@ def upsert_audit(spark: SparkSession, sf: str) -> DataFrame:
 def upsert_surrogate_ids(spark: SparkSession, sf: str) -> DataFrame:
     spec = ENTITIES["solicitante"]
     target = standin.target(spark, sf)[spec.name]
-    keys = new_keys(fold(_resolved(spark, sf, spec.name), spec), target, spec)
+    keys = new_keys(_resolved(spark, sf, spec.name), target, spec)
     return new_key_ids(keys, "_k", target, spec.surrogate).withColumnRenamed("_k", spec.key)
 
 

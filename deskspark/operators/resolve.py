@@ -89,6 +89,13 @@ def resolve(rows: DataFrame, spec: EntitySpec, source: Tables, target: Tables, s
     return rows.sparkSession.sql(f"SELECT {', '.join(columns)} FROM {{rows}} f {' '.join(joins)}", **tables)
 
 
+def survivors(rows: DataFrame, spec: EntitySpec, source: Tables, target: Tables, specs: Specs = ENTITIES,
+              links: Tables | None = None) -> DataFrame:
+    """The keys of the rows that `resolve` keeps. Optional parents drop nothing and are not joined."""
+    required = tuple(lk for lk in spec.lookups if lk.required)
+    return resolve(rows, spec.with_options(lookups=required), source, target, specs, links).select(spec.key)
+
+
 def rejects(rows: DataFrame, spec: EntitySpec, source: Tables, target: Tables, specs: Specs = ENTITIES) -> DataFrame:
     """The rows that `resolve` drops, each with the required parents it lacks and on which side."""
     tables, joins, reasons = {"rows": rows}, [], []

@@ -7,7 +7,6 @@ whose key is not there is inserted with its own stamps. Target rows without a pa
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -21,8 +20,6 @@ ACTION = "_action"
 COUNT = "_n"
 BOOKKEEPING = (ACTION, COUNT)
 
-Stage = Callable[[DataFrame], DataFrame]
-
 
 def fold(rows: DataFrame, spec: EntitySpec) -> DataFrame:
     """One row per non-NULL key: the last row's values, the first row's `dt_inclusao`, the row count.
@@ -45,11 +42,13 @@ def fold(rows: DataFrame, spec: EntitySpec) -> DataFrame:
     )
 
 
-def new_keys(folded: DataFrame, target: DataFrame, spec: EntitySpec) -> DataFrame:
-    """(_k): folded keys the target lacks."""
-    key = match_key(f"t.{spec.key}", spec.match)
-    return folded.sparkSession.sql(
-        f"SELECT f._k FROM {{folded}} f LEFT ANTI JOIN {{target}} t ON f._k = {key}", folded=folded, target=target
+def new_keys(rows: DataFrame, target: DataFrame, spec: EntitySpec) -> DataFrame:
+    """(_k): the distinct keys of `rows` that the target lacks. Only the key column is read."""
+    key, held = (match_key(f"{side}.{spec.key}", spec.match) for side in "rt")
+    return rows.sparkSession.sql(
+        f"""SELECT d._k FROM (SELECT DISTINCT {key} AS _k FROM {{rows}} r WHERE r.{spec.key} IS NOT NULL) d
+            LEFT ANTI JOIN {{target}} t ON d._k = {held}""",
+        rows=rows, target=target,
     )
 
 
@@ -59,22 +58,20 @@ def lacks_keys(rows: DataFrame, spec: EntitySpec) -> bool:
 
 
 def merge(target: DataFrame, rows: DataFrame, spec: EntitySpec, run_ts: datetime,
-          stage: Stage | None = None, null_keys: bool = True, target_null_keys: bool = True) -> DataFrame:
+          survivors: DataFrame | None = None, null_keys: bool = True, target_null_keys: bool = True) -> DataFrame:
     """The whole target after the run, with `_action` and the count of rows behind each row.
 
-    `rows` are resolved rows (`spec.insert_columns`). `stage` may write the folded rows out and
-    read them back, as they are read twice where ids have to be given. Where the caller has
-    seen that no row lacks its key, `null_keys=False` (for the rows) and `target_null_keys=False`
-    leave that part of the plan out.
+    `rows` are resolved rows (`spec.insert_columns`). To give ids, their keys are read once more;
+    `survivors` may supply a cheaper table with the same keys. Where the caller has seen that no
+    row lacks its key, `null_keys=False` (for the rows) and `target_null_keys=False` leave that
+    part of the plan out.
     """
     folded = fold(rows, spec)
     fresh = rows.filter(f"{spec.key} IS NULL").select(*spec.insert_columns)
     tables = {"target": target}
     new_id = id_join = ""
     if spec.surrogate:
-        if stage:
-            folded = stage(folded)
-        keyed = place_keys(new_keys(folded, target, spec), "_k")
+        keyed = place_keys(new_keys(rows if survivors is None else survivors, target, spec), "_k")
         placed = [keyed]
         if null_keys:
             placed.append(place_copies(fresh))

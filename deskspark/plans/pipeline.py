@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 from deskspark.functions.clock import utc_now
 from deskspark.functions.keys import BINARY
 from deskspark.operators import checks
-from deskspark.operators.resolve import link, resolve
+from deskspark.operators.resolve import link, rejects, resolve, survivors
 from deskspark.operators.upsert import ACTION, BOOKKEEPING, COUNT, lacks_keys, merge
 from deskspark.plans.entities import ENTITIES, load_levels
 from deskspark.plans.spec import EntitySpec
 from deskspark.session import broadcastable
+from deskspark.sources.history import History
 from deskspark.sources.store import TableStore
 
 log = logging.getLogger(__name__)
@@ -59,18 +60,22 @@ class Loader:
     The tables named in `bucketed` are kept bucketed by their key, in as many buckets as the session
     has shuffle partitions, so that the next run's merge shuffles the source once and the target
     not at all. A table with NULL keys stays plain, as all of them would fall into one bucket; so
-    does one whose keys are not compared as they stand.
+    does one whose keys are not compared as they stand. With `keep_rejects` the rows that a required
+    lookup dropped are written to `<entity>_rejects`; with a `history` each published table is
+    added to it under the run's date.
     """
 
     def __init__(self, spark: SparkSession, source: Mapping[str, DataFrame], store: TableStore,
                  run_ts: datetime | None = None, on_violation: str = FAIL,
-                 specs: Mapping[str, EntitySpec] = ENTITIES, bucketed: Collection[str] = ()):
+                 specs: Mapping[str, EntitySpec] = ENTITIES, bucketed: Collection[str] = (),
+                 keep_rejects: bool = False, history: History | None = None):
         if on_violation not in (FAIL, QUARANTINE):
             raise ValueError(f"on_violation must be {FAIL!r} or {QUARANTINE!r}")
         self.spark, self.source, self.store, self.specs = spark, source, store, specs
         self.run_ts = run_ts or utc_now()
         self.on_violation = on_violation
         self.bucketed = frozenset(bucketed)
+        self.keep_rejects, self.history = keep_rejects, history
         self._once = _OncePerKey()
 
     def current(self, name: str) -> DataFrame:
@@ -87,21 +92,19 @@ class Loader:
         ids = {p: table for p, (table, _) in parents.items()}
         links = {p: pair for p, (_, pair) in parents.items() if pair is not None}
         sources = {p: self._rows(p) for p in parents if p not in links}
-        resolved = resolve(rows, spec, sources, ids, self.specs, links)
+        lookups = (spec, sources, ids, self.specs, links)
 
         report.quarantined = 0
         if spec.domain:
-            report.quarantined = self._check_domain(rows, resolved, spec)
-            resolved = checks.within_domain(resolved, spec)
-
-        stage = None
-        if spec.surrogate and not broadcastable(rows):
-            stage = lambda df: self.store.stage(name, df)
+            report.quarantined = self._check_domain(rows, resolve(rows, *lookups), spec)
+        accepted = checks.within_domain(rows, spec) if spec.domain else rows
+        resolved = resolve(accepted, *lookups)
+        keys = survivors(accepted, *lookups) if spec.surrogate else None
         target, null_keys = self.current(name), lacks_keys(rows, spec)
         layout = {}
         if name in self.bucketed and spec.match == BINARY and not (null_keys or lacks_keys(target, spec)):
             layout = {"buckets": int(self.spark.conf.get("spark.sql.shuffle.partitions")), "key": spec.key}
-        merged = merge(target, resolved, spec, self.run_ts, stage, null_keys, not layout)
+        merged = merge(target, resolved, spec, self.run_ts, keys, null_keys, not layout)
         seen = Observation()
         count = lambda action: F.count(F.when(F.col(ACTION) == action, 1))
         merged = merged.observe(
@@ -117,6 +120,11 @@ class Loader:
         report.rejected = report.rows_read - report.quarantined - facts.get("merged", 0)
         self.store.publish(name, version, **layout, **{k: v for k, v in asdict(report).items() if k != "entity"})
         self._once.forget(("parent", name))
+        if self.keep_rejects and report.rejected:
+            lost = rejects(rows, spec, {p: self._rows(p) for p in parents}, ids, self.specs)
+            self.store.publish(f"{name}_rejects", self.store.write(f"{name}_rejects", lost))
+        if self.history:
+            self.history.append(name, self.current(name), self.run_ts.date())
         log.info("%s: %s", name, report)
         return report
 

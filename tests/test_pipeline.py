@@ -3,12 +3,14 @@ from __future__ import annotations
 from datetime import datetime
 
 import pytest
+from pyspark.sql import types as T
 
 from conftest import OLD, RUN_TS, audit, canon, frame, records
 from deskspark.operators.checks import DomainViolation
 from deskspark.operators.upsert import merge
 from deskspark.plans.entities import ENTITIES, load_levels
 from deskspark.plans.pipeline import QUARANTINE, Loader, LoadFailed, report_frame
+from deskspark.sources.history import History
 from deskspark.sources.store import TableStore
 from deskspark.streaming.arrivals import batch_version, load_arrivals
 
@@ -90,6 +92,20 @@ def test_first_and_second_run(spark, tmp_path):
             assert {r["dt_atualizacao"] for r in new} == {later}
 
 
+def test_rejects_and_history_are_kept(spark, tmp_path):
+    history = History(spark, str(tmp_path / "history"))
+    run = loader(spark, tmp_path / "store", desk(spark), keep_rejects=True, history=history)
+    for name in ("cliente_organizacao", "solicitante"):
+        run.load(name)
+    spec = ENTITIES["solicitante"]
+    lost = run.store.current("solicitante_rejects", T.StructType([*spec.source_schema.fields[1:],
+                                                                  T.StructField("reason", T.StringType())]))
+    assert sorted((r.cd_solicitante, r.reason) for r in lost.collect()) == [
+        ("P2", "id_cliente_organizacao:source"), ("P3", "id_cliente_organizacao:source")]
+    assert history.run_dates("solicitante") == [RUN_TS.date()]
+    assert history.as_of("solicitante", spec.target_schema, RUN_TS.date()).count() == 1
+
+
 def test_second_run_repairs_an_optional_lookup(spark, tmp_path):
     source = desk(spark)
     late = {**source, "fila": source["fila"].filter("cd_fila = 'Q1'")}

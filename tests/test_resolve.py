@@ -4,7 +4,7 @@ import pytest
 
 from conftest import canon, records
 from deskspark.operators import checks
-from deskspark.operators.resolve import extract, link, rejects, resolve, resolve_codes
+from deskspark.operators.resolve import extract, link, rejects, resolve, resolve_codes, survivors
 from deskspark.plans.entities import ENTITIES
 from samples import standin
 
@@ -36,6 +36,7 @@ def test_every_way_gives_the_same_rows(spark, tables, name):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     want = canon(plain, spec.insert_columns)
     assert want
+    assert canon(records(survivors(source[name], spec, source, target)), [spec.key]) == canon(plain, [spec.key])
     assert canon(records(two_steps), spec.insert_columns) == want
     assert canon(records(linked), spec.insert_columns) == want
     assert canon(large, spec.insert_columns) == want
@@ -117,3 +118,38 @@ def test_domain(spark):
     table = frame(spark, spec.target_schema, [{"ds_status_chamado": s} for s in ("OPEN", None, "REOPENED", "open")])
     assert sorted(r.ds_status_chamado for r in checks.domain_violations(table, spec).collect()) == ["REOPENED", "open"]
     assert checks.within_domain(table, spec).count() == 2
+
+
+def test_rows_of_a_hot_parent_are_split(spark):
+    """A third of the answers belong to one ticket, another third to no analyst."""
+
+    spec = ENTITIES["csat_avaliacao"]
+    number = 300_000
+    rows = spark.range(0, number, 1, 16).selectExpr(
+        "'E' || id AS cd_registro_origem", "CAST(id % 5 AS INT) AS nr_score", "repeat('c', 20) AS ds_comentario",
+        "TIMESTAMP_NTZ '2023-01-01 00:00:00' AS dt_avaliacao", "CASE WHEN id % 3 = 0 THEN 1 ELSE id % 5000 END AS id_chamado",
+        "CASE WHEN id % 3 = 1 THEN NULL ELSE id % 5000 END AS id_analista",
+        *(f"TIMESTAMP_NTZ '2023-01-01 00:00:00' AS {c}" for c in ("dt_inclusao", "dt_atualizacao")), "'S' AS nm_sistema_origem",
+    )
+    parents = {
+        n: spark.range(5000).selectExpr(f"id AS {ENTITIES[n].surrogate}", f"'K' || id AS {ENTITIES[n].key}")
+        for n in ("chamado", "analista")
+    }
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        execution = resolve(rows, spec, parents, parents)._jdf.queryExecution()
+        assert execution.toRdd().count() == number
+        plan = execution.executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "SortMergeJoin(skew=true) [id_chamado" in plan
+    assert "SortMergeJoin(skew=true) [id_analista" in plan
