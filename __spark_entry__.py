@@ -17,7 +17,7 @@ from deskspark.operators import resolve as rs  # noqa: E402
 from deskspark.operators.surrogate import new_key_ids  # noqa: E402
 from deskspark.operators.upsert import ACTION, BOOKKEEPING, COUNT, fold, lacks_keys, merge, new_keys  # noqa: E402
 from deskspark.plans.entities import ENTITIES  # noqa: E402
-from deskspark.plans.pipeline import Loader, report_frame  # noqa: E402
+from deskspark.plans.loader import Loader, report_frame  # noqa: E402
 from deskspark.session import new_workspace  # noqa: E402
 from deskspark.sources.history import History  # noqa: E402
 from deskspark.sources.store import TableStore  # noqa: E402

@@ -85,6 +85,7 @@ class Loader:
         """Read, resolve, check, merge, write, then publish. Anything raised before the last
         step leaves the published version as it was."""
         spec = self.specs[name]
+        before = self.store.pointer(name) or {}
         rows = self._rows(name)
         report = LoadReport(name, rows_read=rows.count())
         log.info("%s: %d rows read", name, report.rows_read)
@@ -112,13 +113,14 @@ class Loader:
             count("keep").alias("kept"), F.coalesce(F.sum(COUNT), F.lit(0)).alias("merged"),
         )
         merged = merged.drop(*BOOKKEEPING)
-        if layout and (self.store.pointer(name) or {}).get("buckets") != layout["buckets"]:
+        if layout and before.get("buckets") != layout["buckets"]:
             merged = merged.repartition(layout["buckets"], spec.key)
         version = self.store.write(name, merged, version, **layout)
         facts = seen.get
         report.inserted, report.updated, report.kept = (facts.get(k, 0) for k in ("inserted", "updated", "kept"))
         report.rejected = report.rows_read - report.quarantined - facts.get("merged", 0)
-        self.store.publish(name, version, **layout, **{k: v for k, v in asdict(report).items() if k != "entity"})
+        facts = {k: v for k, v in asdict(report).items() if k != "entity"}
+        self.store.publish(name, version, **layout, **facts, unique_by=self._unique_by(spec, before, target))
         self._once.forget(("parent", name))
         if self.keep_rejects and report.rejected:
             lost = rejects(rows, spec, {p: self._rows(p) for p in parents}, ids, self.specs)
@@ -174,6 +176,14 @@ class Loader:
         self.store.publish(name, version)
         return seen.get.get("n", 0)
 
+    def _unique_by(self, spec: EntitySpec, before: dict, target: DataFrame) -> str | None:
+        """The key comparison under which the merged table has no key twice. A merge adds only
+        keys that are absent, so once a table is known to be free of repeats it stays so."""
+        if not spec.surrogate:
+            return None
+        known = not before or before.get("unique_by") == spec.match
+        return spec.match if known or checks.ambiguous_keys(target, spec).isEmpty() else None
+
     def _rows(self, name: str) -> DataFrame:
         """A source table. One that may change while it is read, such as a database table, is
         written out first, so that the whole run sees the same rows and reads them once."""
@@ -182,12 +192,14 @@ class Loader:
         return self._once.get(("rows", name), lambda: self.store.stage(f"source_{name}", self.source[name]))
 
     def _parent(self, name: str) -> tuple[DataFrame, DataFrame | None]:
-        """A parent's current table, checked once per run for ambiguous keys, and, where it is too
-        large to broadcast, its source-to-target ids, written once and shared by its children."""
+        """A parent's current table, checked for ambiguous keys unless known to have none, and, where
+        it is too large to broadcast, its source-to-target ids, written once and shared by its
+        children."""
 
         def prepare() -> tuple[DataFrame, DataFrame | None]:
             spec, rows, table = self.specs[name], self._rows(name), self.current(name)
-            checks.require_unambiguous(table, spec)
+            if (self.store.pointer(name) or {}).get("unique_by") != spec.match:
+                checks.require_unambiguous(table, spec)
             if all(broadcastable(side.select(spec.surrogate, spec.key)) for side in (rows, table)):
                 return table, None
             return table, self.store.stage(f"link_{name}", link(rows, table, spec))

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from deskspark.functions.clock import utc_now
 from deskspark.plans.entities import ENTITIES
-from deskspark.plans.pipeline import FAIL, Loader
+from deskspark.plans.loader import FAIL, Loader
 from deskspark.plans.spec import EntitySpec
 from deskspark.sources.store import TableStore
 

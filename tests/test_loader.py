@@ -6,10 +6,10 @@ import pytest
 from pyspark.sql import types as T
 
 from conftest import OLD, RUN_TS, audit, canon, frame, records
-from deskspark.operators.checks import DomainViolation
+from deskspark.operators.checks import AmbiguousLookup, DomainViolation
 from deskspark.operators.upsert import merge
 from deskspark.plans.entities import ENTITIES, load_levels
-from deskspark.plans.pipeline import QUARANTINE, Loader, LoadFailed, report_frame
+from deskspark.plans.loader import QUARANTINE, Loader, LoadFailed, report_frame
 from deskspark.sources.history import History
 from deskspark.sources.store import TableStore
 from deskspark.streaming.arrivals import batch_version, load_arrivals
@@ -106,6 +106,25 @@ def test_rejects_and_history_are_kept(spark, tmp_path):
     assert history.as_of("solicitante", spec.target_schema, RUN_TS.date()).count() == 1
 
 
+def test_an_ambiguous_parent_is_refused_and_a_checked_one_remembered(spark, tmp_path):
+    run = loader(spark, tmp_path, desk(spark))
+    spec = ENTITIES["cliente_organizacao"]
+    twice = frame(spark, spec.target_schema, [
+        {"id_cliente_organizacao": i, "cd_cliente_organizacao": c, **OLD} for i, c in enumerate(["X", "X"])])
+    run.store.publish(spec.name, run.store.write(spec.name, twice))
+    with pytest.raises(AmbiguousLookup):
+        run.load("solicitante")
+    run.load(spec.name)
+    assert run.store.pointer(spec.name)["unique_by"] is None
+    with pytest.raises(AmbiguousLookup):
+        run.load("solicitante")
+    run.store.publish(spec.name, run.store.write(spec.name, twice.limit(1)))
+    for _ in range(2):
+        loader(spark, tmp_path, desk(spark)).load(spec.name)
+        assert run.store.pointer(spec.name)["unique_by"] == "binary"
+    assert loader(spark, tmp_path, desk(spark)).load("solicitante").inserted == 1
+
+
 def test_second_run_repairs_an_optional_lookup(spark, tmp_path):
     source = desk(spark)
     late = {**source, "fila": source["fila"].filter("cd_fila = 'Q1'")}
