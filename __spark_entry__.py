@@ -18,7 +18,7 @@ from deskspark.operators.surrogate import new_key_ids  # noqa: E402
 from deskspark.operators.upsert import ACTION, BOOKKEEPING, COUNT, fold, lacks_keys, merge, new_keys  # noqa: E402
 from deskspark.plans.entities import ENTITIES  # noqa: E402
 from deskspark.plans.loader import Loader, report_frame  # noqa: E402
-from deskspark.session import new_workspace  # noqa: E402
+from deskspark.session import new_workspace, spread  # noqa: E402
 from deskspark.sources.history import History  # noqa: E402
 from deskspark.sources.store import TableStore  # noqa: E402
 from deskspark.streaming.arrivals import load_arrivals  # noqa: E402
@@ -42,7 +42,7 @@ def _merged(spark: SparkSession, sf: str, name: str, numbered: bool = True) -> D
     source, target = standin.source(spark, sf), standin.target(spark, sf)
     rows, old = source[name], target[name]
     keys = rs.survivors(rows, spec, source, target) if spec.surrogate else None
-    return merge(old, rs.resolve(rows, spec, source, target), spec, RUN_TS, keys,
+    return merge(old, rs.resolve(spread(rows, spec.key), spec, source, target), spec, RUN_TS, keys,
                  lacks_keys(rows, spec), lacks_keys(old, spec))
 
 

@@ -19,7 +19,7 @@ from deskspark.operators.resolve import link, rejects, resolve, survivors
 from deskspark.operators.upsert import ACTION, BOOKKEEPING, COUNT, lacks_keys, merge
 from deskspark.plans.entities import ENTITIES, load_levels
 from deskspark.plans.spec import EntitySpec
-from deskspark.session import broadcastable
+from deskspark.session import broadcastable, spread
 from deskspark.sources.history import History
 from deskspark.sources.store import TableStore
 
@@ -99,7 +99,7 @@ class Loader:
         if spec.domain:
             report.quarantined = self._check_domain(rows, resolve(rows, *lookups), spec)
         accepted = checks.within_domain(rows, spec) if spec.domain else rows
-        resolved = resolve(accepted, *lookups)
+        resolved = resolve(spread(accepted, spec.key), *lookups)
         keys = survivors(accepted, *lookups) if spec.surrogate else None
         target, null_keys = self.current(name), lacks_keys(rows, spec)
         layout = {}

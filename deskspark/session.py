@@ -56,3 +56,18 @@ def broadcastable(df: DataFrame) -> bool:
     """Whether the estimate lies under the session's broadcast limit."""
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     return 0 <= estimated_bytes(df) <= limit
+
+
+MEGABYTE = 1 << 20
+SPREAD_FROM, SPREAD_UPTO = 4 * MEGABYTE, 128 * MEGABYTE
+
+
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """Deal out a table of about one input split by its key before work is done on its rows.
+
+    One task would otherwise do all lookups. A grouping by the same key needs no further shuffle.
+    A larger table comes in many splits and is left alone, to be combined before its shuffle.
+    """
+    if not SPREAD_FROM <= estimated_bytes(rows) <= SPREAD_UPTO:
+        return rows
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, key)
