@@ -24,6 +24,13 @@ from deskspark.sources.store import TableStore  # noqa: E402
 from deskspark.streaming.arrivals import load_arrivals  # noqa: E402
 from samples import oracle, standin  # noqa: E402
 
+try:
+    from deskspark.llm import queries as llm
+except ImportError as missing:  # the subpackage can be left out; an error inside it is not hidden
+    if not (missing.name or "").startswith("deskspark.llm") and "deskspark.llm" not in str(missing):
+        raise
+    llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 RUN_TS = standin.RUN_TS
 SECOND_RUN_TS = datetime(2024, 2, 2)
@@ -239,6 +246,7 @@ def queries() -> dict[str, Query]:
         **{f"extract_{name}": _extract(name) for name in joined},
         **{f"resolve_{name}": _resolve(name) for name in joined},
         **{query.__name__: query for query in _OTHERS},
+        **(llm.QUERIES if llm else {}),
     }
 
 
@@ -252,4 +260,5 @@ def oracle_sql() -> dict[str, str]:
            if hasattr(oracle, query.__name__)},
         "publish_swap": oracle.load("analista"),
         "stream_upsert": oracle.load("solicitante"),
+        **(llm.ORACLE if llm else {}),
     }
