@@ -39,6 +39,8 @@ MATCHES = 4
 COMPARE = 1.0
 #: Rounds before the full comparison, unless it will meet fewer pairs than this times the entries.
 ROUNDS, ENOUGH = 6, 2
+#: Rounds also end with one that links fewer than this part of the nodes.
+FRUITLESS = 100
 KNOWN_WORDS = 500_000
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9), np.uint64(0xD6E8FEB86659FD93))
 
@@ -257,13 +259,12 @@ def lookups(entries: DataFrame) -> DataFrame:
 
 
 def open_pairs(entries: DataFrame) -> float:
-    """How many pairs of entries the lookups will meet in other groups."""
+    """How many pairs of entries of different groups the lookups will meet."""
     wants = lookups(entries).groupBy("token", "class", "label").agg(F.count("*").cast("double").alias("w"))
-    has = entries.groupBy("token", F.expr(class_of("own")).alias("class"), "label").agg(F.count("*").cast("double").alias("n"))
-    every = wants.groupBy("token", "class").agg(F.sum("w").alias("w")).join(has.groupBy("token", "class").agg(F.sum("n").alias("n")), ["token", "class"])
-    same = wants.join(has, ["token", "class", "label"])
-    total = F.coalesce(F.sum(F.col("w") * F.col("n")), F.lit(0.0))
-    return every.agg(total).first()[0] - same.agg(total).first()[0]
+    has = entries.groupBy("token", F.expr(class_of("own")).alias("class"), "label").agg(F.count("*").cast("double").alias("same"))
+    every = has.groupBy("token", "class").agg(F.sum("same").alias("n"))
+    met = wants.join(every, ["token", "class"]).join(has, ["token", "class", "label"], "left")
+    return met.agg(F.sum(F.col("w") * (F.col("n") - F.coalesce("same", F.lit(0.0))))).first()[0] or 0.0
 
 
 def all_pairs(entries: DataFrame) -> DataFrame:
@@ -317,9 +318,9 @@ def link_groups(docs: DataFrame) -> DataFrame:
         if open_pairs(now) <= limit:
             break
         edges = checkpoint(linked(central_pairs(now, spin), sets))
-        if not edges.limit(1).count():
-            break
         labels = relabelled(labels, edges)
+        if edges.count() * FRUITLESS < now.select("node").distinct().count():
+            break
     now = checkpoint(open_entries(entries, labels))
     labels = relabelled(labels, checkpoint(linked(all_pairs(now), sets)))
 
