@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deskspark.llm.common import Staged, checkpoint
+from deskspark.llm.common import checkpoint, shuffle_width
 
 SHINGLE, PERCENT = 4, 85
 #: Cells of the frequency sketch; it is broadcast (4 bytes a cell), whatever the input's size.
@@ -42,6 +42,8 @@ ROUNDS, ENOUGH = 6, 2
 #: Rounds also end with one that links fewer than this part of the nodes.
 FRUITLESS = 100
 KNOWN_WORDS = 500_000
+#: Classes of ids by which texts are left out before they are shuffled.
+BUCKETS = 1 << 19
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9), np.uint64(0xD6E8FEB86659FD93))
 
 
@@ -157,32 +159,32 @@ def prefix_finder(sketch):
         known, frequency = WordHashes(), sketch.value
         for batch in batches:
             docs = batch.column("doc_id")
-            tokens, columns = [], []
+            tokens, owners, places = [], [], []
             for k, text in enumerate(batch.column("text")):
                 s = shingle_set(text.as_py(), known)
                 if len(s):
                     prefix, m = chosen_prefix(s, frequency[cells(s)])
-                    own = np.arange(len(prefix)) - (m - 1)
-                    slack = 100 * (len(s) - own) // PERCENT - len(s)
                     tokens.append(prefix)
-                    columns.append([np.full(len(prefix), k), np.full(len(prefix), len(s)), np.maximum(own, 0), slack, np.full(len(prefix), m)])
+                    owners.append(np.full(len(prefix), k))
+                    places.append((np.int64(len(s)) << 34) + (np.arange(len(prefix)) << 4) + m)
             if tokens:
-                owner, *rest = (np.concatenate(c) for c in zip(*columns))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(tokens)), docs.take(pa.array(owner)), *(pa.array(c, pa.int32()) for c in rest)],
-                    names=["token", "doc_id", "size", "own", "slack", "matches"])
+                    [pa.array(np.concatenate(tokens)), docs.take(pa.array(np.concatenate(owners))), pa.array(np.concatenate(places))],
+                    names=["token", "doc_id", "place"])
 
     return run
 
 
-def shingle_arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs whose whole texts' shingle sets overlap enough."""
     known = WordHashes()
     for batch in batches:
-        for at in range(0, batch.num_rows, 500):
-            part = batch.slice(at, 500)
-            sets = [shingle_set(t.as_py(), known).tolist() for t in part.column("text")]
-            if sets:
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])
+        keep = []
+        for one, two in zip(batch.column("text_a"), batch.column("text_b")):
+            a, b = shingle_set(one.as_py(), known), shingle_set(two.as_py(), known)
+            both = len(np.intersect1d(a, b, assume_unique=True))
+            keep.append(both > 0 and 100 * both >= PERCENT * (len(a) + len(b) - both))
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -205,13 +207,18 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def linked(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) whose sets overlap enough."""
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    enough = 100 * both >= percent * (F.size("sa") + F.size("sb") - both)
-    return pairs.select("a", "b").join(left, "a").join(right, "b").filter(enough).select("a", "b")
+def linked(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of documents that overlap enough.
+
+    Most texts in no pair are left out before the shuffle, by the bucket of their id's hash; there
+    are BUCKETS buckets, so what is broadcast is bounded.
+    """
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node"))
+    buckets = ends.select(F.pmod(F.xxhash64("node"), F.lit(BUCKETS)).alias("bucket")).distinct()
+    near = docs.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(BUCKETS))).join(F.broadcast(buckets), "bucket", "left_semi")
+    left = near.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
+    right = near.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(verified, "a long, b long")
 
 
 def relabelled(labels: DataFrame, edges: DataFrame) -> DataFrame:
@@ -239,6 +246,14 @@ def suffixed(entries: DataFrame, suffix: str) -> DataFrame:
     return entries.withColumnsRenamed({c: f"{c}{suffix}" for c in ("node", "label", "size", "own", "slack", "matches")})
 
 
+def placed(entries: DataFrame) -> DataFrame:
+    """Size, own, slack and matches of entries, from their packed place."""
+    matches, at = "(place & 15)", "((place >> 4) & 1073741823)"
+    return (entries.withColumn("size", F.expr("place >> 34")).withColumn("matches", F.expr(matches))
+            .withColumn("own", F.expr(f"greatest({at} - {matches} + 1, 0)"))
+            .withColumn("slack", F.expr(f"100 * ((place >> 34) - {at} + {matches} - 1) div {PERCENT} - (place >> 34)")).drop("place"))
+
+
 def central_pairs(entries: DataFrame, spin: int) -> DataFrame:
     """For every node the node it shares most prefix shingles with, among one chosen for each shingle.
 
@@ -300,29 +315,27 @@ def link_groups(docs: DataFrame) -> DataFrame:
     each = seen.filter("part IS NULL").select("doc_id", "n", "h1", "h2")
     nodes = each.filter("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("node"))
 
-    staged = Staged(rows.filter("doc_id IS NOT NULL").mapInArrow(prefix_finder(sketch), "token long, doc_id long, size int, own int, slack int, matches int"), "prefixes")
-    met_twice = staged.df.groupBy("token").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high")
+    # One shuffle by shingle serves both the counting and the keeping of what is met twice.
+    prefixes = (rows.filter("doc_id IS NOT NULL").mapInArrow(prefix_finder(sketch), "token long, doc_id long, place long")
+                .repartition(shuffle_width(spark), "token"))
+    met_twice = prefixes.groupBy("token").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high")
     entries = checkpoint(
-        staged.df.join(met_twice.select("token"), "token", "left_semi")
+        prefixes.join(met_twice.select("token"), "token", "left_semi")
         .join(nodes.filter("node IS NOT NULL").select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
-        .select("token", F.col("doc_id").alias("node"), "size", "own", "slack", "matches").distinct())
-    staged.drop()
-    involved = entries.select("node").distinct()
-    labels = checkpoint(involved.select("node", F.col("node").alias("label")))
-    wanted = involved.withColumnRenamed("node", "doc_id")
-    sets = checkpoint(rows.join(wanted, "doc_id", "left_semi").mapInArrow(shingle_arrays, "node long, shingles array<long>"))
+        .select("token", F.col("doc_id").alias("node"), "place").distinct())
+    labels = checkpoint(entries.select("node").distinct().select("node", F.col("node").alias("label")))
 
     limit = ENOUGH * entries.count()
     for spin in range(ROUNDS):
         now = checkpoint(open_entries(entries, labels))
-        if open_pairs(now) <= limit:
+        if open_pairs(placed(now)) <= limit:
             break
-        edges = checkpoint(linked(central_pairs(now, spin), sets))
+        edges = checkpoint(linked(checkpoint(central_pairs(placed(now), spin)), rows))
         labels = relabelled(labels, edges)
         if edges.count() * FRUITLESS < now.select("node").distinct().count():
             break
     now = checkpoint(open_entries(entries, labels))
-    labels = relabelled(labels, checkpoint(linked(all_pairs(now), sets)))
+    labels = relabelled(labels, checkpoint(linked(checkpoint(all_pairs(placed(now))), rows)))
 
     ids = nodes.join(labels, "node", "left").select("h1", "h2", F.coalesce("label", "node").alias("of_set"))
     of_row = each.join(ids.withColumnsRenamed({"h1": "g1", "h2": "g2"}), (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2")) & (F.col("n") > 0), "left")
