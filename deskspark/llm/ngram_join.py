@@ -37,7 +37,7 @@ SKETCH_BITS, SKETCH_PARTS = 20, 64
 MATCHES = 4
 #: Cost of a compared pair against that of an entry met in a prefix shingle's list.
 COMPARE = 1.0
-#: Rounds before the full comparison, unless it will meet fewer pairs than this times the entries.
+#: Rounds before the full comparison, after the first one only while it would meet more pairs than this times the entries.
 ROUNDS, ENOUGH = 6, 2
 #: Rounds also end with one that links fewer than this part of the nodes.
 FRUITLESS = 100
@@ -318,7 +318,8 @@ def link_groups(docs: DataFrame) -> DataFrame:
     # One shuffle by shingle serves both the counting and the keeping of what is met twice.
     prefixes = (rows.filter("doc_id IS NOT NULL").mapInArrow(prefix_finder(sketch), "token long, doc_id long, place long")
                 .repartition(shuffle_width(spark), "token"))
-    met_twice = prefixes.groupBy("token").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high")
+    met_twice = prefixes.groupBy("token").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.max("place").alias("last"))
+    met_twice = met_twice.filter("low < high AND last >= 0")  # all columns, so that the shuffle is the same one
     entries = checkpoint(
         prefixes.join(met_twice.select("token"), "token", "left_semi")
         .join(nodes.filter("node IS NOT NULL").select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
@@ -328,7 +329,7 @@ def link_groups(docs: DataFrame) -> DataFrame:
     limit = ENOUGH * entries.count()
     for spin in range(ROUNDS):
         now = checkpoint(open_entries(entries, labels))
-        if open_pairs(placed(now)) <= limit:
+        if spin and open_pairs(placed(now)) <= limit:
             break
         edges = checkpoint(linked(checkpoint(central_pairs(placed(now), spin)), rows))
         labels = relabelled(labels, edges)
