@@ -42,7 +42,7 @@ def ticket_overview(chamado: DataFrame) -> DataFrame:
 
 
 def sla_breach(chamado_sla: DataFrame, sla: DataFrame) -> DataFrame:
-    """Breaches and their share per SLA."""
+    """Breaches and their share per SLA; those of an SLA without a name row have no name."""
     breach = F.col("fl_breach").cast("int")
     counts = chamado_sla.groupBy("id_sla").agg(
         F.count(F.lit(1)).alias("qt_registros"),
@@ -50,7 +50,7 @@ def sla_breach(chamado_sla: DataFrame, sla: DataFrame) -> DataFrame:
         F.round(F.avg(breach), 6).alias("pc_breach"),
     )
     names = sla.select("id_sla", "cd_sla", "nm_sla")
-    return counts.join(names, "id_sla", "inner").select("cd_sla", "nm_sla", "qt_registros", "qt_breach", "pc_breach")
+    return counts.join(names, "id_sla", "left").select("cd_sla", "nm_sla", "qt_registros", "qt_breach", "pc_breach")
 
 
 def csat_by_analyst(csat_avaliacao: DataFrame, analista: DataFrame) -> DataFrame:

@@ -65,7 +65,8 @@ def resolve(rows: DataFrame, spec: EntitySpec, source: Tables, target: Tables, s
     A parent whose two sides fit a broadcast is joined step by step, which shuffles nothing.
     For a larger parent the two narrow sides are joined to each other first, so that the wide
     rows are shuffled once for that parent instead of twice. `links` may hold such pairs
-    written beforehand. Both ways give the same rows.
+    written beforehand; they keep source ids without a partner, so that an optional lookup finds
+    what two left joins find, also where a source id occurs twice. Both ways give the same rows.
     """
     tables, joins, ids = {"rows": rows}, [], []
     for i, lk in enumerate(spec.lookups):
@@ -81,9 +82,10 @@ def resolve(rows: DataFrame, spec: EntitySpec, source: Tables, target: Tables, s
                 joins.append(_join(lk.how, f"{{t{i}}} t{i}", f"{code} = {key}"))
                 ids.append(f"t{i}.{parent.surrogate} AS {lk.column}")
                 continue
-            pair = link(s, t, parent)
+            pair = link(s, t, parent, "left")
         tables[f"p{i}"] = pair
-        joins.append(_join(lk.how, f"{{p{i}}} p{i}", f"f.{lk.column} = p{i}.sid"))
+        found = f" AND p{i}.tid IS NOT NULL" if lk.required else ""
+        joins.append(_join(lk.how, f"{{p{i}}} p{i}", f"f.{lk.column} = p{i}.sid{found}"))
         ids.append(f"p{i}.tid AS {lk.column}")
     columns = _columns(spec.attributes) + ids + _columns(spec.audit)
     return rows.sparkSession.sql(f"SELECT {', '.join(columns)} FROM {{rows}} f {' '.join(joins)}", **tables)

@@ -81,9 +81,10 @@ class Loader:
     def current(self, name: str) -> DataFrame:
         return self.store.current(name, self.specs[name].target_schema)
 
-    def load(self, name: str, version: str | None = None) -> LoadReport:
+    def load(self, name: str, version: str | None = None, streams: dict | None = None) -> LoadReport:
         """Read, resolve, check, merge, write, then publish. Anything raised before the last
-        step leaves the published version as it was."""
+        step, the publish, leaves the published version as it was. `streams` adds to the last
+        batches of streams, which every version hands on to the next."""
         spec = self.specs[name]
         before = self.store.pointer(name) or {}
         rows = self._rows(name)
@@ -120,13 +121,14 @@ class Loader:
         report.inserted, report.updated, report.kept = (facts.get(k, 0) for k in ("inserted", "updated", "kept"))
         report.rejected = report.rows_read - report.quarantined - facts.get("merged", 0)
         facts = {k: v for k, v in asdict(report).items() if k != "entity"}
-        self.store.publish(name, version, **layout, **facts, unique_by=self._unique_by(spec, before, target))
-        self._once.forget(("parent", name))
-        if self.keep_rejects and report.rejected:
+        if self.keep_rejects and (report.rejected or self.store.pointer(f"{name}_rejects")):
             lost = rejects(rows, spec, {p: self._rows(p) for p in parents}, ids, self.specs)
             self.store.publish(f"{name}_rejects", self.store.write(f"{name}_rejects", lost))
         if self.history:
-            self.history.append(name, self.current(name), self.run_ts.date())
+            self.history.append(name, self.store.written(name, version, spec.target_schema), self.run_ts.date())
+        self.store.publish(name, version, expected=before.get("version"), **layout, **facts,
+                           unique_by=self._unique_by(spec, before, target), streams={**before.get("streams", {}), **(streams or {})})
+        self._once.forget(("parent", name))
         log.info("%s: %s", name, report)
         return report
 
@@ -202,7 +204,7 @@ class Loader:
                 checks.require_unambiguous(table, spec)
             if all(broadcastable(side.select(spec.surrogate, spec.key)) for side in (rows, table)):
                 return table, None
-            return table, self.store.stage(f"link_{name}", link(rows, table, spec))
+            return table, self.store.stage(f"link_{name}", link(rows, table, spec, "left"))
 
         return self._once.get(("parent", name), prepare)
 

@@ -14,13 +14,25 @@ from deskspark.plans.spec import EntitySpec
 CSV_OPTIONS = {
     "header": "true", "nullValue": "\\N", "multiLine": "true", "escape": '"', "mode": "FAILFAST",
     "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
-    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "enforceSchema": "false",
 }
+JSON_OPTIONS = {"mode": "FAILFAST"}
 ROWS_PER_CSV_FILE = 1_000_000
 
 
 def read_file(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
-    options = CSV_OPTIONS if fmt == "csv" else {}
+    """The table at `path`, which has to have all declared columns; more are ignored.
+
+    CSV columns are taken by the header: another order or other names fail. Lines that cannot be
+    read fail, in CSV and JSON. JSON leaves out fields that are NULL, so there a column that no
+    line has is NULL.
+    """
+    options = {"csv": CSV_OPTIONS, "json": JSON_OPTIONS}.get(fmt, {})
+    if fmt not in ("csv", "json"):
+        found = spark.read.options(**options).format(fmt).load(path).columns
+        missing = [c for c in schema.names if c.lower() not in {f.lower() for f in found}]
+        if missing:
+            raise ValueError(f"{path} lacks the columns {', '.join(missing)}")
     return spark.read.schema(schema).options(**options).format(fmt).load(path)
 
 
@@ -28,7 +40,7 @@ def write_file(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "erro
     """CSV files are bounded in rows, as a file with line breaks inside values cannot be split."""
     writer = df.write.mode(mode).format(fmt)
     if fmt == "csv":
-        writer = writer.options(**{k: v for k, v in CSV_OPTIONS.items() if k not in ("multiLine", "mode")})
+        writer = writer.options(**{k: v for k, v in CSV_OPTIONS.items() if k not in ("multiLine", "mode", "enforceSchema")})
         writer = writer.option("maxRecordsPerFile", ROWS_PER_CSV_FILE)
     writer.save(path)
 

@@ -19,6 +19,9 @@ from pyspark.sql import types as T
 POINTER = "CURRENT"
 
 
+ANY = "*"
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -54,8 +57,19 @@ class TableStore:
             writer.save(folder)
         return version
 
-    def publish(self, name: str, version: str, **facts) -> None:
-        """Make a written version the current one by replacing the pointer in one rename."""
+    def written(self, name: str, version: str, schema: T.StructType) -> DataFrame:
+        """A version by its name, published or not."""
+        return self.spark.read.schema(schema).parquet(self._folder(name, version)).select(*schema.names)
+
+    def publish(self, name: str, version: str, expected: str | None = ANY, **facts) -> None:
+        """Make a written version the current one by replacing the pointer in one rename.
+
+        `expected` is the version that the new one was made from (None: there was none); if another
+        was published meanwhile, nothing changes and this raises.
+        """
+        found = (self.pointer(name) or {}).get("version")
+        if expected is not ANY and expected != found:
+            raise RuntimeError(f"{name}: made from version {expected}, but {found} was published meanwhile")
         jvm = self.spark._jvm
         hadoop = jvm.org.apache.hadoop.fs
         final = hadoop.Path(f"{self.root}/{name}/{POINTER}")

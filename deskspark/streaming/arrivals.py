@@ -15,8 +15,13 @@ from deskspark.plans.spec import EntitySpec
 from deskspark.sources.store import TableStore
 
 
-def batch_version(batch_id: int) -> str:
-    return f"batch-{batch_id:012d}"
+def batch_version(stream: str, batch_id: int) -> str:
+    return f"batch-{stream}-{batch_id:012d}"
+
+
+def stream_id(session: SparkSession) -> str:
+    """The id that a stream keeps in its checkpoint; a new checkpoint is a new stream."""
+    return session.sparkContext.getLocalProperty("sql.streaming.queryId")
 
 
 def load_arrivals(stream: DataFrame, name: str, source: Callable[[SparkSession], Mapping[str, DataFrame]],
@@ -26,21 +31,23 @@ def load_arrivals(stream: DataFrame, name: str, source: Callable[[SparkSession],
                   trigger: Mapping | None = None) -> StreamingQuery:
     """Upsert each micro-batch of `stream` (source rows of `name`) into the store.
 
-    The version is named after the batch, so a batch that is replayed after its publish is
-    recognised and left alone, and one that failed before it is written again from the start.
+    Every version hands on the last batch of each stream, so a batch that is replayed after its
+    publish is recognised and left alone, also if another stream or a daily run published since;
+    one that failed before it is written again from the start.
     `source` supplies the parents within the session that Spark hands to the batch.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        version = batch_version(batch_id)
-        pointer = store.pointer(name)
-        if pointer and pointer["version"] == version:
+        session = batch.sparkSession
+        stream_key, pointer = stream_id(session), store.pointer(name) or {}
+        if pointer.get("streams", {}).get(stream_key, -1) >= batch_id:
             return
         now = run_ts() if callable(run_ts) else run_ts
-        session = batch.sparkSession
         parents = source(session)
         tables = {**{lk.parent: parents[lk.parent] for lk in specs[name].lookups}, name: batch}
-        Loader(session, tables, TableStore(session, store.root), now, on_violation, specs).load(name, version)
+        Loader(session, tables, TableStore(session, store.root), now, on_violation, specs,
+               bucketed=[name] if pointer.get("buckets") else []).load(
+            name, batch_version(stream_key, batch_id), {stream_key: batch_id})
 
     writer = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()

@@ -347,7 +347,7 @@ def sla_breach() -> str:
         SELECT s.cd_sla, s.nm_sla, count(*) AS qt_registros,
                CAST(count(*) FILTER (WHERE k.fl_breach) AS BIGINT) AS qt_breach,
                round(avg(CASE WHEN k.fl_breach THEN 1 WHEN NOT k.fl_breach THEN 0 END), 6) AS pc_breach
-        FROM out_chamado_sla k JOIN tgt_sla s ON s.id_sla = k.id_sla GROUP BY s.id_sla, s.cd_sla, s.nm_sla""")
+        FROM out_chamado_sla k LEFT JOIN tgt_sla s ON s.id_sla = k.id_sla GROUP BY k.id_sla, s.cd_sla, s.nm_sla""")
 
 
 def csat_by_analyst() -> str:
