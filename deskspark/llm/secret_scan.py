@@ -9,6 +9,7 @@ it was found on and of the words beside it. DataFrame functions and the forest o
 from __future__ import annotations
 
 import dataclasses
+import uuid
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import FeatureHasher, VectorAssembler
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deskspark.llm.common import checkpoint, words_of
+from deskspark.session import shared_folder
 
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}={0,2}"
 CONTEXT_CHARS = 64
@@ -143,7 +145,11 @@ def fit(findings: DataFrame) -> SecretModel:
     kinds = rows.agg(F.min("label").alias("low"), F.max("label").alias("high")).first()
     if kinds.low is not None and kinds.low < kinds.high:
         forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, featuresCol="features", labelCol="label")
-        model.forest = forest.fit(model.features(rows).select("features", "label"))
+        fitted = forest.fit(model.features(rows).select("features", "label"))
+        # A fitted model's summary holds the session, which cannot be sent to tasks once anything was observed in it.
+        path = f"{shared_folder(findings.sparkSession)}/llm/forest-{uuid.uuid4().hex[:12]}"
+        fitted.save(path)
+        model.forest = RandomForestClassificationModel.load(path)
     elif kinds.high is not None:
         model.constant = float(kinds.high)
     return model
