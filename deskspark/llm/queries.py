@@ -81,10 +81,10 @@ QUERIES = {
 _GROUPS = """
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-    'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), w -> w <> '') AS w FROM documents),
+    'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
 sets AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [w]
-    ELSE list_distinct(list_transform(range(1, len(w) - 2), i -> w[i:i + 3])) END AS s FROM words),
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: w[i:i + 3])) END AS s FROM words),
 sized AS (SELECT doc_id, len(s) AS n, s FROM sets),
 kinds AS (SELECT min(doc_id) AS node, any_value(n) AS n, any_value(s) AS s FROM (SELECT *, list_sort(s) AS k FROM sized WHERE n > 0) GROUP BY k),
 each AS (SELECT node, n, unnest(s) AS x FROM kinds),
