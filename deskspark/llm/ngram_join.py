@@ -41,6 +41,8 @@ COMPARE = 1.0
 ROUNDS, ENOUGH = 6, 2
 #: Rounds also end with one that links fewer than this part of the nodes.
 FRUITLESS = 100
+#: Lists of at most this many entries are paired whole, without classes.
+SHORT = 8
 KNOWN_WORDS = 500_000
 #: Classes of ids by which texts are left out before they are shuffled.
 BUCKETS = 1 << 19
@@ -243,15 +245,22 @@ def class_of(column: str) -> str:
 
 
 def suffixed(entries: DataFrame, suffix: str) -> DataFrame:
-    return entries.withColumnsRenamed({c: f"{c}{suffix}" for c in ("node", "label", "size", "own", "slack", "matches")})
+    return entries.select(*[F.col(c).alias(c if c in ("token", "slot") else c + suffix) for c in entries.columns])
 
 
-def placed(entries: DataFrame) -> DataFrame:
-    """Size, own, slack and matches of entries, from their packed place."""
-    matches, at = "(place & 15)", "((place >> 4) & 1073741823)"
-    return (entries.withColumn("size", F.expr("place >> 34")).withColumn("matches", F.expr(matches))
-            .withColumn("own", F.expr(f"greatest({at} - {matches} + 1, 0)"))
-            .withColumn("slack", F.expr(f"100 * ((place >> 34) - {at} + {matches} - 1) div {PERCENT} - (place >> 34)")).drop("place"))
+def fields(suffix: str = "") -> dict[str, str]:
+    """What an entry's packed place says, as SQL. Entries are shuffled packed and unpacked where they meet."""
+    place = f"place{suffix}"
+    size, matches, at = f"({place} >> 34)", f"({place} & 15)", f"(({place} >> 4) & 1073741823)"
+    named = {"size": size, "matches": matches, "own": f"greatest({at} - {matches} + 1, 0)",
+             "slack": f"(100 * ({size} - {at} + {matches} - 1) div {PERCENT} - {size})"}
+    return {name + suffix: sql for name, sql in named.items()}
+
+
+def candidates(met: DataFrame) -> DataFrame:
+    """Pairs of entries that met in a list, of different groups, whose sizes and places allow a link."""
+    both = met.filter("label_a <> label_b").withColumns({c: F.expr(e) for c, e in (fields("_a") | fields("_b")).items()})
+    return both.filter(may_link("_a", "_b"))
 
 
 def central_pairs(entries: DataFrame, spin: int) -> DataFrame:
@@ -259,44 +268,60 @@ def central_pairs(entries: DataFrame, spin: int) -> DataFrame:
 
     First the node with the fewest rarer shingles is chosen, later one by a hash of `spin`.
     """
-    rank = F.xxhash64("node", F.lit(spin)) if spin else F.col("own").cast("long")
-    centre = (entries.groupBy("token").agg(F.min(F.struct(rank.alias("rank"), "node", "label", "size", "own", "slack", "matches")).alias("c"))
-              .select("token", "c.*").drop("rank"))
-    pairs = (suffixed(entries, "_a").join(suffixed(centre, "_b"), "token").filter("label_a <> label_b").filter(may_link("_a", "_b"))
+    entries = entries.select("token", "node", "label", "place")
+    rank = F.xxhash64("node", F.lit(spin)) if spin else F.expr(fields()["own"])
+    centre = (entries.groupBy("token").agg(F.min(F.struct(rank.alias("rank"), "node", "label", "place")).alias("c"))
+              .select("token", "c.node", "c.label", "c.place"))
+    pairs = (candidates(suffixed(entries, "_a").join(suffixed(centre, "_b"), "token"))
              .groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b")).agg(F.count("*").alias("met")))
     return pairs.groupBy("a").agg(F.max(F.struct("met", (-F.col("b")).alias("b"))).alias("x")).select("a", (-F.col("x.b")).alias("b"))
 
 
+def kept_in(entries: DataFrame) -> DataFrame:
+    """Every entry with the slot it is found in: its shingle and the class of its `own`; a short list has one class, -1."""
+    return entries.withColumn("slot", F.expr(f"token ^ IF(n <= {SHORT}, -1, {class_of(fields()['own'])})"))
+
+
 def lookups(entries: DataFrame) -> DataFrame:
-    """Every entry with each class of `own` that a partner with no more rarer shingles can have."""
-    most = class_of("least(own, slack)")
-    return entries.withColumn("class", F.explode(F.expr(f"sequence(0, {most})")))
+    """Every entry with each slot where a partner with no more rarer shingles can be."""
+    of = fields()
+    most = class_of(f"least({of['own']}, {of['slack']})")
+    classes = f"IF(n <= {SHORT}, sequence(-1, -1), sequence(0, {most}))"
+    return entries.withColumn("class", F.explode(F.expr(classes))).withColumn("slot", F.expr("token ^ class")).drop("class")
 
 
 def open_pairs(entries: DataFrame) -> float:
     """How many pairs of entries of different groups the lookups will meet."""
-    wants = lookups(entries).groupBy("token", "class", "label").agg(F.count("*").cast("double").alias("w"))
-    has = entries.groupBy("token", F.expr(class_of("own")).alias("class"), "label").agg(F.count("*").cast("double").alias("same"))
-    every = has.groupBy("token", "class").agg(F.sum("same").alias("n"))
-    met = wants.join(every, ["token", "class"]).join(has, ["token", "class", "label"], "left")
+    wants = lookups(entries).groupBy("slot", "label").agg(F.count("*").cast("double").alias("w"))
+    has = kept_in(entries).groupBy("slot", "label").agg(F.count("*").cast("double").alias("same"))
+    every = has.groupBy("slot").agg(F.sum("same").alias("n"))
+    met = wants.join(every, "slot").join(has, ["slot", "label"], "left")
     return met.agg(F.sum(F.col("w") * (F.col("n") - F.coalesce("same", F.lit(0.0))))).first()[0] or 0.0
 
 
 def all_pairs(entries: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes of different groups that share as many prefix shingles as they need."""
-    found = (suffixed(lookups(entries), "_a")
-             .join(suffixed(entries.withColumn("class", F.expr(class_of("own"))), "_b"), ["token", "class"])
-             .filter("label_a <> label_b AND (own_a > own_b OR own_a = own_b AND node_a > node_b)").filter(may_link("_a", "_b")))
+    """The pairs (a, b) of nodes of different groups that share as many prefix shingles as they need.
+
+    Two shingles that fall into one slot by accident can add a pair, which the texts then refuse.
+    """
+    packed = ("slot", "node", "label", "place")
+    met = suffixed(lookups(entries).select(*packed), "_a").join(suffixed(kept_in(entries).select(*packed), "_b"), "slot")
+    found = candidates(met).filter("own_a > own_b OR own_a = own_b AND node_a > node_b")
     return (found.groupBy(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
             .agg(F.count("*").alias("met"), F.min(F.least("matches_a", "matches_b")).alias("need"))
             .filter("met >= need").select("a", "b"))
 
 
 def open_entries(entries: DataFrame, labels: DataFrame) -> DataFrame:
-    """The entries, with labels, of the shingles that several groups have."""
-    now = entries.join(labels, "node")
-    several = now.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("token")
-    return now.join(several, "token", "left_semi")
+    """The entries of the shingles that several groups have, with labels and the length `n` of their list.
+
+    Groups only grow, so what is left out here is not needed again.
+    """
+    now = entries.select("token", "node", "place").join(labels, "node")
+    lists = now.groupBy("token").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"), F.max("place").alias("last"))
+    several = lists.filter("low < high AND last >= 0")  # all columns, so that the shuffle by node is the same one
+    return now.join(several.select("token", "n"), "token")
 
 
 def link_groups(docs: DataFrame) -> DataFrame:
@@ -327,16 +352,18 @@ def link_groups(docs: DataFrame) -> DataFrame:
     labels = checkpoint(entries.select("node").distinct().select("node", F.col("node").alias("label")))
 
     limit = ENOUGH * entries.count()
+    now = entries.withColumn("label", F.col("node"))
     for spin in range(ROUNDS):
-        now = checkpoint(open_entries(entries, labels))
-        if spin and open_pairs(placed(now)) <= limit:
-            break
-        edges = checkpoint(linked(checkpoint(central_pairs(placed(now), spin)), rows))
+        if spin:
+            now = checkpoint(open_entries(now, labels))
+            if open_pairs(now) <= limit:
+                break
+        edges = checkpoint(linked(checkpoint(central_pairs(now, spin)), rows))
         labels = relabelled(labels, edges)
         if edges.count() * FRUITLESS < now.select("node").distinct().count():
             break
-    now = checkpoint(open_entries(entries, labels))
-    labels = relabelled(labels, checkpoint(linked(checkpoint(all_pairs(placed(now))), rows)))
+    now = checkpoint(open_entries(now, labels))
+    labels = relabelled(labels, checkpoint(linked(checkpoint(all_pairs(now)), rows)))
 
     ids = nodes.join(labels, "node", "left").select("h1", "h2", F.coalesce("label", "node").alias("of_set"))
     of_row = each.join(ids.withColumnsRenamed({"h1": "g1", "h2": "g2"}), (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2")) & (F.col("n") > 0), "left")
