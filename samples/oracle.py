@@ -11,7 +11,7 @@ RUN = "TIMESTAMP '2024-02-01 00:00:00'"
 SECOND_RUN = "TIMESTAMP '2024-02-02 00:00:00'"
 AUDIT = "dt_inclusao, dt_atualizacao, nm_sistema_origem, cd_registro_origem"
 
-# key, surrogate id, columns overwritten by an update
+# Key, surrogate id and the columns overwritten by an update, as they stand in the two schemas.
 SHAPE = {
     "csat": ("Id", None, "Column1, Column2"),
     "sla": ("cd_sla", "id_sla",
@@ -40,7 +40,7 @@ SHAPE = {
                     "qt_meta_minutos, dt_referencia, nm_sistema_origem"),
 }
 
-# Arrival order of rows with the same key: these columns, the earliest first.
+# Fixed values too, names of columns: the arrival order of rows with the same key, the earliest first.
 ORDER = {
     "chamado_status_historico": "dt_atualizacao, dt_inclusao, ds_status_chamado, dt_inicio_status, dt_fim_status, "
                                 "qt_tempo_status_minutos, id_chamado, id_analista_responsavel, id_fila",
