@@ -20,7 +20,9 @@ from pyspark.sql import functions as F
 from deskspark.llm.common import checkpoint, words_of
 from deskspark.session import shared_folder
 
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}={0,2}"
+#: A sign of equality before a value assigns it, one or two behind it are padding unless a value follows.
+CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}(?![A-Za-z0-9+/_-])"
+SHORTEST = 16
 CONTEXT_CHARS = 64
 PIECE, DICTIONARY_WORDS, DICTIONARY_LETTERS = 4, 5_000, 5
 #: The forest is fitted on at most this many labelled findings, chosen by a hash.
@@ -40,21 +42,27 @@ def runs(value: Column) -> Column:
     return F.length(F.regexp_replace(value, r"(.)\1*", "x"))
 
 
+def in_context(value: Column, i: Column) -> Column:
+    """The value with CONTEXT_CHARS of the text on both sides, other candidates in there included."""
+    near = CONTEXT_CHARS // SHORTEST  # no more candidates fit into the context
+    part = lambda name, k: F.coalesce(F.get(F.col(name), k), F.lit(""))
+    left = F.concat(*(x for k in range(near, 0, -1) for x in (part("rest", i - k), part("values", i - k))), part("rest", i))
+    right = F.concat(part("rest", i + 1), *(x for k in range(1, near + 1) for x in (part("values", i + k), part("rest", i + k + 1))))
+    return F.struct(value.alias("value"), F.substring(left, -CONTEXT_CHARS, CONTEXT_CHARS).alias("left"),
+                    F.substring(right, 1, CONTEXT_CHARS).alias("right"))
+
+
 def candidates(docs: DataFrame, path: str = "source") -> DataFrame:
     """A row for every candidate: doc_id, text_hash, ordinal (from 0 in its text), value, path and features.
 
     Copies of a row give equal candidates once. NULL and empty texts give none.
     """
     where = F.coalesce(F.col(path).cast("string"), F.lit("")) if path in docs.columns else F.lit("")
-    rest = F.split("text", CANDIDATE, -1)
     found = docs.filter(F.col("text").rlike(CANDIDATE)).select(
         "doc_id", F.xxhash64("text").alias("text_hash"), where.alias("path"),
-        F.regexp_extract_all("text", F.lit(f"({CANDIDATE})"), F.lit(1)).alias("value"),
-        F.transform(rest, lambda x: F.substring(x, -CONTEXT_CHARS, CONTEXT_CHARS)).alias("left"),
-        F.transform(F.slice(rest, 2, 1 << 30), lambda x: F.substring(x, 1, CONTEXT_CHARS)).alias("right"))
-    each = found.select("doc_id", "text_hash", "path", F.posexplode(F.arrays_zip("value", "left", "right")).alias("ordinal", "c"))
-    v, left, right = F.col("c.value"), F.col("c.left"), F.col("c.right")
-    rows = each.filter(v.isNotNull()).select("doc_id", "text_hash", "ordinal", "path", v.alias("value"), left.alias("left"), right.alias("right"))
+        F.regexp_extract_all("text", F.lit(f"({CANDIDATE})"), F.lit(1)).alias("values"), F.split("text", CANDIDATE, -1).alias("rest"))
+    each = found.select("doc_id", "text_hash", "path", F.posexplode(F.transform("values", in_context)).alias("ordinal", "c"))
+    rows = each.select("doc_id", "text_hash", "ordinal", "path", "c.value", "c.left", "c.right")
     rows = rows.dropDuplicates([*KEY])
     value, n = F.col("value"), F.length("value")
     classes = F.regexp_replace(F.regexp_replace(F.regexp_replace(value, "[a-z]", "a"), "[A-Z]", "A"), "[0-9]", "0")
