@@ -9,6 +9,7 @@ it was found on and of the words beside it. DataFrame functions and the forest o
 from __future__ import annotations
 
 import dataclasses
+import functools
 import uuid
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
@@ -25,8 +26,8 @@ CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}(?![A-Za-z0-9+/_-])"
 SHORTEST = 16
 CONTEXT_CHARS = 64
 PIECE, DICTIONARY_WORDS, DICTIONARY_LETTERS = 4, 5_000, 5
-#: The forest is fitted on at most this many labelled findings, chosen by a hash.
-LABELLED_ROWS = 20_000
+#: The forest is fitted on at most this many findings of each label, chosen by a hash; their weights stand for all of the label.
+LABELLED_ROWS = 10_000
 TREES, DEPTH, SEED, HASHED = 20, 6, 11, 64
 CREDENTIAL = r"(?i)(?:token|secret|passwd|password|pwd|api[_-]?key|access[_-]?key|private[_-]?key|credential)s?[\"']?\s*(?:=|:|=>)\s*[\"']?$"
 NUMERIC = ("length", "changes", "vowel_changes", "digit_share", "upper_share", "distinct_share", "coverage", "assigned", "quoted", "pathlike")
@@ -110,15 +111,19 @@ def covered(found: DataFrame, known: DataFrame) -> DataFrame:
     return found.join(shares, same).drop(*[f"_of_{k}" for k in KEY])
 
 
+def clear_label() -> Column:
+    """1: a value with letters and digits, assigned to a name of a credential; 0: letters only or
+    digits only, not so assigned; NULL: all others."""
+    mixed = F.col("value").rlike("[A-Za-z]") & F.col("value").rlike("[0-9]")
+    return F.when(F.col("credential") & mixed, 1.0).when(~F.col("credential") & ~mixed, 0.0)
+
+
 def labelled(found: DataFrame) -> DataFrame:
     """Findings whose label follows from what stands before them or from what they are made of.
 
-    1: a value with letters and digits, assigned to a name of a credential; 0: letters only or
-    digits only, not so assigned. All others are left to the forest.
+    All others are left to the forest.
     """
-    mixed = F.col("value").rlike("[A-Za-z]") & F.col("value").rlike("[0-9]")
-    label = F.when(F.col("credential") & mixed, 1.0).when(~F.col("credential") & ~mixed, 0.0)
-    return found.withColumn("label", label).filter("label IS NOT NULL")
+    return found.withColumn("label", clear_label()).filter("label IS NOT NULL")
 
 
 @dataclasses.dataclass
@@ -126,16 +131,15 @@ class SecretModel:
     hasher: FeatureHasher
     assembler: VectorAssembler
     forest: RandomForestClassificationModel | None
-    constant: float
 
     def features(self, found: DataFrame) -> DataFrame:
         named = found.withColumns({f"{c}_word": F.concat(F.lit(f"{c}:"), c) for c in ("path", "before", "after")})
         return self.assembler.transform(self.hasher.transform(named))
 
     def score(self, found: DataFrame) -> DataFrame:
-        """`found` with `score`, the forest's probability of a secret."""
+        """`found` with `score`, the forest's probability of a secret; without a forest 1 for clear secrets, else 0."""
         if self.forest is None:
-            return found.withColumn("score", F.lit(self.constant))
+            return found.withColumn("score", F.coalesce(clear_label(), F.lit(0.0)))
         scored = self.forest.transform(self.features(found)).withColumn("score", vector_to_array("probability")[1])
         return scored.select(*found.columns, "score")
 
@@ -143,23 +147,24 @@ class SecretModel:
 def fit(findings: DataFrame) -> SecretModel:
     """A forest of labelled findings (label, and the columns of `covered`).
 
-    With findings of one label only, that label is the score of all; without any, 0.
+    With findings of one label only, or none, there is no forest and each row is judged by `clear_label`.
     """
     words = [f"{c}_word" for c in ("path", "before", "after")]
     model = SecretModel(
         FeatureHasher(inputCols=words, outputCol="words", numFeatures=HASHED),
-        VectorAssembler(inputCols=[*NUMERIC, "words"], outputCol="features"), None, 0.0)
-    rows = checkpoint(findings.orderBy(F.xxhash64(*KEY), *KEY).limit(LABELLED_ROWS))
-    kinds = rows.agg(F.min("label").alias("low"), F.max("label").alias("high")).first()
-    if kinds.low is not None and kinds.low < kinds.high:
-        forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, featuresCol="features", labelCol="label")
-        fitted = forest.fit(model.features(rows).select("features", "label"))
+        VectorAssembler(inputCols=[*NUMERIC, "words"], outputCol="features"), None)
+    counts = {r["label"]: r["n"] for r in findings.groupBy("label").agg(F.count("*").alias("n")).collect()}  # two labels
+    if counts.get(0.0) and counts.get(1.0):
+        of_each = [findings.filter(F.col("label") == label).orderBy(F.xxhash64(*KEY), *KEY).limit(LABELLED_ROWS)
+                   .withColumn("weight", F.lit(max(1.0, n / LABELLED_ROWS))) for label, n in sorted(counts.items()) if label is not None]
+        rows = checkpoint(functools.reduce(DataFrame.unionByName, of_each))
+        forest = RandomForestClassifier(
+            numTrees=TREES, maxDepth=DEPTH, seed=SEED, featuresCol="features", labelCol="label", weightCol="weight")
+        fitted = forest.fit(model.features(rows).select("features", "label", "weight"))
         # A fitted model's summary holds the session, which cannot be sent to tasks once anything was observed in it.
         path = f"{shared_folder(findings.sparkSession)}/llm/forest-{uuid.uuid4().hex[:12]}"
         fitted.save(path)
         model.forest = RandomForestClassificationModel.load(path)
-    elif kinds.high is not None:
-        model.constant = float(kinds.high)
     return model
 
 

@@ -30,3 +30,15 @@ def test_assigned_values_are_redacted(spark):
     docs = docs_of(spark, texts)
     out = {r.doc_id: r.text for r in secret_scan.redact(docs, secret_scan.scan(docs)).collect()}
     assert out == {i: t.replace(turned(i), "<secret>") for i, t in texts}
+
+
+def test_rare_secrets_are_found_and_one_label_is_no_constant(spark, monkeypatch):
+    monkeypatch.setattr(secret_scan, "LABELLED_ROWS", 20)  # the few secrets are a small part of the findings
+    turned = lambda i: SECRET[i:] + SECRET[:i]
+    plain = [(i, f"an internationalizationword{'abcdefgh'[i % 8]}{'abcdefgh'[i // 8 % 8]} here") for i in range(1000)]
+    secret = [(2000 + i, f"token = {turned(i)}") for i in range(4)]
+    found = secret_scan.scan(docs_of(spark, plain + secret)).collect()
+    assert {r.doc_id for r in found if r.is_secret} == {i for i, _ in secret}
+    mixed = [(3000, "see commit 0f1e2d3c4b5a69788796a5b4c3d2e1f0 there")]
+    only = secret_scan.scan(docs_of(spark, secret + mixed)).collect()
+    assert {r.doc_id for r in only if r.is_secret} == {i for i, _ in secret}
