@@ -20,13 +20,18 @@ MAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}@[\p{L}\p{N}-]+(?:\.[\p{L}
 DATE = (r"(?<![\d/.-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\d/-])(?!\.\d)")
 IP = r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\d)(?!\.\d)"
 PHONE = (r"(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
-         r"|(?<![\d(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])")
+         r"|(?<![\d+])\+\d(?:(?:[ .-]?\(|\)[ .-]?|[ .-])?\d){7,14}(?!\d)"
+         r"|(?<![\d(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[ .-]\d{3}[ .-]\d{4}(?![\d-])")
 CARD = r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)"
 ANY = "|".join((MAIL, DATE, IP, PHONE, CARD))
 
 #: 400 times 365 days from this day on can be permuted.
 FIRST_DAY = "1800-01-01"
 DATE_FORMATS = ((r"^\d{4}-", "yyyy-MM-dd"), (r"^\d{2}/", "dd/MM/yyyy"), (r"^\d{2}\.\d{2}\.", "dd.MM.yyyy"))
+#: For what is no date with the day first. Its day is above 12, and its pseudonym's too, so that the two never meet.
+MONTH_FIRST = "MM/dd/yyyy"
+#: Tries to get to such a day; each fails for 12 days in a month.
+WALK = 64
 
 
 def feistel(x: Column, a: Column, b: Column, tweak: Column, key: str) -> Column:
@@ -81,9 +86,14 @@ def refill(layout: Column, digits: Column) -> Column:
     return F.aggregate(F.split(layout, ""), start, put, lambda s: s["s"])
 
 
+def day_first(value: Column) -> Column:
+    return F.coalesce(*(F.when(value.rlike(p), F.try_to_timestamp(value, F.lit(f)).cast("date")) for p, f in DATE_FORMATS))
+
+
 def parsed_date(value: Column) -> Column:
     """The date, where the calendar has it."""
-    return F.coalesce(*(F.when(value.rlike(p), F.try_to_timestamp(value, F.lit(f)).cast("date")) for p, f in DATE_FORMATS))
+    month_first = F.when(value.rlike(r"^\d{2}/"), F.try_to_timestamp(value, F.lit(MONTH_FIRST)).cast("date"))
+    return F.coalesce(day_first(value), month_first)
 
 
 def kind_of(value: Column) -> Column:
@@ -123,8 +133,18 @@ def pseudonym(value: Column, kind: Column, key: str) -> Column:
 
     first = F.lit(FIRST_DAY).cast("date")
     day = F.datediff(parsed_date(only("date")), first).cast("bigint")
-    moved_day = F.date_add(first, feistel(day, F.expr("bigint(400)"), F.expr("bigint(365)"), F.lit("date"), key).cast("int"))
-    date = F.coalesce(*(F.when(value.rlike(p), F.date_format(moved_day, f)) for p, f in DATE_FORMATS))
+
+    def moved_on(n: Column) -> Column:
+        return feistel(n, F.expr("bigint(400)"), F.expr("bigint(365)"), F.lit("date"), key)
+
+    def day_of(n: Column) -> Column:
+        return F.date_add(first, n.cast("int"))
+
+    moved_day = day_of(moved_on(day))
+    by_format = F.coalesce(*(F.when(value.rlike(p), F.date_format(moved_day, f)) for p, f in DATE_FORMATS))
+    walked = F.aggregate(F.sequence(F.lit(2), F.lit(WALK)), moved_on(day),
+                         lambda n, _: F.when(F.dayofmonth(day_of(n)) > 12, n).otherwise(moved_on(n)))
+    date = F.when(day_first(only("date")).isNotNull(), by_format).otherwise(F.date_format(day_of(walked), MONTH_FIRST))
 
     digest = F.sha2(F.concat_ws("|", F.lit(key), F.lit("mail"), F.lower(only("mail"))), 256)
     mail = F.concat(F.lit("u"), F.substring(digest, 1, 16), F.lit("@pseudonym.invalid"))
@@ -145,7 +165,9 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     The counts are pii_mail, pii_card, pii_phone, pii_ip and pii_date. NULL texts stay NULL and
     empty ones empty, with counts of 0; repeated rows stay repeated; texts without a valid value
     come back unchanged. Columns of the input with the name of a count are replaced. Dates outside
-    the 400 * 365 days from 1800-01-01 stay. One pass, no shuffle.
+    the 400 * 365 days from 1800-01-01 stay. Phone numbers are + and 8 to 15 digits in groups, or
+    ten digits as (nnn) nnn-nnnn or nnn-nnn-nnnn. Dates with slashes are read day first, and month
+    first where that is no date. One pass, no shuffle.
     """
     counts = [f"pii_{k}" for k in KINDS]
     rows = docs.drop(*counts)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from deskspark.llm import secret_scan
+import re
+
+from deskspark.llm import pii, secret_scan
 
 SECRET = "9233a8ec0f1b4d5e6a7b8c9d0e1f2a3b4c5d6e7f"
 
@@ -42,3 +44,16 @@ def test_rare_secrets_are_found_and_one_label_is_no_constant(spark, monkeypatch)
     mixed = [(3000, "see commit 0f1e2d3c4b5a69788796a5b4c3d2e1f0 there")]
     only = secret_scan.scan(docs_of(spark, secret + mixed)).collect()
     assert {r.doc_id for r in only if r.is_secret} == {i for i, _ in secret}
+
+
+def test_phones_of_other_countries_and_dates_month_first(spark):
+    phones = ["+44 20 7946 0958", "+33 1 23 45 67 89", "+49 30 12345678", "+34 612 345 678", "555 123 4567", "+49 (0)30 1234567", "+4915112345678"]
+    texts = [(i, f"call {p} now", "src") for i, p in enumerate(phones)]
+    rows = pii.pseudonymise(docs_of(spark, [x[:2] for x in texts]), "k").collect()
+    for r in rows:
+        assert r.pii_phone == 1 and phones[r.doc_id] not in r.text
+        assert re.sub(r"\d", "0", r.text) == re.sub(r"\d", "0", texts[r.doc_id][1])
+    dates = [f"{m:02}/{d:02}/{y}" for y in (1999, 2004) for m in range(1, 13) for d in (1, 7, 13, 28)]
+    got = [r.text for r in pii.pseudonymise(docs_of(spark, [*enumerate(dates), (999, "02/30/2001")]), "k").orderBy("doc_id").collect()]
+    assert got.pop() == "02/30/2001" and len(set(got)) == len(dates) and not set(got) & {"12/28/1999"}
+    assert all((int(new[3:5]) > 12) == (int(old[3:5]) > 12) and new != old for new, old in zip(got, dates))
