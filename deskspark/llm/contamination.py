@@ -3,7 +3,8 @@
 Words are runs of letters, digits and non-ASCII signs, in lower case. A seed is a hash of the words
 of a window at the positions that a fixed mask marks with 1; the positions marked 0 may differ.
 The two masks of span 8 have together a seed without a difference in every 13 words with at most
-two of them replaced. Seeds of documents are looked up among those of the benchmark, first in a
+two of them replaced. Shorter items have masks of their own, by length, with a seed for every choice
+of as many replaced words as SHARE allows. Seeds of documents are looked up among those of the benchmark, first in a
 bitmap of fixed size, then by an exact join. Around every hit the item is laid beside the document:
 the document leaks the item where, of OVERLAP consecutive words (all words of a shorter item), at
 least SHARE are equal in place.
@@ -22,10 +23,11 @@ from pyspark.sql import functions as F
 from deskspark.llm.common import checkpoint
 
 MASKS = ("11110011", "11010111")
-SPAN = len(MASKS[0])
 OVERLAP, SHARE = 13, 0.8
-#: Items of fewer words are no evidence; items of fewer than SPAN words have to be found word for word.
+#: Items of fewer words are no evidence.
 SHORTEST = 5
+#: Masks for items of fewer than OVERLAP words, from this many words on: one word may differ, from 10 on two.
+SHORT_MASKS = {5: ("1111", "10111", "11011", "11101"), 8: ("1011111", "1110111", "1111101"), 10: ("11111", "111011", "11010011")}
 #: The bitmap has 2**BITMAP_BITS bits, however large the benchmark is.
 BITMAP_BITS = 24
 CHUNK_WORDS, KNOWN_WORDS = 500_000, 500_000
@@ -63,7 +65,7 @@ def bits_of(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def masks_for(length: int) -> tuple[str, ...]:
-    return MASKS if length >= SPAN else ("1" * length,)
+    return MASKS if length >= OVERLAP else SHORT_MASKS[max(n for n in SHORT_MASKS if n <= length)]
 
 
 def item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,7 +88,7 @@ def item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def hit_finder(bitmap, short: list[int]):
     """A function from documents to those with a seed in the bitmap: their words and such seeds."""
-    masks = [*MASKS, *("1" * n for n in short)]
+    masks = sorted({*MASKS, *(m for n in short for m in masks_for(n))})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, bits = WordHashes(), bitmap.value
@@ -172,7 +174,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     items = checkpoint(benchmark.select("item_id", "text").mapInArrow(
         item_seeds, "item_id long, item array<long>, seeds array<struct<h:long,q:int>>"))
-    short = [r[0] for r in items.filter(F.size("item") < SPAN).select(F.size("item")).distinct().collect()]  # SPAN lengths
+    short = [r[0] for r in items.filter(F.size("item") < OVERLAP).select(F.size("item")).distinct().collect()]  # OVERLAP lengths
     listed = items.select("item_id", F.size("item").alias("m"), F.explode("seeds").alias("s")).select("item_id", "m", "s.h", "s.q")
 
     mask = (1 << BITMAP_BITS) - 1

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 
-from deskspark.llm import pii, secret_scan
+from deskspark.llm import contamination, pii, secret_scan
 
 SECRET = "9233a8ec0f1b4d5e6a7b8c9d0e1f2a3b4c5d6e7f"
 
@@ -57,3 +58,30 @@ def test_phones_of_other_countries_and_dates_month_first(spark):
     got = [r.text for r in pii.pseudonymise(docs_of(spark, [*enumerate(dates), (999, "02/30/2001")]), "k").orderBy("doc_id").collect()]
     assert got.pop() == "02/30/2001" and len(set(got)) == len(dates) and not set(got) & {"12/28/1999"}
     assert all((int(new[3:5]) > 12) == (int(old[3:5]) > 12) and new != old for new, old in zip(got, dates))
+
+
+def replaced(length):
+    """Every choice of as many places as may differ in an item of this length."""
+    most = max(k for k in range(length) if length - k >= contamination.SHARE * length)
+    return itertools.combinations(range(length), most)
+
+
+def test_masks_cover_items_of_every_length():
+    for n in range(contamination.SHORTEST, contamination.OVERLAP + 1):
+        for gone in replaced(n):
+            assert any(all(m[k - at:k - at + 1] != "1" or k < at for k in gone)
+                       for m in contamination.masks_for(n) for at in range(n - len(m) + 1))
+
+
+def test_short_items_leak_with_replaced_words(spark):
+    words = {n: [f"item{n}word{i}" for i in range(n)] for n in range(4, 13)}
+    texts, expected = [], set()
+    for n, item in words.items():
+        for gone in replaced(n):
+            text = "x y " + " ".join("other" if k in gone else w for k, w in enumerate(item)) + " z"
+            texts.append((len(texts), text))
+            if n >= contamination.SHORTEST:
+                expected.add((len(texts) - 1, n))
+    texts.append((len(texts), " ".join("other" if k < 3 else w for k, w in enumerate(words[12]))))
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in words.items()], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in contamination.leaks(docs_of(spark, texts), bench).collect()} == expected
