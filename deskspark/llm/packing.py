@@ -12,6 +12,7 @@ looked up, at the end of a block all of them.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
@@ -49,7 +50,8 @@ class Encoder:
 
     A token never reaches over a space that a visible character follows, unless it starts there.
     So texts are taken apart at spaces and every different word of a chunk is encoded once: all of
-    them together, joined by spaces, and taken apart where a token starts with a space.
+    them together, joined by spaces, and taken apart where a token starts with a space. Literals of
+    added tokens are cut out of their text first, as the tokenizer does; such a text is encoded whole.
     """
 
     def __init__(self, path: str):
@@ -57,18 +59,25 @@ class Encoder:
 
         spelled = {c: b for b, c in byte_letters().items()}
         with open(path, encoding="utf-8") as file:
-            vocabulary = json.load(file)["model"]["vocab"]
+            spec = json.load(file)
+        vocabulary, self.added = spec["model"]["vocab"], {t["content"]: t["id"] for t in spec["added_tokens"]}
+        literals = "|".join(re.escape(x) for x in sorted(self.added, key=len, reverse=True))
+        self.literal = re.compile(f"({literals})") if literals else None
+        self.stays_apart = "|".join(x for x in (DOUBTFUL, literals) if x)
         ranks = {bytes(spelled[c] for c in token): i for token, i in vocabulary.items() if all(c in spelled for c in token)}
-        ranks.pop(b"<|endoftext|>", None)
+        for content in self.added:
+            ranks.pop(content.encode(), None)
         self.encoding = tiktoken.Encoding("pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        size = max(vocabulary.values()) + 1
+        size = max(*vocabulary.values(), *self.added.values()) + 1
         self.starts, self.stops = np.zeros(size, bool), np.zeros(size, bool)
         for token, i in ranks.items():
             self.starts[i] = token.startswith(b" ")
             self.stops[i] = token.endswith((b".", b"!", b"?", b"\n"))
 
     def whole(self, text: str) -> np.ndarray:
-        return np.array(self.encoding.encode_ordinary(text), np.uint32)
+        parts = self.literal.split(text) if self.literal else [text]
+        ids = [[self.added[x]] if k % 2 else self.encoding.encode_ordinary(x) for k, x in enumerate(parts)]
+        return np.array([i for part in ids for i in part], np.uint32)
 
     def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, each ended by END_ID, and where each text begins."""
@@ -78,7 +87,7 @@ class Encoder:
         bounds -= bounds[0]
         coded = split.flatten().dictionary_encode()
         index, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary
-        stays = pc.match_substring_regex(words, STAYS).to_numpy(zero_copy_only=False)
+        stays = pc.match_substring_regex(words, f"{STAYS}|{self.stays_apart}").to_numpy(zero_copy_only=False)
         plain = np.flatnonzero(~stays)
         joined = pc.binary_join(pa.ListArray.from_arrays([0, len(plain)], words.take(pa.array(plain))), " ")[0].as_py()
         ids = np.array(self.encoding.encode_ordinary(f" {joined}" if len(plain) else ""), np.uint32)
@@ -95,7 +104,7 @@ class Encoder:
         begin_at[slot], length_at[slot] = begin[index], length[index]
         odd = stays[index]
         openings = words.take(pa.array(index[bounds[:-1]]))
-        odd[bounds[:-1]] = pc.match_substring_regex(openings, DOUBTFUL).to_numpy(zero_copy_only=False)
+        odd[bounds[:-1]] = pc.match_substring_regex(openings, self.stays_apart).to_numpy(zero_copy_only=False)
         openings = openings.to_pylist()
         whole = np.zeros(n, bool)
         whole[owner[odd]] = True

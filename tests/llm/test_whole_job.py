@@ -5,7 +5,10 @@ from __future__ import annotations
 import itertools
 import re
 
-from deskspark.llm import contamination, pii, secret_scan
+import pyarrow as pa
+import pytest
+
+from deskspark.llm import contamination, packing, pii, secret_scan
 
 SECRET = "9233a8ec0f1b4d5e6a7b8c9d0e1f2a3b4c5d6e7f"
 
@@ -85,3 +88,14 @@ def test_short_items_leak_with_replaced_words(spark):
     texts.append((len(texts), " ".join("other" if k < 3 else w for k, w in enumerate(words[12]))))
     bench = spark.createDataFrame([(n, " ".join(w)) for n, w in words.items()], "item_id long, text string")
     assert {(r.doc_id, r.item_id) for r in contamination.leaks(docs_of(spark, texts), bench).collect()} == expected
+
+
+@pytest.mark.parametrize("text", [
+    "a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y z.", "<|endoftext|>first word", "one  <|endoftext|>\n<|endoftext|><|endoftext|> two ", "plain <|endoftext| > text"])
+def test_literals_of_added_tokens_have_their_ids(text):
+    from tokenizers import Tokenizer
+
+    expected = Tokenizer.from_file(packing.TOKENIZER).encode(text, add_special_tokens=False).ids
+    other = Tokenizer.from_file(packing.TOKENIZER).encode("more text here", add_special_tokens=False).ids
+    ids, begins = packing.Encoder(packing.TOKENIZER).encode(pa.array([text, "more text here"]))
+    assert ids.tolist() == [*expected, packing.END_ID, *other, packing.END_ID] and begins.tolist() == [0, len(expected) + 1, len(ids)]
