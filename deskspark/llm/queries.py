@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deskspark.llm import (
-    contamination, language, ngram_join, packing, page_text, pii, quality_model, quality_rules, secret_scan, shard,
+    contamination, hard_negatives, language, ngram_join, packing, page_text, pii, quality_model, quality_rules, secret_scan, shard,
+    suffix_dedup, vector_codes,
 )
 from deskspark.llm.common import id_fold, table
 
@@ -66,6 +67,20 @@ def op10_pii_pseudonyms(spark: SparkSession, sf: str) -> DataFrame:
     return pii.pseudonymise(table(spark, sf, "documents").select("doc_id", "text"), PSEUDONYM_KEY)
 
 
+def op11_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "embeddings").withColumn("label", F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 50 == 0)
+
+
+def op12_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix_dedup.without_repeats(table(spark, sf, "documents")).drop("kept")
+
+
+def op13_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    codes, books = vector_codes.compress(table(spark, sf, "embeddings"))
+    return codes.select("vec_id", "code", "error", "label_error", F.lit(vector_codes.digest(books)).alias("codebooks_sha256"))
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     import corpus_pipeline
 
@@ -75,7 +90,7 @@ def pipeline(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     f.__name__: f for f in (
         op1_page_text, op2_packing, op3_secret_scan, op4_quality_classifier, op5_language_id, op6_ngram_join, op7_sharding,
-        op8_quality_rules, op9_decontamination, op10_pii_pseudonyms, pipeline)
+        op8_quality_rules, op9_decontamination, op10_pii_pseudonyms, op11_hard_negatives, op12_suffix_dedup, op13_vector_codes, pipeline)
 }
 
 _GROUPS = """
