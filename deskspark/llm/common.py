@@ -41,6 +41,14 @@ class Staged:
         path.getFileSystem(conf).delete(path, True)
 
 
+def bucketed(df: DataFrame, key: str, label: str) -> DataFrame:
+    """A Parquet copy in the shared folder in as many buckets by `key` as there are shuffle partitions; joins on it by the key move only the other side."""
+    name, width = f"{label}_{uuid.uuid4().hex[:12]}", shuffle_width(df.sparkSession)
+    path = f"{shared_folder(df.sparkSession)}/llm/{name}"
+    df.repartition(width, key).write.format("parquet").option("path", path).bucketBy(width, key).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def id_fold(column: str, folds: int) -> Column:
     """crc32 of the id as text, modulo `folds`; a NULL id counts as an empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % folds

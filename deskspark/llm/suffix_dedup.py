@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deskspark.llm.common import Staged, shuffle_width
+from deskspark.llm.common import Staged, bucketed, shuffle_width
 
 LENGTH = 400
 #: Windows of one entry at most, and of a long text at a time.
@@ -309,7 +309,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     if length < 24:
         raise ValueError("length must be 24 or more")
     # The numbers of rows hold for the written copy, whatever is run again later.
-    texts = Staged(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.col("text").cast("binary").alias("text")), "texts").df
+    texts = bucketed(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.col("text").cast("binary").alias("text")), "row", "texts")
     spans = repeats(texts, length).groupBy("row").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     return texts.join(spans, "row", "left").select("doc_id", "text", "spans").mapInArrow(
