@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deskspark.llm import (
-    contamination, hard_negatives, language, ngram_join, packing, page_text, pii, quality_model, quality_rules, secret_scan, shard,
+    contamination, expected, hard_negatives, language, ngram_join, packing, page_text, pii, quality_model, quality_rules, secret_scan, shard,
     suffix_dedup, vector_codes,
 )
 from deskspark.llm.common import id_fold, table
@@ -113,4 +113,6 @@ SELECT sized.doc_id, sized.n AS n_shingles, coalesce(labels.label, kinds.node, s
 FROM sized LEFT JOIN kinds ON sized.n > 0 AND list_sort(sized.s) = list_sort(kinds.s) LEFT JOIN labels ON kinds.node = labels.node
 """
 
-ORACLE = {"op6_ngram_join": _GROUPS}
+ORACLE = {
+    "op6_ngram_join": _GROUPS, "op11_hard_negatives": expected.NEGATIVES, "op12_suffix_dedup": expected.REPEATS, "op13_vector_codes": expected.codes(),
+}
