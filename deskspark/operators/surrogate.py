@@ -40,20 +40,22 @@ def place_copies(rows: DataFrame, digits: int = DIGITS) -> DataFrame:
     )
 
 
-def bucket_starts(target: DataFrame, surrogate: str, *placed: DataFrame) -> DataFrame:
-    """(bucket, start): the target's highest id plus all counts of the buckets before.
+def bucket_starts(target: DataFrame, surrogate: str, *placed: DataFrame, top: int | None = None) -> DataFrame:
+    """(bucket, start): the target's highest id (or `top`) plus all counts of the buckets before.
 
     A bucket's count is its highest place, read off the shuffle that the places were given on.
     At most 16**DIGITS rows per placed table, so one task adds them up.
     """
     tables = {f"p{i}": table for i, table in enumerate(placed)}
     sizes = [f"SELECT bucket, max(last) AS n FROM {{{name}}} GROUP BY bucket" for name in tables]
-    top = f"SELECT '' AS bucket, coalesce(CAST(max({surrogate}) AS BIGINT), 0) AS n FROM {{target}}"
+    highest = f"SELECT '' AS bucket, coalesce(CAST(max({surrogate}) AS BIGINT), 0) AS n FROM {{target}}"
+    if top is not None:
+        highest = f"SELECT '' AS bucket, {top}L AS n"
     return target.sparkSession.sql(
         f"""SELECT bucket, coalesce(sum(n) OVER (ORDER BY bucket
                                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
-            FROM ({' UNION ALL '.join([top, *sizes])})""",
-        target=target, **tables,
+            FROM ({' UNION ALL '.join([highest, *sizes])})""",
+        **({} if top is not None else {"target": target}), **tables,
     )
 
 

@@ -58,13 +58,15 @@ def lacks_keys(rows: DataFrame, spec: EntitySpec) -> bool:
 
 
 def merge(target: DataFrame, rows: DataFrame, spec: EntitySpec, run_ts: datetime,
-          survivors: DataFrame | None = None, null_keys: bool = True, target_null_keys: bool = True) -> DataFrame:
+          survivors: DataFrame | None = None, null_keys: bool = True, target_null_keys: bool = True,
+          top: int | None = None) -> DataFrame:
     """The whole target after the run, with `_action` and the count of rows behind each row.
 
     `rows` are resolved rows (`spec.insert_columns`). To give ids, their keys are read once more;
     `survivors` may supply a cheaper table with the same keys. Where the caller has seen that no
     row lacks its key, `null_keys=False` (for the rows) and `target_null_keys=False` leave that
-    part of the plan out.
+    part of the plan out. `top` is the highest id given so far where `target` is only the part of a
+    table that can hold the rows' keys.
     """
     folded = fold(rows, spec)
     fresh = rows.filter(f"{spec.key} IS NULL").select(*spec.insert_columns)
@@ -75,7 +77,7 @@ def merge(target: DataFrame, rows: DataFrame, spec: EntitySpec, run_ts: datetime
         placed = [keyed]
         if null_keys:
             placed.append(place_copies(fresh))
-        starts = bucket_starts(target, spec.surrogate, *placed)
+        starts = bucket_starts(target, spec.surrogate, *placed, top=top)
         tables["ids"] = key_ids(keyed, starts, "_k", spec.surrogate)
         if null_keys:
             fresh = copy_ids(placed[1], starts, list(spec.insert_columns), spec.surrogate)

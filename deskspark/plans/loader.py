@@ -21,7 +21,7 @@ from deskspark.plans.entities import ENTITIES, load_levels
 from deskspark.plans.spec import EntitySpec
 from deskspark.session import broadcastable, spread
 from deskspark.sources.history import History
-from deskspark.sources.store import TableStore
+from deskspark.sources.store import TableStore, bucket_of
 
 log = logging.getLogger(__name__)
 
@@ -59,7 +59,7 @@ class Loader:
 
     The tables named in `bucketed` are kept bucketed by their key, in as many buckets as the session
     has shuffle partitions, so that the next run's merge shuffles the source once and the target
-    not at all. A table with NULL keys stays plain, as all of them would fall into one bucket; so
+    not at all; rows whose keys fall into some buckets only read and rewrite these alone. A table with NULL keys stays plain, as all of them would fall into one bucket; so
     does one whose keys are not compared as they stand. With `keep_rejects` the rows that a required
     lookup dropped are written to `<entity>_rejects`; with a `history` each published table is
     added to it under the run's date.
@@ -102,32 +102,42 @@ class Loader:
         accepted = checks.within_domain(rows, spec) if spec.domain else rows
         resolved = resolve(spread(accepted, spec.key), *lookups)
         keys = survivors(accepted, *lookups) if spec.surrogate else None
-        target, null_keys = self.current(name), lacks_keys(rows, spec)
-        layout = {}
-        if name in self.bucketed and spec.match == BINARY and not (null_keys or lacks_keys(target, spec)):
-            layout = {"buckets": int(self.spark.conf.get("spark.sql.shuffle.partitions")), "key": spec.key}
-        merged = merge(target, resolved, spec, self.run_ts, keys, null_keys, not layout)
+        null_keys = lacks_keys(rows, spec)
+        target, touched, layout = self._layout(spec, before, accepted, null_keys)
+        top = self._top_id(spec, before) if touched is not None else None
+        merged = merge(target, resolved, spec, self.run_ts, keys, null_keys, not layout, top)
         seen = Observation()
         count = lambda action: F.count(F.when(F.col(ACTION) == action, 1))
         merged = merged.observe(
             seen, count("insert").alias("inserted"), count("update").alias("updated"),
             count("keep").alias("kept"), F.coalesce(F.sum(COUNT), F.lit(0)).alias("merged"),
+            F.max(spec.surrogate or F.lit(0)).cast("long").alias("top"),
         )
         merged = merged.drop(*BOOKKEEPING)
-        if layout and before.get("buckets") != layout["buckets"]:
-            merged = merged.repartition(layout["buckets"], spec.key)
-        version = self.store.write(name, merged, version, **layout)
+        if touched is not None:
+            version, layout = self.store.write_buckets(name, merged, before, touched, version)
+        else:
+            if layout and before.get("buckets") != layout["buckets"]:
+                merged = merged.repartition(layout["buckets"], spec.key)
+            version = self.store.write(name, merged, version, **layout)
         facts = seen.get
         report.inserted, report.updated, report.kept = (facts.get(k, 0) for k in ("inserted", "updated", "kept"))
+        if touched is not None:
+            report.kept = self._row_count(spec, before) - report.updated
         report.rejected = report.rows_read - report.quarantined - facts.get("merged", 0)
-        facts = {k: v for k, v in asdict(report).items() if k != "entity"}
+        numbers = {k: v for k, v in asdict(report).items() if k != "entity"}
+        numbers["n_rows"] = report.inserted + report.updated + report.kept
+        if spec.surrogate:
+            numbers["top_id"] = max(top or 0, facts.get("top") or 0)
         if self.keep_rejects and (report.rejected or self.store.pointer(f"{name}_rejects")):
             lost = rejects(rows, spec, {p: self._rows(p) for p in parents}, ids, self.specs)
             self.store.publish(f"{name}_rejects", self.store.write(f"{name}_rejects", lost))
         if self.history:
-            self.history.append(name, self.store.written(name, version, spec.target_schema), self.run_ts.date())
-        self.store.publish(name, version, expected=before.get("version"), **layout, **facts,
-                           unique_by=self._unique_by(spec, before, target), streams={**before.get("streams", {}), **(streams or {})})
+            whole = self.store.read(name, {"version": version, **layout}, spec.target_schema)
+            self.history.append(name, whole, self.run_ts.date())
+        unique_by = self._unique_by(spec, before)
+        self.store.publish(name, version, expected=before.get("version"), **layout, **numbers, unique_by=unique_by,
+                           streams={**before.get("streams", {}), **(streams or {})})
         self._once.forget(("parent", name))
         log.info("%s: %s", name, report)
         return report
@@ -164,7 +174,9 @@ class Loader:
     def _check_domain(self, rows: DataFrame, resolved: DataFrame, spec: EntitySpec) -> int:
         """Every resolved row is checked, also one that a later row of its key would overwrite.
         A look at the one column of the source settles the usual case without any join."""
-        if checks.domain_violations(rows, spec).isEmpty():
+        name = f"{spec.name}_quarantine"
+        stale = self.on_violation == QUARANTINE and self.store.pointer(name) is not None
+        if checks.domain_violations(rows, spec).isEmpty() and not stale:
             return 0
         bad = checks.domain_violations(resolved, spec)
         if self.on_violation == FAIL:
@@ -172,19 +184,48 @@ class Loader:
             if found:
                 raise checks.DomainViolation(f"{spec.name}: {found} rows outside {sorted(spec.domain)}")
             return 0
-        name = f"{spec.name}_quarantine"
         seen = Observation()
         version = self.store.write(name, bad.observe(seen, F.count(F.lit(1)).alias("n")))
         self.store.publish(name, version)
         return seen.get.get("n", 0)
 
-    def _unique_by(self, spec: EntitySpec, before: dict, target: DataFrame) -> str | None:
+    def _layout(self, spec: EntitySpec, before: dict, rows: DataFrame, null_keys: bool) -> tuple[DataFrame, list[int] | None, dict]:
+        """What the merge reads of the target, the buckets it rewrites (None: the whole table), and the new version's layout.
+
+        If the published version has the wanted buckets and the rows' keys fall into some of them only, just
+        these are merged and rewritten. Their numbers, no more than there are buckets, are collected.
+        """
+        target, n = self.current(spec.name), int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        if spec.name not in self.bucketed or spec.match != BINARY or null_keys:
+            return target, None, {}
+        has_buckets = bool(before.get("buckets"))  # such a version has no row without a key
+        if not has_buckets and lacks_keys(target, spec):
+            return target, None, {}
+        if has_buckets and before["key"] == spec.key:
+            found = rows.select(bucket_of(spec.key, before["buckets"]).alias("b")).distinct().collect()
+            touched = sorted(r.b for r in found)
+            if len(touched) < before["buckets"]:
+                return self.store.read(spec.name, before, spec.target_schema, touched), touched, {"buckets": before["buckets"], "key": spec.key}
+        return target, None, {"buckets": n, "key": spec.key}
+
+    def _top_id(self, spec: EntitySpec, before: dict) -> int | None:
+        """The highest id of the whole published table, which a merge of some buckets does not see."""
+        if not spec.surrogate:
+            return None
+        known = before.get("top_id")
+        return (self.current(spec.name).agg(F.max(spec.surrogate)).first()[0] or 0) if known is None else known
+
+    def _row_count(self, spec: EntitySpec, before: dict) -> int:
+        known = before.get("n_rows")
+        return self.current(spec.name).count() if known is None else known
+
+    def _unique_by(self, spec: EntitySpec, before: dict) -> str | None:
         """The key comparison under which the merged table has no key twice. A merge adds only
         keys that are absent, so once a table is known to be free of repeats it stays so."""
         if not spec.surrogate:
             return None
         known = not before or before.get("unique_by") == spec.match
-        return spec.match if known or checks.ambiguous_keys(target, spec).isEmpty() else None
+        return spec.match if known or checks.ambiguous_keys(self.current(spec.name), spec).isEmpty() else None
 
     def _rows(self, name: str) -> DataFrame:
         """A source table. One that may change while it is read, such as a database table, is
