@@ -20,6 +20,7 @@ from deskspark.plans.entities import ENTITIES  # noqa: E402
 from deskspark.plans.loader import Loader, report_frame  # noqa: E402
 from deskspark.session import new_workspace, spread  # noqa: E402
 from deskspark.sources.history import History  # noqa: E402
+from deskspark.sources.intervals import IntervalHistory  # noqa: E402
 from deskspark.sources.store import TableStore  # noqa: E402
 from deskspark.streaming.arrivals import load_arrivals  # noqa: E402
 from samples import oracle, standin  # noqa: E402
@@ -202,6 +203,31 @@ def history_as_of(spark: SparkSession, sf: str) -> DataFrame:
     return history.as_of(spec.name, spec.target_schema, date(2024, 2, 3))
 
 
+def history_intervals(spark: SparkSession, sf: str) -> DataFrame:
+    """The same three snapshots as intervals: rows that come, go and come back."""
+    spec = ENTITIES["solicitante"]
+    before, after = standin.target(spark, sf)[spec.name], _loaded(spark, sf, spec.name)
+    history = IntervalHistory(spark, new_workspace(spark, "intervals"))
+    for day, df in ((date(2024, 1, 31), before), (date(2024, 2, 1), after), (date(2024, 2, 5), before)):
+        history.append(spec.name, df.select(*spec.target_columns), day)
+    return history.intervals(spec.name, spec.target_schema)
+
+
+def stream_two_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers in debt and all others as two streams into one table kept in buckets; ids depend on who came first."""
+    spec = ENTITIES["solicitante"]
+    store, n = _seeded_store(spark, sf, "cliente_organizacao"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    before = standin.target(spark, sf)[spec.name].repartition(n, spec.key)
+    store.publish(spec.name, store.write(spec.name, before, "before", n, spec.key), buckets=n, key=spec.key)
+    arrivals = spark.readStream.schema(standin.BASE_SCHEMAS["customer"]).parquet(f"{sf}/customer*.parquet")
+    for condition in ("c_acctbal < 0", "c_acctbal >= 0 OR c_acctbal IS NULL"):
+        load_arrivals(
+            standin.derive(standin.SOURCE, spec.name, arrivals.filter(condition)), spec.name, lambda session: standin.source(session, sf),
+            store, new_workspace(spark, "stream"), RUN_TS,
+        ).awaitTermination()
+    return store.current(spec.name, spec.target_schema).drop(spec.surrogate)
+
+
 def open_tickets(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.open_tickets(_loaded(spark, sf, "chamado", numbered=False), standin.target(spark, sf)["fila"])
 
@@ -229,7 +255,7 @@ def time_in_status(spark: SparkSession, sf: str) -> DataFrame:
 _OTHERS: tuple[Query, ...] = (
     upsert_actions, upsert_audit, upsert_surrogate_ids, upsert_duplicate_keys, upsert_null_keys, upsert_rerun,
     resolve_rejects, resolve_repair, check_status_domain, check_lookup_unique, run_report, publish_swap,
-    bucketed_rerun, stream_upsert, history_as_of, open_tickets, closed_tickets, ticket_overview, sla_breach, csat_by_analyst,
+    bucketed_rerun, stream_upsert, stream_two_sources, history_as_of, history_intervals, open_tickets, closed_tickets, ticket_overview, sla_breach, csat_by_analyst,
     time_in_status,
 )
 

@@ -59,7 +59,7 @@ class TableStore:
         if buckets is not None:
             files = self.files(name, entry, buckets)
             return self.spark.read.schema(schema).parquet(*files) if files else self.spark.createDataFrame([], schema)
-        folder = self._folder(name, entry["version"])
+        folder = self.folder(name, entry["version"])
         if not entry.get("buckets"):
             return self.spark.read.schema(schema).parquet(folder)
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
@@ -94,9 +94,9 @@ class TableStore:
         """Write a version nobody sees yet. A half-written folder of the same name is replaced."""
         version = version or uuid.uuid4().hex[:12]
         entry = self.pointer(name)
-        if entry and version in {entry["version"], *self._held_in(entry)}:
+        if entry and version in {entry["version"], *self._held_in(entry), *entry.get("also", ())}:
             raise ValueError(f"{name}: version {version} is already published")
-        folder = self._folder(name, version)
+        folder = self.folder(name, version)
         writer = df.write.mode("overwrite").format("parquet")
         if buckets:
             writer.option("path", folder).bucketBy(buckets, key).sortBy(key).saveAsTable(self._table(folder))
@@ -110,14 +110,15 @@ class TableStore:
         Returns the version and the facts to publish it with.
         """
         version = self.write(name, df, version, before["buckets"], before["key"])
-        self.spark.sql(f"DROP TABLE IF EXISTS {self._table(self._folder(name, version))}")  # the folder alone is not the table
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._table(self.folder(name, version))}")  # the folder alone is not the table
         gone = set(touched)
         held = {v: sorted(set(own) - gone) for v, own in self._held_in(before).items()}
         held = {v: own for v, own in held.items() if own} | {version: sorted(gone)}
         return version, {"buckets": before["buckets"], "key": before["key"], "held_in": held}
 
     def publish(self, name: str, version: str, expected: str | None = ANY, **facts) -> None:
-        """Make a written version the current one by creating the next pointer.
+        """Make a written version the current one by creating the next pointer. Facts stand beside it; `also`
+        lists further versions that belong to it.
 
         `expected` is the version that the new one was made from (None: there was none). If another
         was published meanwhile, nothing changes and this raises.
@@ -164,7 +165,7 @@ class TableStore:
         last = {n for n, _ in pointers[-max(1, keep):]}
         staying = {n for n, _ in pointers if n in last or replaced[n] > limit}
         entries = [self.pointer(name, n) for n in sorted(staying)] or [e for e in [self.pointer(name)] if e]
-        reached = {v for e in entries if e for v in (e["version"], *self._held_in(e))}
+        reached = {v for e in entries if e for v in (e["version"], *self._held_in(e), *e.get("also", ()))}
         for n, _ in pointers:
             if n not in staying:
                 self._remove(f"{name}/{POINTERS}/{n:012d}.json")
@@ -172,7 +173,7 @@ class TableStore:
         for status in self._list(name):
             folder = status.getPath().getName()
             if folder.startswith(f"{VERSION}=") and folder[2:] not in reached and status.getModificationTime() / 1000 <= limit:
-                self.spark.sql(f"DROP TABLE IF EXISTS {self._table(self._folder(name, folder[2:]))}")
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._table(self.folder(name, folder[2:]))}")
                 self._remove(f"{name}/{folder}")
                 removed.append(folder)
         return sorted(removed)
@@ -240,7 +241,7 @@ class TableStore:
     def _table(self, folder: str) -> str:
         return f"deskspark_{hashlib.md5(folder.encode()).hexdigest()}"
 
-    def _folder(self, name: str, version: str) -> str:
+    def folder(self, name: str, version: str) -> str:
         return f"{self.root}/{name}/{VERSION}={version}"
 
     def _hadoop_conf(self):

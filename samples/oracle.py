@@ -148,6 +148,11 @@ def _insert_columns(name: str) -> list[str]:
     return [key, *_split(updated), *stamps]
 
 
+def _target_columns(name: str) -> list[str]:
+    surrogate = SHAPE[name][1]
+    return [*([surrogate] if surrogate else []), *_insert_columns(name)]
+
+
 def _input_ctes(name: str) -> dict[str, str]:
     """Source, target, extract and resolved rows of an entity."""
     tables = {}
@@ -370,6 +375,29 @@ def history_as_of() -> str:
                  "SELECT * EXCLUDE (act), DATE '2024-02-01' AS run_date FROM out_solicitante")
 
 
+def history_intervals() -> str:
+    """Snapshots before, after and before the load again; equal rows of neighbouring days form one interval."""
+    columns = ", ".join(_target_columns("solicitante"))
+    row = f"PARTITION BY {columns}, n_copies ORDER BY day"
+    ctes = {
+        **_input_ctes("solicitante"), **_merge_ctes("solicitante"),
+        "snapshots": " UNION ALL ".join(f"SELECT DATE '{day}' AS day, {columns} FROM {table}_solicitante" for day, table in (
+            ("2024-01-31", "tgt"), ("2024-02-01", "out"), ("2024-02-05", "tgt"))),
+        "days": "SELECT day, lag(day) OVER (ORDER BY day) AS previous, lead(day) OVER (ORDER BY day) AS later FROM (SELECT DISTINCT day FROM snapshots)",
+        "counted": "SELECT *, count(*) AS n_copies FROM snapshots GROUP BY ALL",
+        "began": f"SELECT *, CASE WHEN lag(day) OVER ({row}) = previous THEN 0 ELSE 1 END AS fresh FROM counted JOIN days USING (day)",
+        "numbered": f"SELECT *, sum(fresh) OVER ({row}) AS stretch FROM began",
+    }
+    return _with(ctes, f"""
+        SELECT {columns}, n_copies, min(day) AS valid_from, nullif(max(coalesce(later, DATE '9999-12-31')), DATE '9999-12-31') AS valid_to
+        FROM numbered GROUP BY {columns}, n_copies, stretch""")
+
+
+def stream_two_sources() -> str:
+    return _with({**_input_ctes("solicitante"), **_merge_ctes("solicitante")},
+                 "SELECT * EXCLUDE (act, id_solicitante) FROM out_solicitante")
+
+
 def run_report() -> str:
     """Loads chained in dependency order: every child sees its parents as just loaded."""
     ctes: dict[str, str] = {}

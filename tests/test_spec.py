@@ -51,9 +51,3 @@ def test_connection_options():
     assert "loginTimeout=30" in options["url"] and options["user"] == "reader"
     with pytest.raises(KeyError, match="SQL_SERVER_TARGET"):
         jdbc.connection_options(jdbc.TARGET, ENV)
-
-
-def test_slices_are_disjoint_and_complete():
-    conditions = jdbc.slice_predicates(ENTITIES["chamado"], 3)
-    assert [c.rsplit("= ", 1)[1] for c in conditions] == ["0", "1", "2"]
-    assert all(c.startswith("(CHECKSUM(nr_chamado, ") for c in conditions)
