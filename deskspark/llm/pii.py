@@ -13,10 +13,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from deskspark.llm.common import unused
+
 ROUNDS = 6
 KINDS = ("mail", "card", "phone", "ip", "date")
 
-MAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+"
+#: Possessive, as a group that may be given back is matched recursively and a long run of dots would exhaust the stack.
+MAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)++"
 DATE = (r"(?<![\d/.-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\d/-])(?!\.\d)")
 IP = r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\d)(?!\.\d)"
 PHONE = (r"(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
@@ -25,6 +28,12 @@ PHONE = (r"(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]?\d{3}[ .-]?\d{4
 CARD = r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)"
 ANY = "|".join((MAIL, DATE, IP, PHONE, CARD))
 
+# The two-digit country codes; 1 and 7 have one digit, all others three.
+COUNTRY_CODES = (
+    "20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46", "47", "48", "49", "51", "52", "53", "54", "55",
+    "56", "57", "58", "60", "61", "62", "63", "64", "65", "66", "81", "82", "84", "86", "90", "91", "92", "93", "94", "95", "98",
+)
+
 #: 400 times 365 days from this day on can be permuted.
 FIRST_DAY = "1800-01-01"
 DATE_FORMATS = ((r"^\d{4}-", "yyyy-MM-dd"), (r"^\d{2}/", "dd/MM/yyyy"), (r"^\d{2}\.\d{2}\.", "dd.MM.yyyy"))
@@ -121,7 +130,8 @@ def pseudonym(value: Column, kind: Column, key: str) -> Column:
 
     digits = F.regexp_replace(only("phone"), r"\D", "")
     n = F.length(digits)
-    own = F.least(n, F.lit(10))
+    code = F.when(digits.rlike("^[17]"), 1).when(digits.substr(1, 2).isin(*COUNTRY_CODES), 2).otherwise(3)
+    own = F.when(value.startswith("+"), n - code).otherwise(n).cast("int")
     phone = F.concat(digits.substr(F.lit(1), n - own), permuted_digits(digits.substr(n - own + 1, own), own, "phone", key))
 
     octets = F.transform(F.split(only("ip"), r"\."), lambda o: o.try_cast("bigint"))
@@ -166,18 +176,18 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     empty ones empty, with counts of 0; repeated rows stay repeated; texts without a valid value
     come back unchanged. Columns of the input with the name of a count are replaced. Dates outside
     the 400 * 365 days from 1800-01-01 stay. Phone numbers are + and 8 to 15 digits in groups, or
-    ten digits as (nnn) nnn-nnnn or nnn-nnn-nnnn. Dates with slashes are read day first, and month
+    ten digits as (nnn) nnn-nnnn or nnn-nnn-nnnn; a country code after + stays. Dates with slashes are read day first, and month
     first where that is no date. One pass, no shuffle.
     """
     counts = [f"pii_{k}" for k in KINDS]
     rows = docs.drop(*counts)
-    found = rows.withColumn("_found", found_values(F.col(text)))
-    changed = F.transform(F.col("_found"), lambda m: F.struct(
-        m["kind"].alias("kind"), pseudonym(m["value"], m["kind"], key).alias("new")))
-    found = found.withColumn("_new", F.when(F.exists("_found", lambda m: m["kind"].isNotNull()), changed))
+    values, changes = unused("found", rows.columns), unused("changes", rows.columns)
+    found = rows.withColumn(values, found_values(F.col(text)))
+    changed = F.transform(values, lambda m: F.struct(m["kind"].alias("kind"), pseudonym(m["value"], m["kind"], key).alias("new")))
+    found = found.withColumn(changes, F.when(F.exists(values, lambda m: m["kind"].isNotNull()), changed))
     rest = F.split(F.col(text), ANY, -1)
-    rebuilt = F.array_join(
-        F.zip_with(rest, F.col("_new"), lambda s, m: F.concat(s, F.coalesce(m["new"], F.lit("")))), "")
-    out = found.withColumn(text, F.when(F.col("_new").isNotNull(), rebuilt).otherwise(F.col(text)))
-    kinds = F.transform(F.coalesce("_new", F.array().cast("array<struct<kind:string,new:string>>")), lambda m: m["kind"])
-    return out.withColumns({name: F.size(kinds) - F.size(F.array_remove(F.transform(kinds, lambda k: F.coalesce(k, F.lit("-"))), kind)) for kind, name in zip(KINDS, counts)}).drop("_found", "_new")
+    rebuilt = F.array_join(F.zip_with(rest, changes, lambda s, m: F.concat(s, F.coalesce(m["new"], F.lit("")))), "")
+    out = found.withColumn(text, F.when(F.col(changes).isNotNull(), rebuilt).otherwise(F.col(text)))
+    kinds = F.transform(F.coalesce(changes, F.array().cast("array<struct<kind:string,new:string>>")), lambda m: F.coalesce(m["kind"], F.lit("-")))
+    sums = {name: F.size(kinds) - F.size(F.array_remove(kinds, kind)) for kind, name in zip(KINDS, counts)}
+    return out.withColumns(sums).drop(values, changes)

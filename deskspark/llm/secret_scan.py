@@ -18,7 +18,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deskspark.llm.common import checkpoint, words_of
+from deskspark.llm.common import checkpoint, unused, words_of
 from deskspark.session import shared_folder
 
 #: A sign of equality before a value assigns it, one or two behind it are padding unless a value follows.
@@ -87,9 +87,9 @@ def candidates(docs: DataFrame, path: str = "source") -> DataFrame:
 
 
 def pieces(value: Column) -> Column:
-    """The runs of PIECE lower-case characters of a value, as an array."""
-    n = F.greatest(F.length(value) - (PIECE - 1), F.lit(1))
-    return F.transform(F.sequence(F.lit(1), n), lambda i: F.substr(F.lower(value), i, F.lit(PIECE)))
+    """The runs of PIECE lower-case characters of a value, as an array; found in one pass, however long the value is."""
+    every = F.regexp_extract_all(F.lower(value), F.lit(f"(?s)(?=(.{{{PIECE}}}))."), F.lit(1))
+    return F.when(F.length(value) < PIECE, F.array(F.lower(value))).otherwise(every)
 
 
 def dictionary(docs: DataFrame, words: int = DICTIONARY_WORDS) -> DataFrame:
@@ -182,11 +182,12 @@ def scan(docs: DataFrame, findings: DataFrame | None = None, threshold: float =
 
 def redact(docs: DataFrame, scanned: DataFrame, mark: str = "<secret>") -> DataFrame:
     """`docs` with every secret in `text` replaced by `mark`; all rows and other columns stay."""
-    secrets = (scanned.filter("is_secret").groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-               .agg(F.collect_set("ordinal").alias("_at")))
-    same = docs["doc_id"].eqNullSafe(secrets["_id"]) & (F.xxhash64(docs["text"]) == secrets["_hash"])
+    own, digest, at = (unused(n, docs.columns) for n in ("secret_id", "secret_hash", "secret_at"))
+    secrets = (scanned.filter("is_secret").groupBy(F.col("doc_id").alias(own), F.col("text_hash").alias(digest))
+               .agg(F.collect_set("ordinal").alias(at)))
+    same = docs["doc_id"].eqNullSafe(secrets[own]) & (F.xxhash64(docs["text"]) == secrets[digest])
     joined = docs.join(secrets, same, "left")
     values = F.regexp_extract_all("text", F.lit(f"({CANDIDATE})"), F.lit(1))
-    secret = F.transform(values, lambda v, i: F.when(F.array_contains("_at", i), mark).otherwise(v))
+    secret = F.transform(values, lambda v, i: F.when(F.array_contains(at, i), mark).otherwise(v))
     text = F.array_join(F.zip_with(F.split("text", CANDIDATE, -1), secret, lambda s, v: F.concat(s, F.coalesce(v, F.lit("")))), "")
-    return joined.withColumn("text", F.when(F.col("_at").isNotNull(), text).otherwise(F.col("text"))).select(*docs.columns)
+    return joined.withColumn("text", F.when(F.col(at).isNotNull(), text).otherwise(F.col("text"))).select(*docs.columns)

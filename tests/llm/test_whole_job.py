@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import random
 import re
 
 import pyarrow as pa
@@ -99,3 +100,40 @@ def test_literals_of_added_tokens_have_their_ids(text):
     other = Tokenizer.from_file(packing.TOKENIZER).encode("more text here", add_special_tokens=False).ids
     ids, begins = packing.Encoder(packing.TOKENIZER).encode(pa.array([text, "more text here"]))
     assert ids.tolist() == [*expected, packing.END_ID, *other, packing.END_ID] and begins.tolist() == [0, len(expected) + 1, len(ids)]
+
+
+def test_a_domain_of_many_labels_is_one_mail_address(spark):
+    long = "a@" + "b." * 100_000 + "c"
+    rows = pii.pseudonymise(docs_of(spark, [(1, f"write {long} now"), (2, "a@" + "." * 100_000), (3, "x" * 100_000 + "@h.example")]), "k").collect()
+    got = {r.doc_id: r for r in rows}
+    assert re.fullmatch(r"write u[0-9a-f]{16}@pseudonym\.invalid now", got[1].text) and got[1].pii_mail == 1
+    assert got[2].pii_mail == 0 and got[3].pii_mail == 0
+
+
+def test_country_codes_stay(spark):
+    phones = ["+34 612 345 678", "+1 (555) 123-4567", "+358 40 1234567", "+7 495 123 45 67", "+44 20 7946 0958", "+1 555 123 4567"]
+    rows = pii.pseudonymise(docs_of(spark, enumerate(phones)), "k").collect()
+    for r in rows:
+        assert r.text != phones[r.doc_id] and re.sub(r"\d", "0", r.text) == re.sub(r"\d", "0", phones[r.doc_id])
+        assert r.text.split()[0] == phones[r.doc_id].split()[0]
+    digits = {r.doc_id: re.sub(r"\D", "", r.text) for r in rows}
+    assert digits[1] == digits[5]  # the same number in two layouts
+
+
+def test_columns_of_the_input_stay_as_they_are(spark):
+    df = spark.createDataFrame([(1, f"mail a@h.example token={SECRET}", "f", "c", "i")], "doc_id long, text string, found string, CHANGES string, secret_at string")
+    out = pii.pseudonymise(df, "k").collect()[0]
+    assert (out.found, out.CHANGES, out.pii_mail) == ("f", "c", 1)
+    red = secret_scan.redact(df, secret_scan.scan(df)).collect()[0]
+    assert red.secret_at == "i" and red.text == "mail a@h.example token=<secret>"
+
+
+def test_a_candidate_of_a_megabyte_is_scored(spark):
+    r = random.Random(1)
+    long = "".join(r.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJ0123456789+/") for _ in range(1_000_000))
+    rows = secret_scan.scan(docs_of(spark, [(1, f"data:image/png;base64,{long}"), (2, f"token={SECRET}"), (3, "a" * 1_000_000)])).collect()
+    assert {r.doc_id: len(r.value) for r in rows} == {1: len(long), 2: len(SECRET), 3: 1_000_000}
+    by_hand = [long.lower()[i:i + 4] for i in range(50)]
+    df = spark.createDataFrame([(long[:53], "ab", "\U0001f600bcde")], "a string, b string, c string")
+    got = df.select(*(secret_scan.pieces(df[c]).alias(c) for c in "abc")).collect()[0]
+    assert (got.a, got.b, got.c) == (by_hand, ["ab"], ["\U0001f600bcd", "bcde"])
