@@ -17,21 +17,36 @@ of which say nothing new once their documents are linked. So before the full com
 rounds compare only each node with the most central node of a prefix shingle, and what is linked
 is merged; the full comparison then covers all remaining pairs of nodes not yet in one group. So
 no link between groups is missed, whatever the rounds found.
+
+Groups of copies that are just not near enough stay apart, and their lists would still make all
+pairs. Each set has a signature, the parity of its shingles in every one of SIGNS * 64 cells. Two
+sets differ in at least as many shingles as their signatures differ in bits, so pairs whose
+signatures are too different leave the join where they meet.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from deskspark.llm.common import checkpoint, shuffle_width
+from deskspark.llm.common import checkpoint, unused
+
+
+@dataclass(frozen=True)
+class Law:
+    """Words of a shingle, and the percentage of the union that two sets have to share to be linked."""
 
-SHINGLE, PERCENT = 4, 85
+    words: int = 4
+    percent: int = 85
+
+
+LAW = Law()
 #: Cells of the frequency sketch; it is broadcast (4 bytes a cell), whatever the input's size.
 SKETCH_BITS, SKETCH_PARTS = 20, 64
 MATCHES = 4
@@ -43,6 +58,9 @@ ROUNDS, ENOUGH = 6, 2
 FRUITLESS = 100
 #: Lists of at most this many entries are paired whole, without classes.
 SHORT = 8
+#: Whole numbers of 64 parities in a set's signature.
+SIGNS = 8
+BITS = [f"bits{k}" for k in range(SIGNS)]
 KNOWN_WORDS = 500_000
 #: Classes of ids by which texts are left out before they are shuffled.
 BUCKETS = 1 << 19
@@ -60,7 +78,7 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ h >> np.uint64(29)
 
 
-def shingle_set(text: str | None, known: WordHashes, size: int = SHINGLE) -> np.ndarray:
+def shingle_set(text: str | None, known: WordHashes, size: int = LAW.words) -> np.ndarray:
     """Sorted hashes of the different shingles of a whole text, as signed numbers.
 
     Words are runs of anything but ASCII blanks, with A-Z in lower case. A text with fewer words
@@ -92,24 +110,36 @@ def set_keys(shingles: np.ndarray) -> tuple[int, int]:
     return int(one.view(np.int64)), int(two.view(np.int64))
 
 
-def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for every document (part NULL), then the task's share of the sketch."""
-    known, sketch = WordHashes(), np.zeros(1 << SKETCH_BITS, np.uint32)
-    names = ["doc_id", "n", "h1", "h2", "part", "cells"]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-    for batch in batches:
-        rows, waiting = [], []
-        for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-            s = shingle_set(text.as_py(), known)
-            rows.append((doc, len(s), *(set_keys(s) if len(s) else (0, 0)), None, None))
-            waiting.append(cells(s))
-        if rows:
-            sketch += np.bincount(np.concatenate(waiting), minlength=len(sketch)).astype(np.uint32)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
-    share = np.minimum(sketch, 65_535).astype("<u2").reshape(SKETCH_PARTS, -1)
-    none = [None] * SKETCH_PARTS
-    parts = [none, none, none, none, list(range(SKETCH_PARTS)), [x.tobytes() for x in share]]
-    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(parts, types)], names=names)
+def signature(shingles: np.ndarray) -> list[int]:
+    """Of every cell, whether an odd number of the set's shingles falls into it."""
+    cell = (mixed(shingles.view(np.uint64)) >> np.uint64(40)) % np.uint64(64 * SIGNS)
+    odd = np.bincount(cell.astype(np.int64), minlength=64 * SIGNS) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8").tolist()
+
+
+MEASURED = f"doc_id long, n long, h1 long, h2 long, {', '.join(f'{b} long' for b in BITS)}, part int, cells binary"
+
+
+def measurer(law: Law):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for every document (part NULL), then the task's share of the sketch."""
+        known, sketch = WordHashes(), np.zeros(1 << SKETCH_BITS, np.uint32)
+        names = ["doc_id", "n", "h1", "h2", *BITS, "part", "cells"]
+        types = [pa.int64()] * (4 + SIGNS) + [pa.int32(), pa.binary()]
+        for batch in batches:
+            rows, waiting = [], []
+            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+                s = shingle_set(text.as_py(), known, law.words)
+                rows.append((doc, len(s), *(set_keys(s) if len(s) else (0, 0)), *signature(s), None, None))
+                waiting.append(cells(s))
+            if rows:
+                sketch += np.bincount(np.concatenate(waiting), minlength=len(sketch)).astype(np.uint32)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+        share = np.minimum(sketch, 65_535).astype("<u2").reshape(SKETCH_PARTS, -1)
+        parts = [[None] * SKETCH_PARTS] * (4 + SIGNS) + [list(range(SKETCH_PARTS)), [x.tobytes() for x in share]]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(parts, types)], names=names)
+
+    return run
 
 
 def added_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,7 +165,7 @@ def frequency_sketch(shares: DataFrame) -> np.ndarray:
     return sketch.reshape(-1)
 
 
-def chosen_prefix(shingles: np.ndarray, frequency: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, int]:
+def chosen_prefix(shingles: np.ndarray, frequency: np.ndarray, percent: int = LAW.percent) -> tuple[np.ndarray, int]:
     """The prefix of a set, rarest first, and how many matches it asks for.
 
     With l matches, the entries met are the sum of the frequencies in the prefix, and at most a
@@ -156,16 +186,16 @@ def chosen_prefix(shingles: np.ndarray, frequency: np.ndarray, percent: int = PE
     return shingles[order[:spare + best]], best
 
 
-def prefix_finder(sketch):
+def prefix_finder(sketch, law: Law):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, frequency = WordHashes(), sketch.value
         for batch in batches:
             docs = batch.column("doc_id")
             tokens, owners, places = [], [], []
             for k, text in enumerate(batch.column("text")):
-                s = shingle_set(text.as_py(), known)
+                s = shingle_set(text.as_py(), known, law.words)
                 if len(s):
-                    prefix, m = chosen_prefix(s, frequency[cells(s)])
+                    prefix, m = chosen_prefix(s, frequency[cells(s)], law.percent)
                     tokens.append(prefix)
                     owners.append(np.full(len(prefix), k))
                     places.append((np.int64(len(s)) << 34) + (np.arange(len(prefix)) << 4) + m)
@@ -177,16 +207,19 @@ def prefix_finder(sketch):
     return run
 
 
-def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The pairs whose whole texts' shingle sets overlap enough."""
-    known = WordHashes()
-    for batch in batches:
-        keep = []
-        for one, two in zip(batch.column("text_a"), batch.column("text_b")):
-            a, b = shingle_set(one.as_py(), known), shingle_set(two.as_py(), known)
-            both = len(np.intersect1d(a, b, assume_unique=True))
-            keep.append(both > 0 and 100 * both >= PERCENT * (len(a) + len(b) - both))
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+def verifier(law: Law):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The pairs whose whole texts' shingle sets overlap enough."""
+        known = WordHashes()
+        for batch in batches:
+            keep = []
+            for one, two in zip(batch.column("text_a"), batch.column("text_b")):
+                a, b = shingle_set(one.as_py(), known, law.words), shingle_set(two.as_py(), known, law.words)
+                both = len(np.intersect1d(a, b, assume_unique=True))
+                keep.append(both > 0 and 100 * both >= law.percent * (len(a) + len(b) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -209,7 +242,7 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def linked(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def linked(pairs: DataFrame, docs: DataFrame, law: Law) -> DataFrame:
     """The pairs (a, b) of documents that overlap enough.
 
     Most texts in no pair are left out before the shuffle, by the bucket of their id's hash; there
@@ -220,7 +253,7 @@ def linked(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     near = docs.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(BUCKETS))).join(F.broadcast(buckets), "bucket", "left_semi")
     left = near.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = near.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(verified, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(verifier(law), "a long, b long")
 
 
 def relabelled(labels: DataFrame, edges: DataFrame) -> DataFrame:
@@ -233,10 +266,17 @@ def relabelled(labels: DataFrame, edges: DataFrame) -> DataFrame:
                       .select("node", F.coalesce("new", "label").alias("label")))
 
 
-def may_link(a: str, b: str) -> str:
+def may_link(a: str, b: str, percent: int) -> str:
     """Whether sizes, and places of a shared prefix shingle, allow the threshold."""
-    return (f"100 * least(size{a}, size{b}) >= {PERCENT} * greatest(size{a}, size{b}) AND own{a} <= slack{b} AND own{b} <= slack{a} "
-            f"AND {100 + PERCENT} * least(size{a} - own{a}, size{b} - own{b}) >= {PERCENT} * (size{a} + size{b})")
+    return (f"100 * least(size{a}, size{b}) >= {percent} * greatest(size{a}, size{b}) AND own{a} <= slack{b} AND own{b} <= slack{a} "
+            f"AND {100 + percent} * least(size{a} - own{a}, size{b} - own{b}) >= {percent} * (size{a} + size{b})")
+
+
+def like_signatures(a: str, b: str, percent: int) -> str:
+    """Whether the signatures, if there are any, differ in no more bits than two linked sets of these sizes can differ in shingles."""
+    apart = " + ".join(f"bit_count({c}{a} ^ {c}{b})" for c in BITS)
+    both = f"((size{a} + size{b}) * {percent} + {99 + percent}) div {100 + percent}"  # the shared shingles that the threshold asks for
+    return f"coalesce({apart} <= size{a} + size{b} - 2 * ({both}), true)"
 
 
 def class_of(column: str) -> str:
@@ -248,65 +288,67 @@ def suffixed(entries: DataFrame, suffix: str) -> DataFrame:
     return entries.select(*[F.col(c).alias(c if c in ("token", "slot") else c + suffix) for c in entries.columns])
 
 
-def fields(suffix: str = "") -> dict[str, str]:
+def fields(percent: int, suffix: str = "") -> dict[str, str]:
     """What an entry's packed place says, as SQL. Entries are shuffled packed and unpacked where they meet."""
     place = f"place{suffix}"
     size, matches, at = f"({place} >> 34)", f"({place} & 15)", f"(({place} >> 4) & 1073741823)"
     named = {"size": size, "matches": matches, "own": f"greatest({at} - {matches} + 1, 0)",
-             "slack": f"(100 * ({size} - {at} + {matches} - 1) div {PERCENT} - {size})"}
+             "slack": f"(100 * ({size} - {at} + {matches} - 1) div {percent} - {size})"}
     return {name + suffix: sql for name, sql in named.items()}
 
 
-def candidates(met: DataFrame) -> DataFrame:
+def candidates(met: DataFrame, percent: int) -> DataFrame:
     """Pairs of entries that met in a list, of different groups, whose sizes and places allow a link."""
-    both = met.filter("label_a <> label_b").withColumns({c: F.expr(e) for c, e in (fields("_a") | fields("_b")).items()})
-    return both.filter(may_link("_a", "_b"))
+    both = met.filter("label_a <> label_b").withColumns({c: F.expr(e) for c, e in (fields(percent, "_a") | fields(percent, "_b")).items()})
+    return both.filter(may_link("_a", "_b", percent))
 
 
-def central_pairs(entries: DataFrame, spin: int) -> DataFrame:
+def central_pairs(entries: DataFrame, spin: int, percent: int) -> DataFrame:
     """For every node the node it shares most prefix shingles with, among one chosen for each shingle.
 
     First the node with the fewest rarer shingles is chosen, later one by a hash of `spin`.
     """
     entries = entries.select("token", "node", "label", "place")
-    rank = F.xxhash64("node", F.lit(spin)) if spin else F.expr(fields()["own"])
+    rank = F.xxhash64("node", F.lit(spin)) if spin else F.expr(fields(percent)["own"])
     centre = (entries.groupBy("token").agg(F.min(F.struct(rank.alias("rank"), "node", "label", "place")).alias("c"))
               .select("token", "c.node", "c.label", "c.place"))
-    pairs = (candidates(suffixed(entries, "_a").join(suffixed(centre, "_b"), "token"))
+    pairs = (candidates(suffixed(entries, "_a").join(suffixed(centre, "_b"), "token"), percent)
              .groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b")).agg(F.count("*").alias("met")))
     return pairs.groupBy("a").agg(F.max(F.struct("met", (-F.col("b")).alias("b"))).alias("x")).select("a", (-F.col("x.b")).alias("b"))
 
 
-def kept_in(entries: DataFrame) -> DataFrame:
+def kept_in(entries: DataFrame, percent: int) -> DataFrame:
     """Every entry with the slot it is found in: its shingle and the class of its `own`; a short list has one class, -1."""
-    return entries.withColumn("slot", F.expr(f"token ^ IF(n <= {SHORT}, -1, {class_of(fields()['own'])})"))
+    return entries.withColumn("slot", F.expr(f"token ^ IF(n <= {SHORT}, -1, {class_of(fields(percent)['own'])})"))
 
 
-def lookups(entries: DataFrame) -> DataFrame:
+def lookups(entries: DataFrame, percent: int) -> DataFrame:
     """Every entry with each slot where a partner with no more rarer shingles can be."""
-    of = fields()
+    of = fields(percent)
     most = class_of(f"least({of['own']}, {of['slack']})")
     classes = f"IF(n <= {SHORT}, sequence(-1, -1), sequence(0, {most}))"
     return entries.withColumn("class", F.explode(F.expr(classes))).withColumn("slot", F.expr("token ^ class")).drop("class")
 
 
-def open_pairs(entries: DataFrame) -> float:
+def open_pairs(entries: DataFrame, percent: int) -> float:
     """How many pairs of entries of different groups the lookups will meet."""
-    wants = lookups(entries).groupBy("slot", "label").agg(F.count("*").cast("double").alias("w"))
-    has = kept_in(entries).groupBy("slot", "label").agg(F.count("*").cast("double").alias("same"))
+    wants = lookups(entries, percent).groupBy("slot", "label").agg(F.count("*").cast("double").alias("w"))
+    has = kept_in(entries, percent).groupBy("slot", "label").agg(F.count("*").cast("double").alias("same"))
     every = has.groupBy("slot").agg(F.sum("same").alias("n"))
     met = wants.join(every, "slot").join(has, ["slot", "label"], "left")
     return met.agg(F.sum(F.col("w") * (F.col("n") - F.coalesce("same", F.lit(0.0))))).first()[0] or 0.0
 
 
-def all_pairs(entries: DataFrame) -> DataFrame:
+def all_pairs(entries: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes of different groups that share as many prefix shingles as they need.
 
-    Two shingles that fall into one slot by accident can add a pair, which the texts then refuse.
+    `signatures` (node, BITS) has every node once. Two shingles that fall into one slot by accident can
+    add a pair, which the texts then refuse.
     """
-    packed = ("slot", "node", "label", "place")
-    met = suffixed(lookups(entries).select(*packed), "_a").join(suffixed(kept_in(entries).select(*packed), "_b"), "slot")
-    found = candidates(met).filter("own_a > own_b OR own_a = own_b AND node_a > node_b")
+    packed = ("slot", "node", "label", "place", *BITS)
+    signed = entries.join(signatures, "node")
+    met = suffixed(lookups(signed, percent).select(*packed), "_a").join(suffixed(kept_in(signed, percent).select(*packed), "_b"), "slot")
+    found = candidates(met, percent).filter("own_a > own_b OR own_a = own_b AND node_a > node_b").filter(like_signatures("_a", "_b", percent))
     return (found.groupBy(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
             .agg(F.count("*").alias("met"), F.min(F.least("matches_a", "matches_b")).alias("need"))
             .filter("met >= need").select("a", "b"))
@@ -324,7 +366,15 @@ def open_entries(entries: DataFrame, labels: DataFrame) -> DataFrame:
     return now.join(several.select("token", "n"), "token")
 
 
-def link_groups(docs: DataFrame) -> DataFrame:
+def same_ids(each: DataFrame, nodes: DataFrame, signatures: DataFrame) -> DataFrame:
+    """Pairs (a, b) of the nodes of different sets that rows of one id have; such ids have no signature."""
+    several = signatures.filter(f"{BITS[0]} IS NULL").select(F.col("node").alias("doc_id"))
+    held = each.select("doc_id", "h1", "h2", "n").filter("n > 0").join(several, "doc_id").join(nodes, ["h1", "h2"]).filter("node IS NOT NULL")
+    first = held.groupBy("doc_id").agg(F.min("node").alias("a"))
+    return held.select("doc_id", F.col("node").alias("b")).join(first, "doc_id").filter("a <> b").select("a", "b").distinct()
+
+
+def link_groups(docs: DataFrame, law: Law = LAW) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of `docs` (doc_id, text).
 
     The component's id is the smallest doc_id reachable by links, the document's own included. NULL
@@ -335,46 +385,57 @@ def link_groups(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     rows = docs.select("doc_id", "text")
-    seen = checkpoint(rows.mapInArrow(measured, "doc_id long, n long, h1 long, h2 long, part int, cells binary"))
+    seen = checkpoint(rows.mapInArrow(measurer(law), MEASURED))
     sketch = spark.sparkContext.broadcast(frequency_sketch(seen.filter("part IS NOT NULL").select("part", "cells")))
-    each = seen.filter("part IS NULL").select("doc_id", "n", "h1", "h2")
+    each = seen.filter("part IS NULL").select("doc_id", "n", "h1", "h2", *BITS)
     nodes = each.filter("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("node"))
-
-    # One shuffle by shingle serves both the counting and the keeping of what is met twice.
-    prefixes = (rows.filter("doc_id IS NOT NULL").mapInArrow(prefix_finder(sketch), "token long, doc_id long, place long")
-                .repartition(shuffle_width(spark), "token"))
-    met_twice = prefixes.groupBy("token").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.max("place").alias("last"))
-    met_twice = met_twice.filter("low < high AND last >= 0")  # all columns, so that the shuffle is the same one
+    # Rows of one id may have different sets; the signature of one would not do for the others, so such an id has none.
+    alike = (F.min("h1") == F.max("h1")) & (F.min("h2") == F.max("h2"))
+    signatures = (each.filter("n > 0 AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("node"))
+                  .agg(*(F.when(alike, F.min(b)).alias(b) for b in BITS)))
+
+    prefixes = (rows.filter("doc_id IS NOT NULL").mapInArrow(prefix_finder(sketch, law), "token long, doc_id long, place long"))
+    shared = Window.partitionBy("token")
+    met_twice = (prefixes.withColumns({"low": F.min("doc_id").over(shared), "high": F.max("doc_id").over(shared)})
+                 .filter("low < high").select("token", "doc_id", "place"))
     entries = checkpoint(
-        prefixes.join(met_twice.select("token"), "token", "left_semi")
-        .join(nodes.filter("node IS NOT NULL").select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
+        met_twice.join(nodes.filter("node IS NOT NULL").select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
         .select("token", F.col("doc_id").alias("node"), "place").distinct())
-    labels = checkpoint(entries.select("node").distinct().select("node", F.col("node").alias("label")))
+    ties = checkpoint(same_ids(each, nodes, signatures))
+    every = entries.select("node").union(ties.select("a")).union(ties.select("b")).distinct()
+    labels = checkpoint(every.select("node", F.col("node").alias("label")))
+    if not ties.isEmpty():
+        labels = relabelled(labels, ties)
 
     limit = ENOUGH * entries.count()
-    now = entries.withColumn("label", F.col("node"))
+    now = entries.join(labels, "node")
     for spin in range(ROUNDS):
         if spin:
             now = checkpoint(open_entries(now, labels))
-            if open_pairs(now) <= limit:
+            if open_pairs(now, law.percent) <= limit:
                 break
-        edges = checkpoint(linked(checkpoint(central_pairs(now, spin)), rows))
+        edges = checkpoint(linked(checkpoint(central_pairs(now, spin, law.percent)), rows, law))
         labels = relabelled(labels, edges)
         if edges.count() * FRUITLESS < now.select("node").distinct().count():
             break
     now = checkpoint(open_entries(now, labels))
-    labels = relabelled(labels, checkpoint(linked(checkpoint(all_pairs(now)), rows)))
+    labels = relabelled(labels, checkpoint(linked(checkpoint(all_pairs(now, signatures, law.percent)), rows, law)))
 
     ids = nodes.join(labels, "node", "left").select("h1", "h2", F.coalesce("label", "node").alias("of_set"))
-    of_row = each.join(ids.withColumnsRenamed({"h1": "g1", "h2": "g2"}), (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2")) & (F.col("n") > 0), "left")
+    of_row = each.drop(*BITS).join(ids.withColumnsRenamed({"h1": "g1", "h2": "g2"}), (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2")) & (F.col("n") > 0), "left")
     return of_row.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("of_set", "doc_id").alias("component_id"))
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` whose doc_id is the smallest of its group, one row an id, with all columns.
+def one_of_each(docs: DataFrame, law: Law = LAW) -> DataFrame:
+    """The rows of `docs` whose doc_id is the smallest of its group, with all columns.
 
-    Rows with a NULL id cannot be told apart and stay.
+    Of rows with one id and one text the first in the order of their JSON form stays; rows of one id whose
+    texts differ all stay, as none stands for the other. Rows with a NULL id cannot be told apart and stay.
     """
-    first = link_groups(docs).filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.filter("doc_id IS NOT NULL").join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter("doc_id IS NULL"))
+    times = unused("times", docs.columns)
+    first = link_groups(docs, law).filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias(times))
+    kept = docs.filter("doc_id IS NOT NULL").join(first, "doc_id").select(*docs.columns, times)
+    once, several = kept.filter(f"{times} = 1").drop(times), kept.filter(f"{times} > 1").drop(times)
+    row = F.struct(*docs.columns)
+    chosen = several.groupBy("doc_id", "text").agg(F.min_by(row, F.to_json(row)).alias("row")).select("row.*")
+    return once.unionByName(chosen).unionByName(docs.filter("doc_id IS NULL"))

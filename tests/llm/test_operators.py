@@ -208,3 +208,71 @@ def test_empty_tables(spark, odd):
     assert quality_model.score_documents(none, none.selectExpr("doc_id", "1 AS quality")).count() == 0
     assert language.predict(none, language.fit(none)).count() == 0
     assert quality_rules.judge(none, none).count() == 0
+
+
+def plain_groups(texts, words, percent):
+    """component of every (id, text) row, all pairs compared."""
+    def shingles(text):
+        w = [x for x in re.split(r"[\x20\x09-\x0D]+", (text or "").lower()) if x]
+        return {tuple(w[i:i + words]) for i in range(max(1, len(w) - words + 1))} if w else set()
+
+    rows = [(i, shingles(t)) for i, t in texts]
+    label = list(range(len(rows)))
+
+    def root(k):
+        while label[k] != k:
+            k = label[k]
+        return k
+
+    for a, b in itertools.combinations(range(len(rows)), 2):
+        (i, x), (j, y) = rows[a], rows[b]
+        if x and y and (100 * len(x & y) >= percent * len(x | y)):
+            label[root(a)] = root(b)
+    return [min(rows[m][0] for m in range(len(rows)) if root(m) == root(k)) for k in range(len(rows))]
+
+
+def near_copies(n, seed):
+    """Copies of some texts with words replaced: near enough, just not near enough, and far apart."""
+    rng = np.random.default_rng(seed)
+    base = [[f"w{x}" for x in rng.integers(0, 400, int(rng.integers(3, 160)))] for _ in range(6)]
+    texts = []
+    for k in range(n):
+        words = list(base[int(rng.integers(0, len(base)))])
+        for at in rng.integers(0, len(words), int(len(words) * rng.choice([0, 0.01, 0.02, 0.03, 0.2]))):
+            words[at] = f"x{rng.integers(0, 1000)}"
+        texts.append((k, " ".join(words)))
+    return texts
+
+
+@pytest.mark.parametrize("words, percent, enough", [(4, 85, 2), (5, 80, 2), (4, 85, 10 ** 9)])
+def test_groups_are_those_of_all_pairs(spark, monkeypatch, words, percent, enough):
+    monkeypatch.setattr(ngram_join, "ENOUGH", enough)  # the largest: one round, then all pairs through signatures
+    texts = near_copies(150, words) + [(900, None), (901, " \t"), (902, "one two"), (903, "ONE two")]
+    texts += [texts[3], (1000, texts[5][1]), (1000, texts[9][1])]  # a repeated row; one id with two texts
+    got = ngram_join.link_groups(docs_of(spark, texts), ngram_join.Law(words, percent)).collect()
+    groups = plain_groups(texts, words, percent)
+    same = {g for (i, _), g in zip(texts, groups) if i == 1000}
+    low = min(same)  # the rows of one id are one document, so their groups are one
+    want = sorted((i, low if g in same else g) for (i, _), g in zip(texts, groups))
+    assert sorted((r.doc_id, r.component_id) for r in got) == want
+
+
+def test_one_of_each_group_stays(spark):
+    texts = near_copies(60, 8)
+    more = [(500, "some text of its own that nobody else has at all"), (500, "quite another text under the same number as that one"), (None, "x y"), (None, "x y")]
+    docs = docs_of(spark, texts + [texts[0]] + more)
+    kept = sorted(ngram_join.one_of_each(docs, ngram_join.Law(5, 80)).collect(), key=repr)
+    groups = plain_groups(texts, 5, 80)
+    want = {i for (i, _), g in zip(texts, groups) if i == g}
+    assert sorted(r.doc_id for r in kept if r.doc_id is not None) == sorted([*want, 500, 500])
+    assert sum(r.doc_id is None for r in kept) == 2 and kept[0].asDict().keys() == docs.collect()[0].asDict().keys()
+
+
+def test_signatures_never_part_linked_sets():
+    rng, known = np.random.default_rng(3), ngram_join.WordHashes()
+    for _ in range(300):
+        words = [f"w{x}" for x in rng.integers(0, 90, int(rng.integers(5, 200)))]
+        other = [w if rng.random() > 0.03 else "z" for w in words]
+        a, b = (ngram_join.shingle_set(" ".join(w), known) for w in (words, other))
+        apart = sum(int(x ^ y).bit_count() if x ^ y >= 0 else (int(x ^ y) % 2**64).bit_count() for x, y in zip(ngram_join.signature(a), ngram_join.signature(b)))
+        assert apart <= len(np.setxor1d(a, b))
