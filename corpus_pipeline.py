@@ -14,6 +14,7 @@ from deskspark.llm.common import Staged, table
 from deskspark.llm.queries import training_labels
 
 THRESHOLD = 0.3
+NEAR = ngram_join.Law(words=5, percent=80)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,8 +24,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that the shingle join links."""
-    return ngram_join.one_of_each(docs)
+    """One document of each group linked by shingles of NEAR.words words that share NEAR.percent of their union."""
+    return ngram_join.one_of_each(docs, NEAR)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +47,7 @@ STAGES = [
     ("quality", quality), ("near_duplicates", near_duplicates), ("decontamination", decontamination),
     ("secrets", secrets), ("packing", packed),
 ]
-#: No stage's model or placement can be said in SQL; tests compare each with a plain version.
+#: No stage's model or placement can be said in SQL.
 ORACLE_SQL = None
 
 
