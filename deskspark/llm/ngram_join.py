@@ -61,7 +61,8 @@ SHORT = 8
 #: Whole numbers of 64 parities in a set's signature.
 SIGNS = 8
 BITS = [f"bits{k}" for k in range(SIGNS)]
-KNOWN_WORDS = 500_000
+#: What a task keeps at hand: words with their hashes, and documents whose shingles are held at a time.
+KNOWN_WORDS, HELD = 200_000, 512
 #: Classes of ids by which texts are left out before they are shuffled.
 BUCKETS = 1 << 19
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9), np.uint64(0xD6E8FEB86659FD93))
@@ -99,6 +100,13 @@ def shingle_set(text: str | None, known: WordHashes, size: int = LAW.words) -> n
     return np.unique(out.view(np.int64))
 
 
+def few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of at most HELD."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, HELD):
+            yield batch.slice(at, HELD)
+
+
 def cells(shingles: np.ndarray) -> np.ndarray:
     return (shingles.view(np.uint64) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
@@ -126,15 +134,14 @@ def measurer(law: Law):
         known, sketch = WordHashes(), np.zeros(1 << SKETCH_BITS, np.uint32)
         names = ["doc_id", "n", "h1", "h2", *BITS, "part", "cells"]
         types = [pa.int64()] * (4 + SIGNS) + [pa.int32(), pa.binary()]
-        for batch in batches:
+        for batch in few(batches):
             rows, waiting = [], []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
                 s = shingle_set(text.as_py(), known, law.words)
                 rows.append((doc, len(s), *(set_keys(s) if len(s) else (0, 0)), *signature(s), None, None))
                 waiting.append(cells(s))
-            if rows:
-                sketch += np.bincount(np.concatenate(waiting), minlength=len(sketch)).astype(np.uint32)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+            sketch += np.bincount(np.concatenate(waiting), minlength=len(sketch)).astype(np.uint32)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
         share = np.minimum(sketch, 65_535).astype("<u2").reshape(SKETCH_PARTS, -1)
         parts = [[None] * SKETCH_PARTS] * (4 + SIGNS) + [list(range(SKETCH_PARTS)), [x.tobytes() for x in share]]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(parts, types)], names=names)
@@ -189,7 +196,7 @@ def chosen_prefix(shingles: np.ndarray, frequency: np.ndarray, percent: int = LA
 def prefix_finder(sketch, law: Law):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, frequency = WordHashes(), sketch.value
-        for batch in batches:
+        for batch in few(batches):
             docs = batch.column("doc_id")
             tokens, owners, places = [], [], []
             for k, text in enumerate(batch.column("text")):
