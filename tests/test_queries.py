@@ -15,7 +15,7 @@ def con():
     return connect(SF)
 
 
-#: SQL cannot say these in bearable time; tests/llm compares them with plain versions.
+#: Registered without SQL so far; what tests there are for them is in tests/llm.
 WITHOUT_SQL = {
     "op1_page_text", "op2_packing", "op3_secret_scan", "op4_quality_classifier", "op5_language_id", "op7_sharding", "op8_quality_rules",
     "op9_decontamination", "op10_pii_pseudonyms", "pipeline",
