@@ -13,15 +13,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deskspark.llm.common import BLANKS, words_of
+from deskspark.llm.common import BLANKS, checkpoint, words_of
 
 BUCKETS = 1 << 16
 ENDING = 3
 ALPHA = 1.0
 #: Mean log ratio (nats per n-gram) from which a document is kept.
 THRESHOLD = -0.3
-#: The target multinomial is counted over this many trusted documents, chosen by a hash of the id.
-TRUSTED_IDS = 50_000
 MIN_WORDS, WINDOW, MAX_REPEATED_PERCENT = 10, 5, 20
 SYMBOLS = "#*$%&|<>"
 FEW = 64
@@ -105,13 +103,13 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, alph
 
     `trusted` has the doc_id of every target document, once or more; NULL ids are no target.
     """
-    ids = (trusted.select("doc_id").filter("doc_id IS NOT NULL").distinct()
-           .orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRUSTED_IDS).withColumn("_target", F.lit(1)))
-    # The ids are bounded and sent to the scan, which sums its counts by bucket: no text is shuffled.
-    rows = docs.select("doc_id", words_of(F.col("text")).alias("words")).join(F.broadcast(ids), "doc_id", "left")
+    ids = trusted.select("doc_id").filter("doc_id IS NOT NULL").distinct().withColumn("_target", F.lit(1))
+    # Few ids are sent to the scan, and then no text is shuffled; many are joined by a shuffle.
+    rows = docs.select("doc_id", "text").join(ids, "doc_id", "left").select("_target", words_of(F.col("text")).alias("words"))
     # explode() would compute the arrays a second time, to filter empty ones beforehand.
-    counts = (with_grams(rows).select(F.coalesce("_target", F.lit(0)).alias("target"), F.explode_outer("grams").alias("bucket"))
-              .filter("bucket IS NOT NULL").groupBy("bucket").agg(F.count("*").alias("n"), F.sum("target").alias("m")))
+    counts = checkpoint(
+        with_grams(rows).select(F.coalesce("_target", F.lit(0)).alias("target"), F.explode_outer("grams").alias("bucket"))
+        .filter("bucket IS NOT NULL").groupBy("bucket").agg(F.count("*").alias("n"), F.sum("target").alias("m")))
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("m"), F.lit(0)).alias("m")).first()
     target = (F.col("m") + alpha) / F.lit(float(total.m + alpha * buckets))
     raw = (F.col("n") + alpha) / F.lit(float(total.n + alpha * buckets))
