@@ -7,7 +7,10 @@ what the host's template gives both pages, and those lines are deleted, with two
 inside an <article> or <main> are the page's own by the author's word (copies of an article must
 not delete each other), and if every line is shared the pages are copies, which says nothing about
 a template. Then lines go that markup names as something else: menus, headers, footers, sidebars,
-notices, adverts, forms, comments, and whatever stands beside an <article> or <main>.
+notices, adverts, forms, comments, and whatever stands beside an <article> or <main>. A name that
+only qualifies another word (social-history) needs the differencing to confirm it: such lines go if
+they are shared. An <article> or <main> inside a form, and a <main> inside a named wrapper, count as
+not beside; where nothing else is left, so do wrappers named after what they also hold.
 """
 
 from __future__ import annotations
@@ -40,6 +43,16 @@ NAMED = frozenset(
     "cookies disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices overlay pager "
     "pagination popup promo promoted related reply replies respond search share sharing sidebar signup social sponsor "
     "sponsored subscribe subscription tags toolbar widget widgets".split())
+#: Those of them that layouts also give to an element around the whole page.
+WRAPPING = frozenset("header modal newsletter notices overlay search share sharing sidebar social subscription tags toolbar widget widgets".split())
+#: Words that before a name say what an element has, not what it is, and words that behind a name add nothing to it.
+STATES = frozenset("has no with without".split())
+PLACES = frozenset(
+    "area bar block body bottom box btn button buttons card cards center column container content cta feed form group holder "
+    "icons inline inner item items left link links list main message outer panel post posts right section slot space strip text "
+    "title top unit wrap wrapper zone".split())
+#: How sure it is that a line stands beside the text, in rising order.
+NOT, PERHAPS, FORM, WRAPPER, BESIDE = range(5)
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -50,23 +63,34 @@ _PARTS = re.compile(r"[^a-z0-9]+")
 _ENDS = {k: re.compile(rf"</{k}\s*>", re.I) for k in SILENT}
 
 
-def named_aside(attributes: str) -> bool:
-    """Whether class, id or role name a menu, an advert or the like, or the element is hidden."""
+def named_aside(attributes: str) -> int:
+    """How surely class, id or role name a menu, an advert or the like, or the element is hidden."""
     if not attributes:
-        return False
-    words = (w for m in _NAMES.findall(attributes) for w in _PARTS.split("".join(m).lower()))
-    return any(w in NAMED for w in words) or bool(_HIDDEN.search(attributes))
+        return NOT
+    if _HIDDEN.search(attributes):
+        return BESIDE
+    level = NOT
+    for name in (n for m in _NAMES.findall(attributes) for n in "".join(m).lower().split()):
+        words = [w for w in _PARTS.split(name) if w and not w.isdigit()]
+        found = NAMED.intersection(words)
+        if not found or words[0] in STATES:
+            continue
+        if words[-1] not in NAMED and words[-1] not in PLACES:
+            level = max(level, PERHAPS)
+        else:
+            level = max(level, WRAPPER if found <= WRAPPING else BESIDE)
+    return level
 
 
-def text_lines(page: str | None) -> list[tuple[str, bool, bool]]:
-    """(line, inside an article, named as something beside it) for every block with text, in page order.
+def text_lines(page: str | None) -> list[tuple[str, bool, int]]:
+    """(line, inside an article, how surely beside the text) for every block with text, in page order.
 
     Unclosed elements end with the element around them; a closing tag without an opening one is
     ignored. The content of scripts, styles and the like is no text.
     """
-    lines: list[tuple[str, bool, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []
-    own = beside = False
+    lines: list[tuple[str, bool, int]] = []
+    stack: list[tuple[str, bool, int]] = []
+    own, beside = False, NOT
     buffer: list[str] = []
     page = page or ""
 
@@ -114,10 +138,14 @@ def text_lines(page: str | None) -> list[tuple[str, bool, bool]]:
             if name == "p" and stack and stack[-1][0] == "p":
                 own, beside = stack.pop()[1:]
             stack.append((name, own, beside))
-            is_beside = name in ASIDE or name == "header" and not own or name not in WHOLE and named_aside(m[3])
-            if is_beside and not beside:
+            level = named_aside(m[3]) if name not in WHOLE else NOT
+            if name in ASIDE or name == "header" and not own:
+                level = max(level, FORM if name == "form" else BESIDE)
+            if name in OWN and beside <= (WRAPPER if name == "main" else FORM):
+                beside = NOT
+            if level > beside:
                 flush()
-            own, beside = own or name in OWN, beside or is_beside
+            own, beside = own or name in OWN, max(beside, level)
     flush()
     return lines
 
@@ -180,10 +208,11 @@ class Page:
         near = max((p for p in (before, after) if self.same_site(p)), key=self.shared_with, default=None)
         shared = set(common_positions(self.keys, near.keys)) if near else set()
         template = shared if len(shared) < len(self.keys) else set()
-        articles = any(own for _, own, _ in self.lines)
-        kept = [line for k, (line, own, beside) in enumerate(self.lines)
-                if not beside and (own if articles else k not in template)]
-        return " ".join(kept), near.row["page_id"] if near else None, len(shared)
+        plain = [k for k, (_, _, beside) in enumerate(self.lines) if beside == NOT or beside == PERHAPS and k not in shared]
+        rest = [k for k, (_, _, beside) in enumerate(self.lines) if beside <= WRAPPER and k not in template]
+        kept = ([k for k in plain if self.lines[k][1]] or [k for k in plain if k not in template]
+                or [k for k in rest if self.lines[k][1]] or rest)
+        return " ".join(self.lines[k][0] for k in kept), near.row["page_id"] if near else None, len(shared)
 
 
 def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -162,6 +162,59 @@ def test_pages_without_article_lose_shared_lines(spark):
     assert got == {0: "own 0", 1: "own 1", 2: "own 2", 7: "", 8: ""}
 
 
+PAGE = "<html><head><title>t</title></head><body>%s</body></html>"
+
+
+@pytest.mark.parametrize("body, text", [
+    ("<div><p>the body</p></div><section class=comments><article>me too</article></section>", "the body"),
+    ("<div class='content with-sidebar'><article>the body</article><div class=sidebar><article>teaser</article></div></div>", "the body"),
+    ("<div class='search-page'><article>the body</article></div><nav>menu</nav>", "the body"),
+    ("<form action=/x><nav>menu</nav><article><p>the body</p></article><select><option>1</select></form>", "the body"),
+    ("<form action=/x><div>the body</div><button>go</button></form>", "the body"),
+    ("<article><p>the</p><section class='social-history'><p>body</p></section><div class='social-links'>share</div></article>", "the body"),
+    ("<article>the body<form><label>mail</label></form><div class='ad-slot-12'>buy</div></article>", "the body"),
+    ("<div class='has-header'><main><p>the body</p></main></div><header>top</header>", "the body"),
+    ("<section class=comments><article>me too</article></section>", ""),
+    ("<div hidden><article>unseen</article></div><p>the body</p>", "the body"),
+])
+def test_wrappers_do_not_take_the_text_with_them(body, text):
+    page = page_text.Page({"html": PAGE % body, "host": "h", "path": "/", "page_id": 1})
+    assert page.main_text(None, None)[0] == text
+
+
+def test_differencing_confirms_names_that_only_qualify():
+    def page(i, note):
+        body = f"<article><p>own {i}</p><div class='notice-story'>{note}</div></article>"
+        return page_text.Page({"html": PAGE % body, "host": "h", "path": f"/a/{i}", "page_id": i})
+
+    assert page(1, "on all pages").main_text(page(0, "on all pages"), None)[0] == "own 1"
+    assert page(1, "only here").main_text(page(0, "only there"), None)[0] == "own 1 only here"
+
+
+def test_trusted_documents_count_all_and_once(spark):
+    """The ratios are those of plain counts, with ids given twice, unknown or NULL, whether the ids are broadcast or shuffled."""
+    texts = [(i, f"w{i % 7} x{i % 3} y w{i % 5}") for i in range(60)] + [(None, "w1 x1"), (70, None), (71, "")]
+    docs = docs_of(spark, texts)
+    trusted = spark.createDataFrame([(i,) for i in [*range(0, 60, 2), 4, 4, 999, None]], "doc_id long")
+    buckets = {r.words: r.b for r in quality_rules.with_grams(docs.selectExpr("text AS words_", "split(text, ' ') AS words"))
+               .selectExpr("words_ AS words", "grams AS b").collect()}
+    raw, target = {}, {}
+    for i, text in texts:
+        for b in buckets[text] if text else ():
+            raw[b] = raw.get(b, 0) + 1
+            target[b] = target.get(b, 0) + (i is not None and i < 60 and i % 2 == 0)
+    n, m = sum(raw.values()), sum(target.values())
+    want = {b: np.log((target[b] + 1) / (m + 65536) / ((raw[b] + 1) / (n + 65536))) for b in raw}
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for size in ("-1", limit):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+            got = {r.bucket: r.ratio for r in quality_rules.log_ratios(docs, trusted).collect()}
+            assert got == pytest.approx(want)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_shards_balance_and_keep_groups(spark, odd):
     docs = docs_of(spark, [(i, "t" * int(n)) for i, n in enumerate(np.random.default_rng(4).integers(0, 300, 400))])
     rows = shard.shard_documents(docs).collect()
