@@ -104,12 +104,14 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, alph
     `trusted` has the doc_id of every target document, once or more; NULL ids are no target.
     """
     ids = trusted.select("doc_id").filter("doc_id IS NOT NULL").distinct().withColumn("_target", F.lit(1))
-    # Few ids are sent to the scan, and then no text is shuffled; many are joined by a shuffle.
-    rows = docs.select("doc_id", "text").join(ids, "doc_id", "left").select("_target", words_of(F.col("text")).alias("words"))
-    # explode() would compute the arrays a second time, to filter empty ones beforehand.
-    counts = checkpoint(
-        with_grams(rows).select(F.coalesce("_target", F.lit(0)).alias("target"), F.explode_outer("grams").alias("bucket"))
-        .filter("bucket IS NOT NULL").groupBy("bucket").agg(F.count("*").alias("n"), F.sum("target").alias("m")))
+    # The n-grams are shuffled to the ids at every size, in two bytes each instead of their texts.
+    rows = with_grams(docs.select("doc_id", words_of(F.col("text")).alias("words"))).select(
+        "doc_id", F.transform("grams", lambda b: (b - BUCKETS // 2).cast("smallint")).alias("grams"))
+    marked = rows.join(ids.hint("merge"), "doc_id", "left").select(
+        F.coalesce("_target", F.lit(0)).alias("target"), F.explode_outer("grams").alias("gram"))
+    bucket = F.col("gram").cast("int") + BUCKETS // 2
+    counts = checkpoint(marked.filter("gram IS NOT NULL").groupBy(bucket.alias("bucket"))
+                        .agg(F.count("*").alias("n"), F.sum("target").alias("m")))
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("m"), F.lit(0)).alias("m")).first()
     target = (F.col("m") + alpha) / F.lit(float(total.m + alpha * buckets))
     raw = (F.col("n") + alpha) / F.lit(float(total.n + alpha * buckets))

