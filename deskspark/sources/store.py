@@ -89,6 +89,16 @@ class TableStore:
                 found += [p.toString() for p in names if (m := _BUCKET.search(p.getName())) and int(m[1]) in own]
         return sorted(found)
 
+    def changed_buckets(self, name: str, before: dict, now: dict) -> list[int] | None:
+        """The buckets that version `now` holds in another folder than `before`. None if that is all of them, if the
+        two cannot be compared, or if a folder with what those buckets held before is gone."""
+        if not now.get("buckets") or any(before.get(k) != now.get(k) for k in ("buckets", "key")):
+            return None
+        then, since = ({b: v for v, own in self._held_in(e).items() for b in own} for e in (before, now))
+        changed = sorted(b for b in since if then.get(b) != since[b])
+        lost = any(not self._list(f"{name}/{VERSION}={v}") for v in {then[b] for b in changed if b in then})
+        return None if lost or len(changed) == now["buckets"] else changed
+
     def write(self, name: str, df: DataFrame, version: str | None = None,
               buckets: int | None = None, key: str | None = None) -> str:
         """Write a version nobody sees yet. A half-written folder of the same name is replaced."""
