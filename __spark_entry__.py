@@ -133,6 +133,19 @@ def resolve_repair(spark: SparkSession, sf: str) -> DataFrame:
     return before.join(after, spec.key)
 
 
+def resolve_repair_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """The same by loading again only the analysts who waited for a queue."""
+    spec, source = ENTITIES["analista"], standin.source(spark, sf)
+    store = _seeded_store(spark, sf, *sorted({lk.parent for lk in spec.lookups}), spec.name)
+    loader = Loader(spark, source, store, RUN_TS, bucketed=[spec.name], keep_unresolved=True)
+    loader.load(spec.name)
+    before = loader.current(spec.name).select(spec.key, F.col("id_fila_atual").alias("id_fila_antes"))
+    loader.load("fila")
+    loader.repair(spec.name)
+    after = loader.current(spec.name).select(spec.key, F.col("id_fila_atual").alias("id_fila_depois"))
+    return before.join(after, spec.key).join(source[spec.name].select(spec.key), spec.key, "left_semi")
+
+
 def check_status_domain(spark: SparkSession, sf: str) -> DataFrame:
     """Line 7 of every order carries a status the history does not know; line 6 has none."""
     lines = standin.base_table(spark, sf, "lineitem")
@@ -281,7 +294,7 @@ def _refreshed(name: str) -> Query:
 
 _OTHERS: tuple[Query, ...] = (
     upsert_actions, upsert_audit, upsert_surrogate_ids, upsert_duplicate_keys, upsert_null_keys, upsert_rerun,
-    resolve_rejects, resolve_repair, check_status_domain, check_lookup_unique, run_report, publish_swap,
+    resolve_rejects, resolve_repair, resolve_repair_incremental, check_status_domain, check_lookup_unique, run_report, publish_swap,
     bucketed_rerun, stream_upsert, stream_two_sources, history_as_of, history_intervals, open_tickets, closed_tickets, ticket_overview, sla_breach, csat_by_analyst,
     time_in_status,
 )
@@ -314,6 +327,7 @@ def oracle_sql() -> dict[str, str]:
            if hasattr(oracle, query.__name__)},
         **{f"refreshed_{name}": getattr(oracle, name)() for name in DASHBOARDS},
         "publish_swap": oracle.load("analista"),
+        "resolve_repair_incremental": oracle.resolve_repair(),
         "stream_upsert": oracle.load("solicitante"),
         **(llm.ORACLE if llm else {}),
     }

@@ -111,3 +111,45 @@ def rejects(rows: DataFrame, spec: EntitySpec, source: Tables, target: Tables, s
         f"SELECT * FROM (SELECT {columns}, concat_ws(',', {', '.join(reasons) or 'NULL'}) AS reason "
         f"FROM {{rows}} f {' '.join(joins)}) WHERE reason <> ''", **tables,
     )
+
+
+def unresolved(rows: DataFrame, spec: EntitySpec, source: Tables, target: Tables, specs: Specs = ENTITIES) -> DataFrame:
+    """(key, parent, code), once each: the natural keys that rows refer to and the target lacks, of optional parents.
+
+    The parents that the target lacks come first, as they are few; of the rows only key and foreign id are read.
+    Rows without a key are left out, as nothing could find them again.
+    """
+    tables, parts = {"rows": rows}, []
+    for i, lk in enumerate(k for k in spec.lookups if not k.required):
+        parent = specs[lk.parent]
+        tables[f"s{i}"] = source[lk.parent].select(parent.surrogate, parent.key)
+        tables[f"t{i}"] = target[lk.parent].select(parent.surrogate, parent.key)
+        source_key, target_key = (match_key(f"{side}.{parent.key}", parent.match) for side in "st")
+        parts.append(
+            f"SELECT f.{spec.key}, '{lk.parent}' AS parent, m.code FROM {{rows}} f JOIN "
+            f"(SELECT s.{parent.surrogate} AS sid, s.{parent.key} AS code FROM {{s{i}}} s "
+            f"LEFT ANTI JOIN {{t{i}}} t ON {source_key} = {target_key} WHERE s.{parent.key} IS NOT NULL) m "
+            f"ON f.{lk.column} = m.sid WHERE f.{spec.key} IS NOT NULL")
+    if not parts:
+        parts.append(f"SELECT f.{spec.key}, '' AS parent, '' AS code FROM {{rows}} f WHERE false")
+    return rows.sparkSession.sql(f"SELECT DISTINCT * FROM ({' UNION ALL '.join(parts)})", **tables)
+
+
+def keys_found_again(waiting: DataFrame, spec: EntitySpec, target: Tables, specs: Specs = ENTITIES) -> DataFrame:
+    """The keys in `waiting` (as `unresolved` gives it) some code of which the target has by now, once each."""
+    tables, parts = {"waiting": waiting}, []
+    for i, name in enumerate(sorted({lk.parent for lk in spec.lookups if not lk.required})):
+        parent = specs[name]
+        tables[f"t{i}"] = target[name].select(parent.key)
+        parts.append(f"SELECT w.{spec.key} FROM {{waiting}} w LEFT SEMI JOIN {{t{i}}} t "
+                     f"ON w.parent = '{name}' AND {match_key('w.code', parent.match)} = {match_key(f't.{parent.key}', parent.match)}")
+    if not parts:
+        parts.append(f"SELECT {spec.key} FROM {{waiting}} WHERE false")
+    return waiting.sparkSession.sql(f"SELECT DISTINCT * FROM ({' UNION ALL '.join(parts)})", **tables)
+
+
+def with_keys(rows: DataFrame, keys: DataFrame, spec: EntitySpec, how: str = "left semi") -> DataFrame:
+    """The rows whose key is in `keys` (or, with "left anti", is not), compared as the entity's merge compares."""
+    return rows.sparkSession.sql(
+        "SELECT r.* FROM {rows} r " + _join(how, "{keys} k", " = ".join(match_key(f"{side}.{spec.key}", spec.match) for side in "rk")),
+        rows=rows, keys=keys)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from deskspark.functions.clock import utc_now
 from deskspark.functions.keys import BINARY
 from deskspark.operators import checks
-from deskspark.operators.resolve import link, rejects, resolve, survivors
+from deskspark.operators.resolve import keys_found_again, link, rejects, resolve, survivors, unresolved, with_keys
 from deskspark.operators.upsert import ACTION, BOOKKEEPING, COUNT, lacks_keys, merge
 from deskspark.plans.entities import ENTITIES, load_levels
 from deskspark.plans.spec import EntitySpec
@@ -62,32 +62,36 @@ class Loader:
     not at all; rows whose keys fall into some buckets only read and rewrite these alone. A table with NULL keys stays plain, as all of them would fall into one bucket; so
     does one whose keys are not compared as they stand. With `keep_rejects` the rows that a required
     lookup dropped are written to `<entity>_rejects`; with a `history` each published table is
-    added to it under the run's date.
+    added to it under the run's date. With `keep_unresolved` each version carries the codes of optional
+    parents that were missing when its rows were loaded, and `repair` loads those rows again once the
+    parents are there.
     """
 
     def __init__(self, spark: SparkSession, source: Mapping[str, DataFrame], store: TableStore,
                  run_ts: datetime | None = None, on_violation: str = FAIL,
                  specs: Mapping[str, EntitySpec] = ENTITIES, bucketed: Collection[str] = (),
-                 keep_rejects: bool = False, history: History | None = None):
+                 keep_rejects: bool = False, history: History | None = None, keep_unresolved: bool = False):
         if on_violation not in (FAIL, QUARANTINE):
             raise ValueError(f"on_violation must be {FAIL!r} or {QUARANTINE!r}")
         self.spark, self.source, self.store, self.specs = spark, source, store, specs
         self.run_ts = run_ts or utc_now()
         self.on_violation = on_violation
         self.bucketed = frozenset(bucketed)
-        self.keep_rejects, self.history = keep_rejects, history
+        self.keep_rejects, self.history, self.keep_unresolved = keep_rejects, history, keep_unresolved
         self._once = _OncePerKey()
 
     def current(self, name: str) -> DataFrame:
         return self.store.current(name, self.specs[name].target_schema)
 
-    def load(self, name: str, version: str | None = None, streams: dict | None = None) -> LoadReport:
+    def load(self, name: str, version: str | None = None, streams: dict | None = None,
+             rows: DataFrame | None = None) -> LoadReport:
         """Read, resolve, check, merge, write, then publish. Anything raised before the last
         step, the publish, leaves the published version as it was. `streams` adds to the last
-        batches of streams, which every version hands on to the next."""
-        spec = self.specs[name]
+        batches of streams, which every version hands on to the next. `rows` may hold some rows of
+        the source, all of a key or none; the lists of rejects and quarantined rows then stay as they are."""
+        spec, some = self.specs[name], rows is not None
         before = self.store.pointer(name) or {}
-        rows = self._rows(name)
+        rows = rows if some else self._rows(name)
         report = LoadReport(name, rows_read=rows.count())
         log.info("%s: %d rows read", name, report.rows_read)
         parents = {lk.parent: self._parent(lk.parent) for lk in spec.lookups}
@@ -98,7 +102,7 @@ class Loader:
 
         report.quarantined = 0
         if spec.domain:
-            report.quarantined = self._check_domain(rows, resolve(rows, *lookups), spec)
+            report.quarantined = self._check_domain(rows, resolve(rows, *lookups), spec, not some)
         accepted = checks.within_domain(rows, spec) if spec.domain else rows
         resolved = resolve(spread(accepted, spec.key), *lookups)
         keys = survivors(accepted, *lookups) if spec.surrogate else None
@@ -129,19 +133,37 @@ class Loader:
         numbers["n_rows"] = report.inserted + report.updated + report.kept
         if spec.surrogate:
             numbers["top_id"] = max(top or 0, facts.get("top") or 0)
-        if self.keep_rejects and (report.rejected or self.store.pointer(f"{name}_rejects")):
+        if self.keep_rejects and not some and (report.rejected or self.store.pointer(f"{name}_rejects")):
             lost = rejects(rows, spec, {p: self._rows(p) for p in parents}, ids, self.specs)
             self.store.publish(f"{name}_rejects", self.store.write(f"{name}_rejects", lost))
         if self.history:
             whole = self.store.read(name, {"version": version, **layout}, spec.target_schema)
             self.history.append(name, whole, self.run_ts.date())
+        waiting = self._still_waiting(spec, before, accepted, ids) if self.keep_unresolved else before.get("unresolved")
+        beside = {"unresolved": waiting, "also": [waiting]} if waiting else {}
         unique_by = self._unique_by(spec, before)
-        self.store.publish(name, version, expected=before.get("version"), **layout, **numbers, unique_by=unique_by,
+        self.store.publish(name, version, expected=before.get("version"), **layout, **numbers, **beside, unique_by=unique_by,
                            streams={**before.get("streams", {}), **(streams or {})})
         self._once.forget(("parent", name))
         log.info("%s: %s", name, report)
         return report
 
+    def unresolved(self, name: str) -> DataFrame:
+        """(key, parent, code) that the rows of the published version wait for."""
+        return self._unresolved(self.specs[name], self.store.pointer(name) or {})
+
+    def repair(self, name: str) -> LoadReport | None:
+        """Load those source rows again whose optional parents were missing and are there now; None if there are none.
+
+        They go through the same load as ever, so the outcome for them is that of loading the whole
+        source; of a bucketed table only their buckets are rewritten.
+        """
+        spec = self.specs[name]
+        parents = {lk.parent: self.current(lk.parent) for lk in spec.lookups if not lk.required}
+        keys = keys_found_again(self.unresolved(name), spec, parents, self.specs)
+        rows = self.store.stage(f"repair_{name}", with_keys(self._rows(name), keys, spec))
+        return None if rows.isEmpty() else self.load(name, rows=rows)
+
     def run_all(self) -> list[LoadReport]:
         """Level by level; the entities of a level run side by side. An entity whose parent did
         not load is skipped. Raises at the end if anything failed."""
@@ -171,11 +193,11 @@ class Loader:
             raise LoadFailed(errors, ordered)
         return ordered
 
-    def _check_domain(self, rows: DataFrame, resolved: DataFrame, spec: EntitySpec) -> int:
+    def _check_domain(self, rows: DataFrame, resolved: DataFrame, spec: EntitySpec, listed: bool = True) -> int:
         """Every resolved row is checked, also one that a later row of its key would overwrite.
         A look at the one column of the source settles the usual case without any join."""
         name = f"{spec.name}_quarantine"
-        stale = self.on_violation == QUARANTINE and self.store.pointer(name) is not None
+        stale = listed and self.on_violation == QUARANTINE and self.store.pointer(name) is not None
         if checks.domain_violations(rows, spec).isEmpty() and not stale:
             return 0
         bad = checks.domain_violations(resolved, spec)
@@ -184,11 +206,26 @@ class Loader:
             if found:
                 raise checks.DomainViolation(f"{spec.name}: {found} rows outside {sorted(spec.domain)}")
             return 0
+        if not listed:
+            return bad.count()
         seen = Observation()
         version = self.store.write(name, bad.observe(seen, F.count(F.lit(1)).alias("n")))
         self.store.publish(name, version)
         return seen.get.get("n", 0)
 
+    def _unresolved(self, spec: EntitySpec, entry: dict) -> DataFrame:
+        schema = f"{spec.key} string, parent string, code string"
+        if not entry.get("unresolved"):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self.store.folder(spec.name, entry["unresolved"]))
+
+    def _still_waiting(self, spec: EntitySpec, before: dict, rows: DataFrame, ids: Mapping[str, DataFrame]) -> str:
+        """Write what rows wait for after this load: these rows anew, those of other keys as before. The
+        pointer of the new version makes it visible together with the rows."""
+        fresh = unresolved(rows, spec, {p: self._rows(p) for p in ids}, ids, self.specs)
+        others = with_keys(self._unresolved(spec, before), rows.select(spec.key), spec, "left anti")
+        return self.store.write(spec.name, others.unionByName(fresh))
+
     def _layout(self, spec: EntitySpec, before: dict, rows: DataFrame, null_keys: bool) -> tuple[DataFrame, list[int] | None, dict]:
         """What the merge reads of the target, the buckets it rewrites (None: the whole table), and the new version's layout.
 
