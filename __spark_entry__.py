@@ -15,7 +15,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from deskspark.operators import checks, metrics  # noqa: E402
 from deskspark.operators import resolve as rs  # noqa: E402
-from deskspark.operators.surrogate import new_key_ids  # noqa: E402
+from deskspark.operators.surrogate import Ranges, new_key_ids  # noqa: E402
 from deskspark.operators.upsert import ACTION, BOOKKEEPING, COUNT, fold, lacks_keys, merge, new_keys  # noqa: E402
 from deskspark.plans.dashboards import DASHBOARDS, Dashboards  # noqa: E402
 from deskspark.plans.entities import ENTITIES  # noqa: E402
@@ -105,6 +105,17 @@ def upsert_null_keys(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def upsert_null_keys_with_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Requesters by name and market; those in debt have no code, so each is inserted with an id of its own, by ranges."""
+    spec = ENTITIES["solicitante"].with_options(attributes=("cd_solicitante", "nm_solicitante"), lookups=(), audit=())
+    rows = standin.base_table(spark, sf, "customer").selectExpr(
+        "CASE WHEN c_acctbal >= 0 THEN c_name END AS cd_solicitante", "c_mktsegment AS nm_solicitante")
+    target = standin.target(spark, sf)[spec.name].select(*spec.target_columns)
+    store, parts = TableStore(spark, new_workspace(spark, "numbering")), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    merged = merge(target, rows, spec, RUN_TS, ranges=Ranges(parts, store.stage))
+    return merged.select(*spec.target_columns, F.col(ACTION).alias("acao"))
+
+
 def upsert_rerun(spark: SparkSession, sf: str) -> DataFrame:
     """The same source loaded twice; the second run reads what the first one published."""
     store = _seeded_store(spark, sf, "cliente_organizacao", "solicitante")
@@ -293,7 +304,7 @@ def _refreshed(name: str) -> Query:
 
 
 _OTHERS: tuple[Query, ...] = (
-    upsert_actions, upsert_audit, upsert_surrogate_ids, upsert_duplicate_keys, upsert_null_keys, upsert_rerun,
+    upsert_actions, upsert_audit, upsert_surrogate_ids, upsert_duplicate_keys, upsert_null_keys, upsert_null_keys_with_ids, upsert_rerun,
     resolve_rejects, resolve_repair, resolve_repair_incremental, check_status_domain, check_lookup_unique, run_report, publish_swap,
     bucketed_rerun, stream_upsert, stream_two_sources, history_as_of, history_intervals, open_tickets, closed_tickets, ticket_overview, sla_breach, csat_by_analyst,
     time_in_status,

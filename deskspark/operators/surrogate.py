@@ -4,14 +4,39 @@ Numbers depend on the data alone, never on partition ids, so a task that is run
 gives the same ids. Each new key falls into one of 16**DIGITS buckets by its md5; a bucket's
 ids start where the counts of the buckets before it end. Only the table of bucket counts,
 whose size is fixed, goes through one task or a broadcast.
+
+Where the buckets would be too large for a task, the same order (bucket, then key) is cut into
+as many ranges as the rows need, on a written copy, and the counts are those of the ranges. A key
+gets the same id either way.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 DIGITS = 3
 COPIES_PER_CHUNK = 65536
+ROWS_PER_PART = 1 << 22
+PART_DIGITS = 12
+_POSITION_BITS = 33  # of monotonically_increasing_id; the bits above hold the part
+
+
+@dataclass(frozen=True)
+class Ranges:
+    """Numbering by ranges: how many, and what writes a table to shared storage and reads it back."""
+
+    parts: int
+    stage: Callable[[str, DataFrame], DataFrame]
+
+    @classmethod
+    def needed(cls, rows: int, stage: Callable[[str, DataFrame], DataFrame], digits: int = DIGITS,
+               rows_per_part: int = ROWS_PER_PART) -> "Ranges | None":
+        """None while buckets of `rows` rows in all are no larger than a part should be."""
+        return cls(-(-rows // rows_per_part), stage) if rows > rows_per_part * 16**digits else None
 
 
 def place_keys(keys: DataFrame, key: str, digits: int = DIGITS) -> DataFrame:
@@ -27,6 +52,40 @@ def place_keys(keys: DataFrame, key: str, digits: int = DIGITS) -> DataFrame:
     )
 
 
+def _ranged(rows: DataFrame, order: list[str], ranges: Ranges, label: str) -> DataFrame:
+    """`rows` with `part` and `place` (from 0) in the order of `order`, written so that both stay as they are.
+
+    The rows are written before, as finding the ranges reads them a second time.
+    """
+    written = ranges.stage(f"{label}_rows", rows)
+    dealt = written.repartitionByRange(ranges.parts, *order).sortWithinPartitions(*order)
+    placed = ranges.stage(f"{label}_placed", dealt.withColumn("place", F.monotonically_increasing_id()))
+    part = F.shiftright("place", _POSITION_BITS)
+    return placed.withColumn("part", F.lpad(part.cast("string"), PART_DIGITS, "0")).withColumn(
+        "place", F.col("place").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)))
+
+
+def place_keys_by_ranges(keys: DataFrame, key: str, ranges: Ranges, digits: int = DIGITS) -> DataFrame:
+    """As `place_keys`, with ranges of the same order as buckets."""
+    ordered = keys.selectExpr(key, f"coalesce(substr(md5(CAST({key} AS STRING)), 1, {digits}), '') AS bucket")
+    placed = _ranged(ordered, ["bucket", key], ranges, "keys")
+    return placed.selectExpr(key, "part AS bucket", "place + 1 AS last")
+
+
+def place_copies_by_ranges(rows: DataFrame, ranges: Ranges, digits: int = DIGITS) -> DataFrame:
+    """As `place_copies`, with ranges of the same order as buckets."""
+    columns = ", ".join(rows.columns)
+    counted = rows.sparkSession.sql(
+        f"""SELECT *, coalesce(substr(md5(to_json(struct({columns}))), 1, {digits}), '') AS bucket_
+            FROM (SELECT {columns}, count(1) AS copies_ FROM {{rows}} GROUP BY {columns})""", rows=rows)
+    placed = _ranged(counted, ["bucket_", *rows.columns], ranges, "copies")
+    return rows.sparkSession.sql(
+        f"""SELECT {columns}, copies_, concat('z', part) AS bucket,
+                   sum(copies_) OVER (PARTITION BY part ORDER BY place
+                                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last
+            FROM {{placed}}""", placed=placed)
+
+
 def place_copies(rows: DataFrame, digits: int = DIGITS) -> DataFrame:
     """(the row, copies_, bucket, last): equal rows counted, with the running count per bucket.
     The count combines before the shuffle, so no task receives all copies of a row."""
@@ -44,7 +103,7 @@ def bucket_starts(target: DataFrame, surrogate: str, *placed: DataFrame, top: in
     """(bucket, start): the target's highest id (or `top`) plus all counts of the buckets before.
 
     A bucket's count is its highest place, read off the shuffle that the places were given on.
-    At most 16**DIGITS rows per placed table, so one task adds them up.
+    At most 16**DIGITS rows per placed table, or one per ROWS_PER_PART of its rows, so one task adds them up.
     """
     tables = {f"p{i}": table for i, table in enumerate(placed)}
     sizes = [f"SELECT bucket, max(last) AS n FROM {{{name}}} GROUP BY bucket" for name in tables]

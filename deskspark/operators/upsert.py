@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame
 
 from deskspark.functions.clock import stamp
 from deskspark.functions.keys import BINARY, match_key
-from deskspark.operators.surrogate import bucket_starts, copy_ids, key_ids, place_copies, place_keys
+from deskspark.operators.surrogate import (
+    Ranges, bucket_starts, copy_ids, key_ids, place_copies, place_copies_by_ranges, place_keys, place_keys_by_ranges,
+)
 from deskspark.plans.spec import EntitySpec
 
 ACTION = "_action"
@@ -59,24 +61,26 @@ def lacks_keys(rows: DataFrame, spec: EntitySpec) -> bool:
 
 def merge(target: DataFrame, rows: DataFrame, spec: EntitySpec, run_ts: datetime,
           survivors: DataFrame | None = None, null_keys: bool = True, target_null_keys: bool = True,
-          top: int | None = None) -> DataFrame:
+          top: int | None = None, ranges: Ranges | None = None) -> DataFrame:
     """The whole target after the run, with `_action` and the count of rows behind each row.
 
     `rows` are resolved rows (`spec.insert_columns`). To give ids, their keys are read once more;
     `survivors` may supply a cheaper table with the same keys. Where the caller has seen that no
     row lacks its key, `null_keys=False` (for the rows) and `target_null_keys=False` leave that
     part of the plan out. `top` is the highest id given so far where `target` is only the part of a
-    table that can hold the rows' keys.
+    table that can hold the rows' keys. `ranges` numbers by that many ranges instead of md5 buckets, which
+    writes the new keys at once; the ids are the same.
     """
     folded = fold(rows, spec)
     fresh = rows.filter(f"{spec.key} IS NULL").select(*spec.insert_columns)
     tables = {"target": target}
     new_id = id_join = ""
     if spec.surrogate:
-        keyed = place_keys(new_keys(rows if survivors is None else survivors, target, spec), "_k")
+        keys = new_keys(rows if survivors is None else survivors, target, spec)
+        keyed = place_keys_by_ranges(keys, "_k", ranges) if ranges else place_keys(keys, "_k")
         placed = [keyed]
         if null_keys:
-            placed.append(place_copies(fresh))
+            placed.append(place_copies_by_ranges(fresh, ranges) if ranges else place_copies(fresh))
         starts = bucket_starts(target, spec.surrogate, *placed, top=top)
         tables["ids"] = key_ids(keyed, starts, "_k", spec.surrogate)
         if null_keys:

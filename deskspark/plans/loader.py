@@ -16,6 +16,7 @@ from deskspark.functions.clock import utc_now
 from deskspark.functions.keys import BINARY
 from deskspark.operators import checks
 from deskspark.operators.resolve import keys_found_again, link, rejects, resolve, survivors, unresolved, with_keys
+from deskspark.operators.surrogate import Ranges
 from deskspark.operators.upsert import ACTION, BOOKKEEPING, COUNT, lacks_keys, merge
 from deskspark.plans.entities import ENTITIES, load_levels
 from deskspark.plans.spec import EntitySpec
@@ -109,7 +110,8 @@ class Loader:
         null_keys = lacks_keys(rows, spec)
         target, touched, layout = self._layout(spec, before, accepted, null_keys)
         top = self._top_id(spec, before) if touched is not None else None
-        merged = merge(target, resolved, spec, self.run_ts, keys, null_keys, not layout, top)
+        ranges = Ranges.needed(report.rows_read, self.store.stage) if spec.surrogate else None
+        merged = merge(target, resolved, spec, self.run_ts, keys, null_keys, not layout, top, ranges)
         seen = Observation()
         count = lambda action: F.count(F.when(F.col(ACTION) == action, 1))
         merged = merged.observe(

@@ -269,6 +269,27 @@ def upsert_null_keys() -> str:
         FROM out_chamado_status_historico WHERE cd_registro_origem IS NULL""")
 
 
+def upsert_null_keys_with_ids() -> str:
+    """Ids after the highest of the target: first the new keys, then the rows without one, copies by their JSON form."""
+    return f"""
+        WITH tgt AS ({duckdb_sql(TARGET, "solicitante")}),
+             res AS (SELECT CASE WHEN c_acctbal >= 0 THEN c_name END AS cd_solicitante, c_mktsegment AS nm_solicitante FROM customer),
+             fold AS (SELECT cd_solicitante, max(nm_solicitante) AS nm_solicitante FROM res
+                      WHERE cd_solicitante IS NOT NULL GROUP BY 1),
+             fresh AS (SELECT f.* FROM fold f WHERE NOT EXISTS (FROM tgt t WHERE t.cd_solicitante = f.cd_solicitante)),
+             top AS (SELECT coalesce(max(id_solicitante), 0) AS id FROM tgt),
+             given AS (SELECT (SELECT id FROM top) + row_number() OVER (ORDER BY substr(md5(cd_solicitante), 1, 3), cd_solicitante)
+                              AS id_solicitante, * FROM fresh),
+             unkeyed AS (SELECT (SELECT id FROM top) + (SELECT count(*) FROM fresh) + row_number() OVER (
+                                ORDER BY substr(md5('{{"nm_solicitante":"' || nm_solicitante || '"}}'), 1, 3), nm_solicitante)
+                                AS id_solicitante, * FROM res WHERE cd_solicitante IS NULL)
+        SELECT t.id_solicitante, t.cd_solicitante, CASE WHEN f.cd_solicitante IS NULL THEN t.nm_solicitante ELSE f.nm_solicitante END
+               AS nm_solicitante, CASE WHEN f.cd_solicitante IS NULL THEN 'keep' ELSE 'update' END AS acao
+        FROM tgt t LEFT JOIN fold f ON t.cd_solicitante = f.cd_solicitante
+        UNION ALL SELECT id_solicitante, cd_solicitante, nm_solicitante, 'insert' FROM given
+        UNION ALL SELECT id_solicitante, cd_solicitante, nm_solicitante, 'insert' FROM unkeyed"""
+
+
 def _rerun(name: str) -> str:
     """The second run stamps every row that stands in the source and changes nothing else."""
     return _with({**_input_ctes(name), **_merge_ctes(name)}, f"""
