@@ -21,6 +21,7 @@ from deskspark.plans.dashboards import DASHBOARDS, Dashboards  # noqa: E402
 from deskspark.plans.entities import ENTITIES  # noqa: E402
 from deskspark.plans.loader import Loader, report_frame  # noqa: E402
 from deskspark.session import new_workspace, spread  # noqa: E402
+from deskspark.sources.files import FileSource, write_file  # noqa: E402
 from deskspark.sources.history import History  # noqa: E402
 from deskspark.sources.intervals import IntervalHistory  # noqa: E402
 from deskspark.sources.store import TableStore, bucket_of  # noqa: E402
@@ -37,6 +38,7 @@ except ImportError as missing:  # the subpackage can be left out; an error insid
 SMOKE_DIR = "/root/testdata/sf0.001"
 RUN_TS = standin.RUN_TS
 SECOND_RUN_TS = datetime(2024, 2, 2)
+FILE_FORMATS = ("parquet", "orc", "json", "csv")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -197,6 +199,21 @@ def publish_swap(spark: SparkSession, sf: str) -> DataFrame:
     return loader.current("analista")
 
 
+def _load_from_files(fmt: str) -> Query:
+    """Requesters and their organisations as folders of files whose contract is checked, loaded from there."""
+
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        spec, root, source = ENTITIES["solicitante"], new_workspace(spark, "files"), standin.source(spark, sf)
+        for name in (spec.name, *(lk.parent for lk in spec.lookups)):
+            write_file(source[name].select(*ENTITIES[name].source_schema.names), f"{root}/{name}", fmt)
+        store = _seeded_store(spark, sf, "cliente_organizacao", spec.name)
+        loader = Loader(spark, FileSource(spark, root, fmt), store, RUN_TS)
+        loader.load(spec.name)
+        return loader.current(spec.name)
+
+    return query
+
+
 def bucketed_rerun(spark: SparkSession, sf: str) -> DataFrame:
     """Two loads of the ticket table kept in buckets; the second shuffles only its source."""
     store = _seeded_store(spark, sf, *(lk.parent for lk in ENTITIES["chamado"].lookups), "chamado")
@@ -324,6 +341,7 @@ def queries() -> dict[str, Query]:
         **{f"resolve_{name}": _resolve(name) for name in joined},
         **{query.__name__: query for query in _OTHERS},
         **{f"refreshed_{name}": _refreshed(name) for name in DASHBOARDS},
+        **{f"load_from_files_{fmt}": _load_from_files(fmt) for fmt in FILE_FORMATS},
         **(llm.QUERIES if llm else {}),
     }
 
@@ -337,6 +355,7 @@ def oracle_sql() -> dict[str, str]:
         **{query.__name__: getattr(oracle, query.__name__)() for query in _OTHERS
            if hasattr(oracle, query.__name__)},
         **{f"refreshed_{name}": getattr(oracle, name)() for name in DASHBOARDS},
+        **{f"load_from_files_{fmt}": oracle.load("solicitante") for fmt in FILE_FORMATS},
         "publish_swap": oracle.load("analista"),
         "resolve_repair_incremental": oracle.resolve_repair(),
         "stream_upsert": oracle.load("solicitante"),

@@ -98,6 +98,22 @@ def survivors(rows: DataFrame, spec: EntitySpec, source: Tables, target: Tables,
     return resolve(rows, spec.with_options(lookups=required), source, target, specs, links).select(spec.key)
 
 
+def kept(rows: DataFrame, spec: EntitySpec, source: Tables, target: Tables, specs: Specs = ENTITIES) -> DataFrame:
+    """The rows that `resolve` keeps, each once, also where a parent's source id occurs several times."""
+    tables, joins = {"rows": rows}, []
+    for i, lk in enumerate(k for k in spec.lookups if k.required):
+        tables[f"p{i}"] = link(source[lk.parent], target[lk.parent], specs[lk.parent])
+        joins.append(_join("left semi", f"{{p{i}}} p{i}", f"f.{lk.column} = p{i}.sid"))
+    return rows.sparkSession.sql(f"SELECT * FROM {{rows}} f {' '.join(joins)}", **tables)
+
+
+def repeated_ids(source_parent: DataFrame, spec: EntitySpec) -> DataFrame:
+    """(id, n) for source ids held by more than one row; a row that refers to one is resolved several times."""
+    return source_parent.sparkSession.sql(
+        f"SELECT {spec.surrogate}, count(1) AS n FROM {{rows}} WHERE {spec.surrogate} IS NOT NULL GROUP BY 1 HAVING n > 1",
+        rows=source_parent)
+
+
 def rejects(rows: DataFrame, spec: EntitySpec, source: Tables, target: Tables, specs: Specs = ENTITIES) -> DataFrame:
     """The rows that `resolve` drops, each with the required parents it lacks and on which side."""
     tables, joins, reasons = {"rows": rows}, [], []

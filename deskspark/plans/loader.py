@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from deskspark.functions.clock import utc_now
 from deskspark.functions.keys import BINARY
 from deskspark.operators import checks
-from deskspark.operators.resolve import keys_found_again, link, rejects, resolve, survivors, unresolved, with_keys
+from deskspark.operators.resolve import (
+    kept, keys_found_again, link, rejects, repeated_ids, resolve, survivors, unresolved, with_keys,
+)
 from deskspark.operators.surrogate import Ranges
 from deskspark.operators.upsert import ACTION, BOOKKEEPING, COUNT, lacks_keys, merge
 from deskspark.plans.entities import ENTITIES, load_levels
@@ -130,7 +132,10 @@ class Loader:
         report.inserted, report.updated, report.kept = (facts.get(k, 0) for k in ("inserted", "updated", "kept"))
         if touched is not None:
             report.kept = self._row_count(spec, before) - report.updated
-        report.rejected = report.rows_read - report.quarantined - facts.get("merged", 0)
+        if any(self._repeats_ids(p) for p in parents):  # then more rows can be merged than were read
+            report.rejected = report.rows_read - kept(rows, spec, {p: self._rows(p) for p in parents}, ids, self.specs).count()
+        else:
+            report.rejected = report.rows_read - report.quarantined - facts.get("merged", 0)
         numbers = {k: v for k, v in asdict(report).items() if k != "entity"}
         numbers["n_rows"] = report.inserted + report.updated + report.kept
         if spec.surrogate:
@@ -273,6 +278,10 @@ class Loader:
             return self.source[name]
         return self._once.get(("rows", name), lambda: self.store.stage(f"source_{name}", self.source[name]))
 
+    def _repeats_ids(self, name: str) -> bool:
+        """Whether a source id occurs twice; looked up once per run, in the one column."""
+        return self._once.get(("repeats", name), lambda: not repeated_ids(self._rows(name), self.specs[name]).isEmpty())
+
     def _parent(self, name: str) -> tuple[DataFrame, DataFrame | None]:
         """A parent's current table, checked for ambiguous keys unless known to have none, and, where
         it is too large to broadcast, its source-to-target ids, written once and shared by its

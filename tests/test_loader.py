@@ -106,6 +106,21 @@ def test_rejects_and_history_are_kept(spark, tmp_path):
     assert history.as_of("solicitante", spec.target_schema, RUN_TS.date()).count() == 1
 
 
+@pytest.mark.parametrize("limit", ["10485760", "-1"])
+def test_repeated_source_ids_do_not_hide_rejects(spark, tmp_path, limit):
+    source = desk(spark)
+    orgs = source["cliente_organizacao"]
+    source["cliente_organizacao"] = orgs.union(orgs).union(orgs)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        run = loader(spark, tmp_path, source)
+        reports = [run.load(name) for name in ("cliente_organizacao", "solicitante")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert [(r.rows_read, r.rejected, r.inserted) for r in reports] == [(3, 0, 1), (3, 2, 1)]
+
+
 def test_an_ambiguous_parent_is_refused_and_a_checked_one_remembered(spark, tmp_path):
     run = loader(spark, tmp_path, desk(spark))
     spec = ENTITIES["cliente_organizacao"]
