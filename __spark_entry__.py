@@ -118,6 +118,15 @@ def upsert_null_keys_with_ids(spark: SparkSession, sf: str) -> DataFrame:
     return merged.select(*spec.target_columns, F.col(ACTION).alias("acao"))
 
 
+def upsert_two_systems(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores of two systems that use the same codes: one knows the target's records, the other's are all new."""
+    spec = ENTITIES["csat_avaliacao"].with_options(scope=("nm_sistema_origem",))
+    resolved = _resolved(spark, sf, spec.name)
+    other = resolved.withColumns({"nm_sistema_origem": F.lit("OLD"), "nr_score": F.col("nr_score") + 10})
+    merged = merge(standin.target(spark, sf)[spec.name], resolved.unionByName(other), spec, RUN_TS)
+    return merged.select(*spec.target_columns, F.col(ACTION).alias("acao"))
+
+
 def upsert_rerun(spark: SparkSession, sf: str) -> DataFrame:
     """The same source loaded twice; the second run reads what the first one published."""
     store = _seeded_store(spark, sf, "cliente_organizacao", "solicitante")
@@ -321,7 +330,7 @@ def _refreshed(name: str) -> Query:
 
 
 _OTHERS: tuple[Query, ...] = (
-    upsert_actions, upsert_audit, upsert_surrogate_ids, upsert_duplicate_keys, upsert_null_keys, upsert_null_keys_with_ids, upsert_rerun,
+    upsert_actions, upsert_audit, upsert_surrogate_ids, upsert_duplicate_keys, upsert_null_keys, upsert_null_keys_with_ids, upsert_two_systems, upsert_rerun,
     resolve_rejects, resolve_repair, resolve_repair_incremental, check_status_domain, check_lookup_unique, run_report, publish_swap,
     bucketed_rerun, stream_upsert, stream_two_sources, history_as_of, history_intervals, open_tickets, closed_tickets, ticket_overview, sla_breach, csat_by_analyst,
     time_in_status,

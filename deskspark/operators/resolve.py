@@ -95,7 +95,7 @@ def survivors(rows: DataFrame, spec: EntitySpec, source: Tables, target: Tables,
               links: Tables | None = None) -> DataFrame:
     """The keys of the rows that `resolve` keeps. Optional parents drop nothing and are not joined."""
     required = tuple(lk for lk in spec.lookups if lk.required)
-    return resolve(rows, spec.with_options(lookups=required), source, target, specs, links).select(spec.key)
+    return resolve(rows, spec.with_options(lookups=required), source, target, specs, links).select(*spec.key_columns)
 
 
 def kept(rows: DataFrame, spec: EntitySpec, source: Tables, target: Tables, specs: Specs = ENTITIES) -> DataFrame:

@@ -12,7 +12,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 
 from deskspark.functions.clock import stamp
-from deskspark.functions.keys import BINARY, match_key
+from deskspark.functions.keys import BINARY
 from deskspark.operators.surrogate import (
     Ranges, bucket_starts, copy_ids, key_ids, place_copies, place_copies_by_ranges, place_keys, place_keys_by_ranges,
 )
@@ -38,15 +38,15 @@ def fold(rows: DataFrame, spec: EntitySpec) -> DataFrame:
     columns = [f"{'_first' if c in first else '_last'}.{c} AS {c}" for c in spec.insert_columns]
     return rows.sparkSession.sql(
         f"""SELECT _k, {', '.join(columns)}, {COUNT}
-            FROM (SELECT {match_key(spec.key, spec.match)} AS _k, {', '.join(aggregates)}
+            FROM (SELECT {spec.merge_key()} AS _k, {', '.join(aggregates)}
                   FROM {{rows}} WHERE {spec.key} IS NOT NULL GROUP BY 1)""",
         rows=rows,
     )
 
 
 def new_keys(rows: DataFrame, target: DataFrame, spec: EntitySpec) -> DataFrame:
-    """(_k): the distinct keys of `rows` that the target lacks. Only the key column is read."""
-    key, held = (match_key(f"{side}.{spec.key}", spec.match) for side in "rt")
+    """(_k): the distinct keys of `rows` that the target lacks. Only key columns are read."""
+    key, held = spec.merge_key("r"), spec.merge_key("t")
     return rows.sparkSession.sql(
         f"""SELECT d._k FROM (SELECT DISTINCT {key} AS _k FROM {{rows}} r WHERE r.{spec.key} IS NOT NULL) d
             LEFT ANTI JOIN {{target}} t ON d._k = {held}""",
@@ -99,7 +99,7 @@ def merge(target: DataFrame, rows: DataFrame, spec: EntitySpec, run_ts: datetime
         f"""SELECT {', '.join(_merged_columns(spec, run_ts))},
                    CASE WHEN s._s AND t._t THEN 'update' WHEN s._s THEN 'insert' ELSE 'keep' END AS {ACTION},
                    coalesce(s.{COUNT}, 0L) AS {COUNT}
-            FROM (SELECT *, {match_key(spec.key, spec.match)} AS _k, true AS _t FROM {{target}}
+            FROM (SELECT *, {spec.merge_key()} AS _k, true AS _t FROM {{target}}
                   WHERE {spec.key} IS NOT NULL) t
             FULL OUTER JOIN (SELECT f.*, true AS _s{new_id} FROM {{folded}} f {id_join}) s ON t._k = s._k
             {unkeyed}""",

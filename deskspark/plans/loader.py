@@ -125,7 +125,7 @@ class Loader:
         if touched is not None:
             version, layout = self.store.write_buckets(name, merged, before, touched, version)
         else:
-            if layout and before.get("buckets") != layout["buckets"]:
+            if layout and (spec.scope or before.get("buckets") != layout["buckets"]):
                 merged = merged.repartition(layout["buckets"], spec.key)
             version = self.store.write(name, merged, version, **layout)
         facts = seen.get
@@ -265,10 +265,10 @@ class Loader:
 
     def _unique_by(self, spec: EntitySpec, before: dict) -> str | None:
         """The key comparison under which the merged table has no key twice. A merge adds only
-        keys that are absent, so once a table is known to be free of repeats it stays so."""
+        keys that are absent, so once a table is known to be free of repeats it stays so, unless keys hold within a scope only."""
         if not spec.surrogate:
             return None
-        known = not before or before.get("unique_by") == spec.match
+        known = not spec.scope and (not before or before.get("unique_by") == spec.match)
         return spec.match if known or checks.ambiguous_keys(self.current(spec.name), spec).isEmpty() else None
 
     def _rows(self, name: str) -> DataFrame:

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.sql import types as T
 
-from deskspark.functions.keys import BINARY
+from deskspark.functions.keys import BINARY, scoped_key
 
 AUDIT = ("dt_inclusao", "dt_atualizacao", "nm_sistema_origem", "cd_registro_origem")
 
@@ -64,6 +64,16 @@ class EntitySpec:
     domain: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
     seq: tuple[str, ...] | None = None
     match: str = BINARY
+    scope: tuple[str, ...] = ()
+
+    @property
+    def key_columns(self) -> tuple[str, ...]:
+        return (self.key, *self.scope)
+
+    def merge_key(self, side: str = "") -> str:
+        """The SQL form of what tells rows apart: the key, within `scope` where one system's keys say
+        nothing about another's. A row without a key has none, whatever its scope."""
+        return scoped_key(self.key, self.scope, self.match, side)
 
     @property
     def stamped(self) -> bool:
@@ -76,7 +86,7 @@ class EntitySpec:
     @property
     def update_columns(self) -> tuple[str, ...]:
         """Overwritten on a match; the stamp is handled apart."""
-        fixed = {self.key, "dt_inclusao", "dt_atualizacao"}
+        fixed = {*self.key_columns, "dt_inclusao", "dt_atualizacao"}
         return tuple(c for c in self.insert_columns if c not in fixed)
 
     @property

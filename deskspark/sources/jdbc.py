@@ -121,7 +121,7 @@ class Export:
 
 
 def export_of(spec: EntitySpec, schema: str, token: str) -> Export:
-    """Rows are matched by the surrogate id, or by the key where there is none. No row is deleted but
+    """Rows are matched by the surrogate id, or by the key (and its scope) where there is none. No row is deleted but
     those without a key, which nothing matches and which the load carries on as a whole."""
     table, side, by = f"{schema}.{spec.name}", f"{schema}.{spec.name}__{token}", slice_column(spec)
     names = spec.target_columns
@@ -130,7 +130,9 @@ def export_of(spec: EntitySpec, schema: str, token: str) -> Export:
     updates = ", ".join(f"{c} = s.{c}" for c in names if c != by)
     identity = f"IF OBJECTPROPERTY(OBJECT_ID('{table}'), 'TableHasIdentity') = 1 SET IDENTITY_INSERT {table}"
     unkeyed = () if spec.surrogate else (f"DELETE FROM {table} WHERE {by} IS NULL",)
-    merge = (f"MERGE INTO {table} AS t USING {side} AS s ON t.{by} = s.{by} WHEN MATCHED THEN UPDATE SET {updates} "
+    scope = "" if spec.surrogate else "".join(
+        f" AND (t.{c} = s.{c} OR t.{c} IS NULL AND s.{c} IS NULL)" for c in spec.scope)
+    merge = (f"MERGE INTO {table} AS t USING {side} AS s ON t.{by} = s.{by}{scope} WHEN MATCHED THEN UPDATE SET {updates} "
              f"WHEN NOT MATCHED THEN INSERT ({columns}) VALUES ({', '.join(f's.{c}' for c in names)});")
     return Export(
         side,

@@ -290,6 +290,28 @@ def upsert_null_keys_with_ids() -> str:
         UNION ALL SELECT id_solicitante, cd_solicitante, nm_solicitante, 'insert' FROM unkeyed"""
 
 
+def upsert_two_systems() -> str:
+    """Key and system together tell scores apart, in the resolved rows and in the target."""
+    name = "csat_avaliacao"
+    by = "cd_registro_origem, nm_sistema_origem"
+    attributes = ["id_chamado", "id_analista", "nr_score", "ds_comentario", "dt_avaliacao"]
+    picked = ", ".join(f"CASE WHEN s.n IS NULL THEN t.{c} ELSE s.{c} END AS {c}" for c in attributes)
+    return _with({
+        **_input_ctes(name),
+        "both_systems": f"""SELECT * FROM res_{name} UNION ALL BY NAME
+                            SELECT * REPLACE ('OLD' AS nm_sistema_origem, nr_score + 10 AS nr_score) FROM res_{name}""",
+        "folded": f"""SELECT *, count(*) OVER (PARTITION BY {by}) AS n, min(dt_inclusao) OVER (PARTITION BY {by}) AS since
+                      FROM both_systems
+                      QUALIFY row_number() OVER (PARTITION BY {by} ORDER BY dt_atualizacao DESC, dt_inclusao DESC) = 1""",
+    }, f"""SELECT {picked}, coalesce(t.dt_inclusao, s.since) AS dt_inclusao,
+                  CASE WHEN s.n > 1 OR s.n IS NOT NULL AND t.dt_inclusao IS NOT NULL THEN {RUN}
+                       ELSE coalesce(s.dt_atualizacao, t.dt_atualizacao) END AS dt_atualizacao,
+                  coalesce(s.nm_sistema_origem, t.nm_sistema_origem) AS nm_sistema_origem,
+                  coalesce(s.cd_registro_origem, t.cd_registro_origem) AS cd_registro_origem,
+                  CASE WHEN s.n IS NULL THEN 'keep' WHEN t.dt_inclusao IS NULL THEN 'insert' ELSE 'update' END AS acao
+           FROM folded s FULL OUTER JOIN tgt_{name} t USING ({by})""")
+
+
 def _rerun(name: str) -> str:
     """The second run stamps every row that stands in the source and changes nothing else."""
     return _with({**_input_ctes(name), **_merge_ctes(name)}, f"""

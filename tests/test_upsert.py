@@ -26,7 +26,7 @@ def row_by_row(target, rows, spec, run_ts):
 
     for row in sorted(rows, key=lambda r: [(v is not None, v if v is not None else 0) for _, v in place(r)]):
         hits = [t for t in state if row[spec.key] is not None and t[spec.key] is not None
-                and normal(t[spec.key], spec) == normal(row[spec.key], spec)]
+                and normal(t[spec.key], spec) == normal(row[spec.key], spec) and all(t[c] == row[c] for c in spec.scope)]
         for t in hits:
             t.update({c: row[c] for c in spec.update_columns})
             if spec.stamped:
@@ -170,3 +170,26 @@ def test_lacks_keys(spark):
     spec = ENTITIES["csat"]
     assert lacks_keys(frame(spark, spec.target_schema, [{"Id": 1}, {}]), spec)
     assert not lacks_keys(frame(spark, spec.target_schema, [{"Id": 1}]), spec)
+
+
+@pytest.mark.parametrize("match", ["binary", "case_insensitive"])
+@pytest.mark.parametrize("name", ["solicitante", "csat_avaliacao"])
+def test_keys_of_several_systems(spark, name, match):
+    """The same codes in three systems, one of them NULL, are different rows."""
+    spec = ENTITIES[name].with_options(scope=("nm_sistema_origem",), match=match)
+    pick = random.Random(7)
+    rows = random_rows(spec, ["a", "b", "c"], 80, 3)
+    for r in rows:
+        r["nm_sistema_origem"] = pick.choice(["S1", "S2", None])
+    target = []
+    for i, (key, system) in enumerate((k, s) for k in "ab" for s in ("S1", None, "S9")):
+        row = {**random_rows(spec, [key], 1, i, null_keys=False)[0], "nm_sistema_origem": system}
+        target.append({**row, **({spec.surrogate: 10 + i} if spec.surrogate else {})})
+    merged = merge(frame(spark, spec.target_schema, target), frame(spark, schema_of(spec.insert_columns), rows), spec, RUN_TS)
+    got, want = records(merged), row_by_row(target, rows, spec, RUN_TS)
+    assert canon(got, spec.insert_columns) == canon(want, spec.insert_columns)
+    assert sorted({r[ACTION] for r in got}) == ["insert", "keep", "update"]
+    if spec.surrogate:
+        assert sorted(r[spec.surrogate] for r in got) == list(range(10, 10 + len(want)))
+        kept = {r[spec.surrogate]: (r[spec.key], r["nm_sistema_origem"]) for r in got if r[spec.surrogate] < 16}
+        assert kept == {t[spec.surrogate]: (t[spec.key], t["nm_sistema_origem"]) for t in target}
