@@ -123,6 +123,8 @@ class Loader:
         )
         merged = merged.drop(*BOOKKEEPING)
         if touched is not None:
+            if spec.scope:  # the merge grouped by key and scope, buckets go by the key
+                merged = merged.repartition(before["buckets"], spec.key)
             version, layout = self.store.write_buckets(name, merged, before, touched, version)
         else:
             if layout and (spec.scope or before.get("buckets") != layout["buckets"]):

@@ -95,3 +95,19 @@ def test_a_failed_write_leaves_the_table_and_drops_the_side(spark):
     with pytest.raises(Exception):
         jdbc.write_table(rows, spec, options, "corptech", run=lambda s, o, statements, whole: ran.append((tuple(statements), whole)))
     assert [whole for _, whole in ran] == [False, False] and ran[-1][0][0].startswith("DROP TABLE IF EXISTS corptech.sla__")
+
+
+def test_an_export_by_key_within_a_scope():
+    spec = ENTITIES["csat_avaliacao"].with_options(scope=("nm_sistema_origem",))
+    export = jdbc.export_of(spec, "corptech", "t")
+    con = duckdb.connect()
+    columns = ", ".join(f"{f.name} {SQL_TYPES[f.dataType.simpleString()]}" for f in spec.target_schema)
+    con.execute(f"CREATE SCHEMA corptech; CREATE TABLE corptech.{spec.name} ({columns}); CREATE TABLE {export.side} ({columns})")
+    add = lambda table, rows: con.executemany(
+        f"INSERT INTO {table} (cd_registro_origem, nm_sistema_origem, ds_comentario) VALUES (?, ?, ?)", rows)
+    add(f"corptech.{spec.name}", [("k", "A", "old"), ("k", "B", "old"), ("k", None, "old")])
+    add(export.side, [("k", "A", "old"), ("k", "B", "new"), ("k", None, "new"), ("k", "C", "added")])
+    for s in portable(export.transaction):
+        con.execute(s)
+    rows = con.execute(f"SELECT nm_sistema_origem, ds_comentario FROM corptech.{spec.name}").fetchall()
+    assert sorted(rows, key=str) == sorted([("A", "old"), ("B", "new"), (None, "new"), ("C", "added")], key=str)

@@ -159,3 +159,26 @@ def test_vacuum_spares_what_pointers_and_late_readers_reach(spark, tmp_path):
     assert f"v={first}" in gone and len(gone) == 3 and len(codes_of(store)) == 60
     store.stage("x", queues(spark, ["a"]))
     assert store.vacuum_staging(grace_seconds=3600) == [] and len(store.vacuum_staging(0, time.time() + 10)) == 1
+
+
+def test_codes_of_two_systems_in_buckets(spark, tmp_path):
+    """Key and system together are the merge key; buckets go by the key, so a code's rows stay together."""
+    spec = SPEC.with_options(scope=("nm_sistema_origem",))
+    store, specs = TableStore(spark, str(tmp_path)), {"fila": spec}
+    load = lambda rows: Loader(spark, {"fila": rows}, store, RUN_TS, specs=specs, bucketed=["fila"]).load("fila")
+    codes = [f"Q{i:03}" for i in range(60)]
+    rows = [queues(spark, codes, SPEC.source_schema, **audit(system=s)) for s in ("A", "B")]
+    assert load(rows[0].union(rows[1])).inserted == 120
+    some = in_bucket(spark, 2)[:2]
+    report = load(queues(spark, some, SPEC.source_schema, **audit(system="B")).union(
+        queues(spark, some[:1], SPEC.source_schema, **audit(system="C"))))
+    assert (report.inserted, report.updated, report.kept) == (1, 2, 118)
+    got = store.current("fila", SPEC.target_schema).collect()
+    assert sorted(r.id_fila for r in got) == list(range(1, 122))
+    assert sorted((r.cd_fila, r.nm_sistema_origem) for r in got) == sorted(
+        [(c, s) for c in codes for s in "AB"] + [(some[0], "C")])
+    assert store.pointer("fila")["unique_by"] is None
+    full = load(rows[0])
+    assert (full.inserted, full.updated, full.kept) == (0, 60, 61)
+    files = store.files("fila", store.pointer("fila"))
+    assert len(files) == 4  # a file a bucket
