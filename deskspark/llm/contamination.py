@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deskspark.llm.common import checkpoint
+from deskspark.llm.common import checkpoint, giving_back
 
 MASKS = ("11110011", "11010111")
 OVERLAP, SHARE = 13, 0.8
@@ -187,7 +187,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64("text").alias("text_hash"), "text")
     found = checkpoint(rows.mapInArrow(
-        hit_finder(spark.sparkContext.broadcast(bitmap), short),
+        giving_back(hit_finder(spark.sparkContext.broadcast(bitmap), short)),
         "row long, doc_id long, text_hash long, words array<long>, hits array<struct<h:long,p:int>>"))
     pairs = (found.select("row", F.explode("hits").alias("x")).select("row", "x.h", "x.p").join(listed, "h")
              .select("row", "item_id", (F.col("p") - F.col("q")).alias("shift")).distinct())

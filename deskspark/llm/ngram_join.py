@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from deskspark.llm.common import checkpoint, unused
+from deskspark.llm.common import checkpoint, giving_back, unused
 
 
 @dataclass(frozen=True)
@@ -260,7 +260,7 @@ def linked(pairs: DataFrame, docs: DataFrame, law: Law) -> DataFrame:
     near = docs.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(BUCKETS))).join(F.broadcast(buckets), "bucket", "left_semi")
     left = near.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = near.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(verifier(law), "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(giving_back(verifier(law)), "a long, b long")
 
 
 def relabelled(labels: DataFrame, edges: DataFrame) -> DataFrame:
@@ -392,7 +392,7 @@ def link_groups(docs: DataFrame, law: Law = LAW) -> DataFrame:
     """
     spark = docs.sparkSession
     rows = docs.select("doc_id", "text")
-    seen = checkpoint(rows.mapInArrow(measurer(law), MEASURED))
+    seen = checkpoint(rows.mapInArrow(giving_back(measurer(law)), MEASURED))
     sketch = spark.sparkContext.broadcast(frequency_sketch(seen.filter("part IS NOT NULL").select("part", "cells")))
     each = seen.filter("part IS NULL").select("doc_id", "n", "h1", "h2", *BITS)
     nodes = each.filter("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("node"))
@@ -401,7 +401,7 @@ def link_groups(docs: DataFrame, law: Law = LAW) -> DataFrame:
     signatures = (each.filter("n > 0 AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("node"))
                   .agg(*(F.when(alike, F.min(b)).alias(b) for b in BITS)))
 
-    prefixes = (rows.filter("doc_id IS NOT NULL").mapInArrow(prefix_finder(sketch, law), "token long, doc_id long, place long"))
+    prefixes = (rows.filter("doc_id IS NOT NULL").mapInArrow(giving_back(prefix_finder(sketch, law)), "token long, doc_id long, place long"))
     shared = Window.partitionBy("token")
     met_twice = (prefixes.withColumns({"low": F.min("doc_id").over(shared), "high": F.max("doc_id").over(shared)})
                  .filter("low < high").select("token", "doc_id", "place"))

@@ -14,8 +14,9 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from array import array
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import public_tokenizers
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
-from deskspark.llm.common import shuffle_width
+from deskspark.llm.common import giving_back, shuffle_width
 
 WINDOW, END_ID = 2048, 1
 SENTENCE_PENALTY, INSIDE_PENALTY = 4, 24
@@ -124,6 +125,16 @@ class Encoder:
         out = source[np.repeat(begin_at - out_at[:-1], length_at) + np.arange(out_at[-1])]
         return out, np.append(out_at[first], out_at[-1])
 
+    def encode_all(self, blocks: Iterable[pa.StringArray]) -> tuple[np.ndarray, np.ndarray]:
+        """`encode` of all blocks together. Only one block's words are held at a time."""
+        ids, begins, size = [], [np.zeros(1, np.int64)], 0
+        for texts in blocks:
+            own, at = self.encode(texts)
+            ids.append(own)
+            begins.append(at[1:] + size)
+            size += len(own)
+        return np.concatenate(ids), np.concatenate(begins)
+
 
 def byte_letters() -> dict[int, str]:
     """How the vocabulary file spells bytes: visible Latin-1 letters as such, the others from U+0100 on."""
@@ -153,15 +164,17 @@ def cheapest_cuts(positions: list[int], penalties: list[int], window: int = WIND
 
     Neighbouring positions are at most `window` apart.
     """
-    best, back = [0] * len(positions), [0] * len(positions)
-    index = {p: k for k, p in enumerate(positions)}
+    best, back, value = (array("q", bytes(8 * len(positions))) for _ in range(3))  # value: best[i] + positions[i]
+    index, oldest = {positions[0]: 0}, 0  # the positions in reach
     powers = [1 << k for k in range(window.bit_length())]
     queue: deque[int] = deque([0])
-    value = [0] * len(positions)  # best[i] + positions[i]
     for j in range(1, len(positions)):
         p = positions[j]
         while positions[queue[0]] < p - window:
             queue.popleft()
+        while positions[oldest] < p - window:
+            del index[positions[oldest]]
+            oldest += 1
         i = queue[0]
         cost = window - p + value[i]
         if cost >= best[j - 1] and (cost > best[j - 1] + SLACK or j == len(positions) - 1):
@@ -171,6 +184,7 @@ def cheapest_cuts(positions: list[int], penalties: list[int], window: int = WIND
                     cost, i = best[k], k
         best[j], back[j] = cost + penalties[j], i
         v = value[j] = best[j] + p
+        index[p] = j
         while queue and value[queue[-1]] >= v:
             queue.pop()
         queue.append(j)
@@ -207,9 +221,9 @@ def packer(path: str, with_ids: bool):
 
         def flush() -> pa.RecordBatch:
             nonlocal sequence
-            rows = pa.Table.from_batches(held).combine_chunks()
-            texts = pc.fill_null(rows.column("text").combine_chunks().cast(pa.string()), "")
-            columns, sequence = packed(rows.column("doc_id").to_pylist(), *encoder.encode(texts), encoder.stops, sequence)
+            keys = [k for rows in held for k in rows.column("doc_id").to_pylist()]
+            texts = (pc.fill_null(rows.column("text").cast(pa.string()), "") for rows in held)
+            columns, sequence = packed(keys, *encoder.encode_all(texts), encoder.stops, sequence)
             arrays = [pa.array(c, pa.int64()) for c in columns[:-1]] + columns[-1:]
             n = len(names) if with_ids else len(names) - 1
             return pa.RecordBatch.from_arrays(arrays[:n], names=names[:n])
@@ -240,4 +254,4 @@ def pack_documents(docs: DataFrame, with_ids: bool = False, tokenizer: str = TOK
     ordered = (docs.select("doc_id", "text").repartitionByRange(n, "doc_id", F.xxhash64("text"))
                .sortWithinPartitions("doc_id", F.xxhash64("text")))
     schema = PIECES if with_ids else PIECES.rpartition(",")[0]
-    return ordered.mapInArrow(packer(tokenizer, with_ids), schema)
+    return ordered.mapInArrow(giving_back(packer(tokenizer, with_ids)), schema)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deskspark.llm.common import checkpoint
+from deskspark.llm.common import checkpoint, giving_back
 
 FEATURES, BANDWIDTH, RIDGE, SEED = 192, 3.0, 1e-3, 20
 #: Raw scores are counted in bins of this width between these bounds before calibration.
@@ -116,7 +116,7 @@ def fit(docs: DataFrame, labels: DataFrame, features: int = FEATURES) -> Quality
     marks = (labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id")
              .agg(F.avg(F.col("quality").cast("double")).alias("y")))
     fields = ", ".join(f"{c} double" for c in STATISTICS)
-    rows = docs.select("doc_id", "text").mapInArrow(measured, f"doc_id long, {fields}")
+    rows = docs.select("doc_id", "text").mapInArrow(giving_back(measured), f"doc_id long, {fields}")
     known = checkpoint(rows.join(marks, "doc_id"))
     moments = known.agg(F.count("*").alias("n"), *(f(c).alias(f"{f.__name__}_{c}") for c in STATISTICS for f in (F.avg, F.stddev_pop))).first()
     if not moments.n:
