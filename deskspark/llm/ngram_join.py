@@ -26,12 +26,12 @@ signatures are too different leave the join where they meet.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,17 +61,61 @@ SHORT = 8
 #: Whole numbers of 64 parities in a set's signature.
 SIGNS = 8
 BITS = [f"bits{k}" for k in range(SIGNS)]
-#: What a task keeps at hand: words with their hashes, and documents whose shingles are held at a time.
-KNOWN_WORDS, HELD = 200_000, 512
+#: Places in a word whose numbers are kept in a table, bytes of a text whose words are hashed at a time, and documents
+#: whose shingles a task holds at a time.
+PLACES, PIECE, HELD = 64, 1 << 18, 512
+BLANK = re.compile(rb"[\x20\x09-\x0D]")
 #: Classes of ids by which texts are left out before they are shuffled.
 BUCKETS = 1 << 19
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9), np.uint64(0xD6E8FEB86659FD93))
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
+def scrambled(x: np.ndarray) -> np.ndarray:
+    """A 64-bit number for every number, without visible relation to it (the finalizer of splitmix64)."""
+    x = (x + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return x ^ x >> np.uint64(31)
+
+
+class WordHashes:
+    """64-bit hashes of a text's words: the sum of a number for each byte and its place in the word.
+
+    The numbers of the first PLACES places are kept in a table; those of later ones are worked out.
+    """
+
+    def __init__(self):
+        self.numbers = scrambled(np.arange(PLACES * 256, dtype=np.uint64))
+        self.is_blank = np.zeros(256, bool)
+        self.is_blank[list(b" \t\n\r\x0b\f")] = True
+
+    def of(self, text: bytes) -> np.ndarray:
+        """Of every word, in order. A long text is cut at blanks, so that what is held at a time depends on PIECE."""
+        parts, at = [], 0
+        while at < len(text):
+            cut = BLANK.search(text, at + PIECE)
+            end = cut.start() if cut else len(text)
+            parts.append(self._of_piece(text[at:end]))
+            at = end
+        return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+
+    def _of_piece(self, text: bytes) -> np.ndarray:
+        data = np.frombuffer(text, np.uint8)
+        word = ~self.is_blank[data]
+        before = np.empty(len(data), bool)
+        before[:1], before[1:] = False, word[:-1]
+        starts = np.flatnonzero(word & ~before)
+        if not len(starts):
+            return np.zeros(0, np.uint64)
+        at = np.flatnonzero(word)
+        first = np.searchsorted(at, starts)
+        place = at - np.repeat(starts, np.diff(first, append=len(at)))
+        code = (place << 8) + data[at]
+        if code.max() < len(self.numbers):
+            numbers = self.numbers[code]
+        else:
+            numbers = scrambled(code.astype(np.uint64))
+        return np.add.reduceat(numbers, first)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -85,19 +129,17 @@ def shingle_set(text: str | None, known: WordHashes, size: int = LAW.words) -> n
     Words are runs of anything but ASCII blanks, with A-Z in lower case. A text with fewer words
     than a shingle has one, the whole sequence; without words it has none.
     """
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
+    h = known.of((text or "").encode("utf-8", "surrogatepass").lower())
+    if not len(h):
         return np.zeros(0, np.int64)
-    if len(known) > KNOWN_WORDS:
-        known.clear()
-    h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     if len(h) < size:
         h = np.concatenate([h, np.full(size - len(h), 7 + len(h), np.uint64)])
     n = len(h) - size + 1
     out = np.zeros(n, np.uint64)
     for k in range(size):
         out = mixed(out + h[k:k + n] * _MIX[k % 4] + np.uint64(k))
-    return np.unique(out.view(np.int64))
+    out = np.sort(out.view(np.int64))
+    return out[np.concatenate(([True], out[1:] != out[:-1]))]
 
 
 def few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -323,3 +323,17 @@ def test_signatures_never_part_linked_sets():
         a, b = (ngram_join.shingle_set(" ".join(w), known) for w in (words, other))
         apart = sum(int(x ^ y).bit_count() if x ^ y >= 0 else (int(x ^ y) % 2**64).bit_count() for x, y in zip(ngram_join.signature(a), ngram_join.signature(b)))
         assert apart <= len(np.setxor1d(a, b))
+
+
+def test_word_hashes_depend_on_the_word_alone(monkeypatch):
+    known = ngram_join.WordHashes()
+    words = ["a", "b", "ab", "ba", "aab", "\u00e9" * 40, "x" * 63, "x" * 64, "x" * 65, "x" * 200 + "y", "y" + "x" * 200, "\0", "\0\0", "\u00a0"]
+    alone = [known.of(w.encode()).tolist() for w in words]
+    assert all(len(h) == 1 for h in alone) and len({h[0] for h in alone}) == len(words)
+    blanks = [" ", "\t ", "\n\n", "\x0b", "\x0c", "\r\n", " "]
+    for piece in (ngram_join.PIECE, 3):
+        monkeypatch.setattr(ngram_join, "PIECE", piece)
+        for order in (words, words[::-1]):
+            text = " " + "".join(w + blanks[k % len(blanks)] for k, w in enumerate(order))
+            assert known.of(text.encode()).tolist() == [alone[words.index(w)][0] for w in order]
+    assert [len(known.of(t)) for t in (b"", b" ", b"\n \t")] == [0, 0, 0]
