@@ -288,3 +288,36 @@ def test_buckets_spare_the_target_a_shuffle(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert all("FullOuter" in p for p in plans)
     assert [p.count("Exchange hashpartitioning") for p in plans] == [2, 1]
+
+
+def test_some_rows_leave_the_rest_of_a_plain_table_where_it_is(spark, tmp_path, monkeypatch):
+    spec = ENTITIES["sla"]
+
+    def rows(keys, **more):
+        return frame(spark, spec.source_schema, [{"id_sla": i, "cd_sla": k, **more, **audit(record=f"R{i}")} for i, k in enumerate(keys)])
+
+    first, some = rows([*(f"S{i}" for i in range(60)), None]), rows(["S3", "S3", "new", None], nm_sla="gold")
+    seen = []
+
+    def watched(target, *rest, **options):
+        seen.append(target.count())
+        return merge(target, *rest, **options)
+
+    runs = [loader(spark, tmp_path / part, {"sla": first}) for part in ("some", "all")]
+    for run in runs:
+        run.load("sla")
+    monkeypatch.setattr("deskspark.plans.loader.merge", watched)
+    reports = [runs[0].load("sla", rows=some), loader(spark, tmp_path / "all", {"sla": some}).load("sla")]
+    assert reports[0] == reports[1] and (reports[0].inserted, reports[0].updated, reports[0].kept) == (2, 1, 60)
+    assert seen[0] < seen[1] == 61
+    one, other = (canon(records(run.current("sla")), spec.target_columns) for run in runs)
+    assert one == other and len(one) == 63
+
+
+def test_tables_that_no_lookup_reads_are_written_smaller(spark, tmp_path):
+    run = loader(spark, tmp_path, desk(spark))
+    run.run_all()
+    for name in ENTITIES:
+        folder = tmp_path / name / f"v={run.store.pointer(name)['version']}"
+        small = {p.name.endswith(".zstd.parquet") for p in folder.glob("*.parquet")}
+        assert small == {name in ("csat", "chamado_status_historico", "csat_avaliacao", "chamado_sla")}

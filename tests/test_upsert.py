@@ -193,3 +193,13 @@ def test_keys_of_several_systems(spark, name, match):
         assert sorted(r[spec.surrogate] for r in got) == list(range(10, 10 + len(want)))
         kept = {r[spec.surrogate]: (r[spec.key], r["nm_sistema_origem"]) for r in got if r[spec.surrogate] < 16}
         assert kept == {t[spec.surrogate]: (t[spec.key], t["nm_sistema_origem"]) for t in target}
+
+
+@pytest.mark.parametrize("options, own", [({}, set()), ({"scope": ("nm_sistema_origem",)}, set()), ({"match": "case_insensitive"}, {"cd_sla"})])
+def test_a_fold_shuffles_what_is_equal_in_a_group_once(spark, options, own):
+    spec = ENTITIES["sla"].with_options(**options)
+    rows = frame(spark, schema_of(spec.insert_columns), [{"cd_sla": "A", "nm_sla": "x", **OLD}])
+    folded = fold(rows, spec)
+    last = folded._jdf.queryExecution().analyzed().toString().split("max(struct(")[1].split("AS _last")[0]
+    assert ("cd_sla" in last) == ("cd_sla" in own) and ("nm_sistema_origem" in last) == (not spec.scope)
+    assert [r[spec.key] for r in records(folded)] == ["A"] and records(folded)[0]["nm_sistema_origem"] == "OLD"
