@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import time
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import OLD, RUN_TS, audit, canon, frame, records
@@ -10,6 +12,7 @@ from deskspark.operators.checks import AmbiguousLookup, DomainViolation
 from deskspark.operators.upsert import merge
 from deskspark.plans.entities import ENTITIES, load_levels
 from deskspark.plans.loader import QUARANTINE, Loader, LoadFailed, report_frame
+from deskspark.session import LEAN, lean_on_disk
 from deskspark.sources.history import History
 from deskspark.sources.store import TableStore
 from deskspark.streaming.arrivals import load_arrivals
@@ -321,3 +324,100 @@ def test_tables_that_no_lookup_reads_are_written_smaller(spark, tmp_path):
         folder = tmp_path / name / f"v={run.store.pointer(name)['version']}"
         small = {p.name.endswith(".zstd.parquet") for p in folder.glob("*.parquet")}
         assert small == {name in ("csat", "chamado_status_historico", "csat_avaliacao", "chamado_sla")}
+
+
+def tickets(spark):
+    """A desk whose tickets and their facts repeat keys and source ids, and lack keys, parents and codes."""
+    source = desk(spark)
+    extra = {
+        "chamado": [{"id_chamado": i, "nr_chamado": f"T{i % 40}" if i % 9 else None, "id_reporter": 1 + i % 3 // 2,
+                     "id_analista_atual": i % 4 or None, "id_cliente_organizacao": 1, **audit(record=f"R{i}")} for i in range(3, 60)],
+        "chamado_status_historico": [
+            {"id_chamado": i % 70 or None, "ds_status_chamado": "OPEN", "qt_tempo_status_minutos": i, "id_analista_responsavel": i % 5 or None,
+             **audit(record=f"H{i % 150}" if i % 11 else None)} for i in range(10, 300)],
+        "csat_avaliacao": [{"id_chamado": i % 66, "nr_score": i % 5, "id_analista": i % 3 or None, **audit(record=f"E{i}")} for i in range(2, 90)],
+        "chamado_sla": [{"id_chamado": i % 66, "id_sla": 1 + i % 2, **audit(record=f"K{i % 80}")} for i in range(2, 200)],
+    }
+    extra["chamado"].append(dict(extra["chamado"][4], nr_chamado="T77"))  # a source id of two tickets
+    for name, rows in extra.items():
+        source[name] = source[name].unionByName(frame(spark, ENTITIES[name].source_schema, rows))
+    return source
+
+
+@pytest.mark.parametrize("crowded", [0, 1000])
+def test_tables_dealt_out_by_buckets_give_the_same(spark, tmp_path, monkeypatch, crowded):
+    """A first run, and a second that updates; `crowded` 0 leaves every key to a shuffle although the tables are large."""
+    source, limit = tickets(spark), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    plain = loader(spark, tmp_path / "plain", source)
+    dealt = loader(spark, tmp_path / "dealt", source)
+    runs = range(2 if crowded else 1)
+    wanted = [plain.run_all() for _ in runs]
+    columns, staged, plans = [], TableStore.stage_buckets, {}
+
+    def watched(store, name, df, key, buckets):
+        columns.append((name, key))
+        return staged(store, name, df, key, buckets)
+
+    def planned(target, rows, spec, *rest, **options):
+        merged = merge(target, rows, spec, *rest, **options)
+        plans[spec.name] = merged._jdf.queryExecution().executedPlan().toString()
+        return merged
+
+    monkeypatch.setattr("deskspark.plans.loader.ROWS_PER_BUCKET", 20)
+    monkeypatch.setattr("deskspark.plans.loader.CROWDED", crowded)
+    monkeypatch.setattr("deskspark.plans.loader.merge", planned)
+    monkeypatch.setattr(TableStore, "stage_buckets", watched)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert [dealt.run_all() for _ in runs] == wanted
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    for name, spec in ENTITIES.items():
+        got, want = (canon(records(run.current(name)), spec.target_columns) for run in (dealt, plain))
+        assert got == want and got
+    moved = [("chamado_sla", "id_chamado"), ("link_chamado", "sid"), ("chamado_sla", "id_sla"), ("link_sla", "sid"),
+             ("chamado_sla", "cd_registro_origem"), ("target_chamado_sla", "cd_registro_origem")]
+    fact = [c for c in columns if c in moved and not c[0].startswith("link")]
+    assert fact == ([c for c in moved if not c[0].startswith("link")] * 2 if crowded else [])
+    for name in ("chamado_sla", "chamado_status_historico", "csat_avaliacao"):
+        assert ("Exchange hashpartitioning" in plans[name]) == (not crowded)
+    left = {p.name.rsplit("-", 1)[0] for p in (tmp_path / "dealt" / "_staging").iterdir()}
+    assert left == {f"link_{lk.parent}" for spec in ENTITIES.values() for lk in spec.lookups}
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("deskspark_") and str(tmp_path / "dealt") in str(
+        spark.sql(f"DESCRIBE EXTENDED {t.name}").collect())]
+
+
+def test_a_crowded_key_is_told_by_its_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("deskspark.plans.loader.ROWS_PER_BUCKET", 100)
+    run = loader(spark, tmp_path, {})
+    rows = spark.range(1000).selectExpr("id", "CASE WHEN id < 300 THEN 7 ELSE id END AS hot", "CASE WHEN id >= 300 THEN id END AS gap")
+    buckets = max(10, 2 * spark.sparkContext.defaultParallelism)
+    assert (run._buckets_for(100), run._buckets_for(1000)) == (0, buckets)
+    assert not run._crowded(rows, "id", buckets) and run._crowded(rows, "hot", buckets)
+    assert run._crowded(rows, "gap", buckets) and not run._crowded(rows, "gap", buckets, without_null=True)
+    assert not run._crowded(rows.limit(0), "id", buckets)
+
+
+def test_settings_that_spare_disk_are_put_back(spark, tmp_path):
+    before = {k: spark.conf.get(k, None) for k in LEAN}
+    with lean_on_disk(spark):
+        with lean_on_disk(spark):
+            pass
+        assert {k: spark.conf.get(k) for k in LEAN} == LEAN
+    with pytest.raises(LoadFailed):
+        loader(spark, tmp_path, {**desk(spark), "sla": desk(spark)["csat"]}).run_all()
+    assert {k: spark.conf.get(k, None) for k in LEAN} == before
+
+
+def test_shuffle_files_go_once_a_table_is_written(spark, tmp_path):
+    def written():
+        manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {f for f in manager.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+
+    store, before = TableStore(spark, str(tmp_path)), written()
+    with lean_on_disk(spark):
+        store.write("t", spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    for _ in range(50):  # they are removed in the background
+        if written() - before:
+            time.sleep(0.1)
+    assert not written() - before
